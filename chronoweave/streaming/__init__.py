@@ -1,0 +1 @@
+"""Kept empty on purpose: every operator in scope is a batch operator."""
