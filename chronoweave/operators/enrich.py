@@ -61,8 +61,9 @@ def bucket_lookup_join(
     """
     names = {c: f"_r_{c}" for c in (*keys.values(), lookup_bucket)}
     right = lookup.withColumnsRenamed(names)
-    same = reduce(and_, (fact[f] == right[names[k]] for f, k in keys.items()))
-    return fact.join(right, same & (bucket == right[names[lookup_bucket]]), "left").drop(*names.values())
+    same_bucket = bucket == right[names[lookup_bucket]]
+    same = reduce(and_, (fact[f] == right[names[k]] for f, k in keys.items()), same_bucket)
+    return fact.join(right, same, "left").drop(*names.values())
 
 
 def frequency_join(df: DataFrame, column: str, out: str) -> DataFrame:

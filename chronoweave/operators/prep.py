@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from chronoweave.functions.scalars import key_hash
-from chronoweave.operators.clean import columns_of_type
+from chronoweave.operators.clean import columns_of_type, fill_median
 from chronoweave.operators.enrich import frequency_join
 from chronoweave.operators.profile import distinct_ratio
 from chronoweave.skew import small_side
@@ -52,6 +52,12 @@ def impute_table(df: DataFrame, columns: Sequence[str], strategy: str = "median"
     return impute(columns, strategy).fit(numeric).transform(numeric)
 
 
+def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Add ``{column}_imputed`` columns filled with the exact interpolated median."""
+    copies = df.withColumns({f"{c}_imputed": F.col(c).cast("double") for c in columns})
+    return fill_median(copies, [f"{c}_imputed" for c in columns], exact=True)
+
+
 def impute_mode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Fill nulls with the most frequent value, the smallest one on a tie.
 
