@@ -26,6 +26,7 @@ from chronoweave.functions.scalars import key_hash
 from chronoweave.operators.clean import columns_of_type, fill_median
 from chronoweave.operators.enrich import frequency_join
 from chronoweave.operators.profile import distinct_ratio
+from chronoweave.ordering import exact_quantiles
 from chronoweave.skew import small_side
 
 
@@ -102,6 +103,18 @@ def robust_scale(column: str = "features", out: str = "scaled_features") -> Robu
     return RobustScaler(inputCol=column, outputCol=out, withCentering=True, withScaling=True)
 
 
+def robust_table(df: DataFrame, columns: Sequence[str], suffix: str = "_scaled") -> DataFrame:
+    """Column-wise form with exact quartiles: distance from the median in interquartile ranges."""
+    long = df.select(*(F.col(c).cast("double").alias(c) for c in columns)).unpivot([], list(columns), "feature", "value")
+    found = exact_quantiles(long, ["feature"], "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}).collect()
+    scaled = {}
+    for row in found:  # one row per column
+        spread = row["q3"] - row["q1"]
+        centred = F.col(row["feature"]) - F.lit(row["median"])
+        scaled[f"{row['feature']}{suffix}"] = centred / F.lit(spread) if spread else centred * F.lit(0.0)
+    return df.withColumns(scaled)
+
+
 def hash_categoricals(columns: Sequence[str], out: str = "categorical_features", buckets: int = 1000) -> FeatureHasher:
     return FeatureHasher(inputCols=list(columns), outputCol=out, numFeatures=buckets)
 

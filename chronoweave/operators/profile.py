@@ -176,6 +176,7 @@ def distinct_ratio(df: DataFrame, columns: Sequence[str], approximate: bool = Fa
     """Distinct values and their share of the rows per column.
 
     Exact counting dedups (column, value) pairs before they meet, so no task holds a column's values.
+    Long texts travel as their SHA-256.
     """
     if approximate:
         stats = {
@@ -184,7 +185,9 @@ def distinct_ratio(df: DataFrame, columns: Sequence[str], approximate: bool = Fa
         }
         return _stat_long(df, columns, stats).withColumn("ratio", F.try_divide("distinct", "rows"))
     rows = df.count()
-    long = df.select(*(F.col(c).cast("string").alias(c) for c in columns)).unpivot([], list(columns), "feature", "value")
+    texts = {c: F.col(c).cast("string") for c in columns}
+    short = (F.when(F.length(v) > 64, F.sha2(v, 256)).otherwise(v).alias(c) for c, v in texts.items())
+    long = df.select(*short).unpivot([], list(columns), "feature", "value")
     found = long.distinct().groupBy("feature").agg(F.count("value").alias("distinct"))
     return found.select(
         "feature", F.lit(rows).alias("rows"), "distinct", F.try_divide("distinct", F.lit(rows)).alias("ratio")

@@ -39,17 +39,20 @@ def sink_parquet(
     partition_by: Sequence[str] = (),
     files: int | None = None,
     max_records_per_file: int = 5_000_000,
-) -> None:
-    """Overwrite ``path``.
+) -> int:
+    """Overwrite ``path`` and return the rows written.
 
     Without ``files`` the file count follows the data: AQE sizes the rebalanced partitions and
-    splits hot ones.  ``files`` forces a round-robin count instead.
+    splits hot ones.  ``files`` forces a round-robin count instead.  Rows are counted from the file
+    footers, which neither runs the plan again nor counts a retried task twice.  (An ``Observation``
+    would leave a session that fitted classifiers can no longer be serialized with.)
     """
     shaped = df.hint("rebalance", *partition_by) if files is None else df.repartition(files)
     writer = shaped.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
 def merge_parts(parts: Sequence[DataFrame]) -> DataFrame:

@@ -6,8 +6,7 @@ import re
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import Model, PipelineModel
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from chronoweave.scratch import hadoop_path
 from chronoweave.sources.scan import merge_parts, sink_parquet
@@ -38,9 +37,7 @@ class StageStore:
 
     def save(self, df: DataFrame, name: str, version: str = "1", partition_by: Sequence[str] = ()) -> tuple[int, int]:
         """Write a stage; rows are counted by the write itself.  Returns (rows, columns)."""
-        seen = Observation(f"stage-{name}")
-        sink_parquet(df.observe(seen, F.count(F.lit(1)).alias("rows")), self.path(name, version), partition_by)
-        return seen.get["rows"], len(df.columns)
+        return sink_parquet(df, self.path(name, version), partition_by), len(df.columns)
 
     def load(self, name: str, version: str = "1") -> DataFrame:
         return self.spark.read.parquet(self.path(name, version))
