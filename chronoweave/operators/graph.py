@@ -103,8 +103,11 @@ def adjacency_lines(edges: DataFrame, max_links: int = MAX_LINKS) -> DataFrame:
 
 def transition_matrix(edges: DataFrame) -> DataFrame:
     """Share of each edge in its source's weight; dangling vertices have no row."""
-    merged = edges.groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
-    totals = edges.groupBy("src").agg(F.sum("weight").alias("_total"))
+    return _shares(edges.groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
+
+
+def _shares(merged: DataFrame) -> DataFrame:
+    totals = merged.groupBy("src").agg(F.sum("weight").alias("_total"))
     return merged.join(totals, "src").select("src", "dst", (F.col("weight") / F.col("_total")).alias("share"))
 
 
@@ -126,9 +129,11 @@ def init_graph(edges: DataFrame, max_links: int = MAX_LINKS) -> WalkGraph:
     Links stay hash-partitioned by (src, part) in executor storage, so an iteration shuffles vertex
     rows and merged contributions but never the links.  A hot source is spread over its parts.
     """
-    links = write_scratch(_parted(transition_matrix(edges), max_links), "links").df
-    parts = links.groupBy(F.col("src").alias("id")).agg((F.max("part") + 1).alias("parts"))
-    vertices = graph_nodes(edges).join(parts, "id", "left")
+    # Edges are read for totals, parts and vertices, so whatever they are computed from runs once.
+    merged = write_scratch(edges.groupBy("src", "dst").agg(F.sum("weight").alias("weight")), "edges").df
+    links = _parted(_shares(merged), max_links)
+    parts = merged.groupBy(F.col("src").alias("id")).agg(F.ceil(F.count("*") / max_links).cast("int").alias("parts"))
+    vertices = graph_nodes(merged).join(parts, "id", "left")
     vertices = vertices.select("id", F.coalesce("parts", F.lit(0)).alias("parts"), F.col("parts").isNull().alias("dangling"))
     vertices = write_scratch(vertices, "vertices").df
     placed = links.repartition("src", "part").persist(StorageLevel.MEMORY_AND_DISK)
