@@ -4,7 +4,8 @@ All range frames are given in whole seconds around a bigint epoch column.  Each
 plans with equal results and picks one by measuring the largest group:
 
 * groups fit a task: one window over the entity, so one shuffle and one sort serve all frames;
-* some group is too large: rows collapse to one per (entity, second) with map-side combine, frames
+* some group is too large, or its frames hold so many rows that summing them afresh for every row
+  would be quadratic: rows collapse to one per (entity, second) with map-side combine, frames
   become running totals of "enters the frame" and "leaves the frame" deltas per (entity, day), and
   day totals carry over.  No task then holds more than one entity-day of distinct seconds.
 """
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from chronoweave.ordering import previous_row
-from chronoweave.skew import TASK_ROWS, timeline_shape, with_loose_rows
+from chronoweave.skew import FRAME_WORK, TASK_ROWS, timeline_shape, with_loose_rows
 
 HOUR = 3600
 DAY = 24 * HOUR
@@ -53,9 +54,12 @@ def frame_totals(
     a time give null and take part in no frame.
     """
     rows = probes if source is None else source
-    shape = timeline_shape(rows, entity, epoch)
-    asked = shape if source is None else timeline_shape(probes, entity, epoch)
-    if max(shape.largest, asked.largest) <= task_rows:
+    # Frames over all history grow row by row; only bounded ones are summed afresh.
+    width = max((1 - f.start for f in frames.values() if f.start is not None), default=None)
+    shape = timeline_shape(rows, entity, epoch, width_s=width)
+    asked = shape if source is None else timeline_shape(probes, entity, epoch, width_s=width)
+    between = asked.largest * shape.peak * 2  # probes times the source rows a frame can hold
+    if shape.fits(task_rows) and asked.fits(task_rows) and between <= FRAME_WORK:
 
         def windowed(df: DataFrame) -> DataFrame:
             if source is None:

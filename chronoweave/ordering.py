@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronoweave.scratch import write_scratch
-from chronoweave.skew import TASK_ROWS, small_side, timeline_shape, with_loose_rows
+from chronoweave.skew import BROADCAST_ROWS, TASK_ROWS, small_side, timeline_shape, with_loose_rows
 
 CHUNK = "_chunk"
 
@@ -37,6 +37,11 @@ def _chunk_offsets(sizes: DataFrame, group: Sequence[str], size: str, out: str)
     return sizes.select(*group, CHUNK, F.coalesce(F.sum(size).over(before), F.lit(0)).alias(out))
 
 
+def _join_chunks(chunked: DataFrame, per_chunk: DataFrame, chunks: int) -> DataFrame:
+    """Join a table with at most one row per chunk; broadcast while the chunk count is small."""
+    return chunked.join(F.broadcast(per_chunk) if chunks <= BROADCAST_ROWS else per_chunk, CHUNK)
+
+
 def positions(
     df: DataFrame, order: Sequence[Column | str], out: str = "position", task_rows: int = TASK_ROWS
 ) -> DataFrame:
@@ -44,15 +49,12 @@ def positions(
     total = df.count()
     if total <= task_rows:
         return df.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("long"))
-    chunked = ordered_chunks(df, order, math.ceil(total / task_rows))
+    chunks = math.ceil(total / task_rows)
+    chunked = ordered_chunks(df, order, chunks)
     offsets = _chunk_offsets(chunked.groupBy(CHUNK).agg(F.count("*").alias("_n")), [], "_n", "_before")
     inside = F.row_number().over(Window.partitionBy(CHUNK).orderBy(*order))
-    return (
-        chunked.withColumn(out, inside)
-        .join(F.broadcast(offsets), CHUNK)  # one row per chunk
-        .withColumn(out, F.col(out) + F.col("_before"))
-        .drop(CHUNK, "_before")
-    )
+    numbered = _join_chunks(chunked.withColumn(out, inside), offsets, chunks)
+    return numbered.withColumn(out, F.col(out) + F.col("_before")).drop(CHUNK, "_before")
 
 
 def cumulative_counts(
@@ -131,16 +133,13 @@ def _windowed_previous(df, entity, order, columns, out, task_rows) -> DataFrame:
 
 def _chunked_previous(df, entity, order, columns, out, task_rows) -> DataFrame:
     previous = F.struct(*columns)
-    chunked = ordered_chunks(df, [entity, *order], math.ceil(df.count() / task_rows))
+    chunks = math.ceil(df.count() / task_rows)
+    chunked = ordered_chunks(df, [entity, *order], chunks)
     last = chunked.groupBy(CHUNK).agg(
         F.max_by(F.struct(F.col(entity).alias("key"), previous.alias("row")), F.struct(entity, *order)).alias("last")
     )
     carried = last.select(CHUNK, F.lag("last").over(Window.orderBy(CHUNK)).alias("_carried"))
     w = Window.partitionBy(CHUNK, entity).orderBy(*order)
     from_before = F.when(F.col("_carried.key") == F.col(entity), F.col("_carried.row"))
-    return (
-        chunked.withColumn("_lag", F.lag(previous).over(w))
-        .join(F.broadcast(carried), CHUNK)  # one row per chunk
-        .withColumn(out, F.coalesce("_lag", from_before))
-        .drop(CHUNK, "_lag", "_carried")
-    )
+    lagged = _join_chunks(chunked.withColumn("_lag", F.lag(previous).over(w)), carried, chunks)
+    return lagged.withColumn(out, F.coalesce("_lag", from_before)).drop(CHUNK, "_lag", "_carried")

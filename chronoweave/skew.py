@@ -12,24 +12,50 @@ from pyspark.sql import functions as F
 
 #: Rows one sorted task may hold before a group is split.
 TASK_ROWS = 5_000_000
+#: Row visits one task may spend on sliding frames, which are summed afresh for every row.
+FRAME_WORK = 2_000_000_000
 #: Rows a lookup side may have to be sent to every executor.
 BROADCAST_ROWS = 50_000
 
 
 @dataclass(frozen=True)
 class Shape:
-    """Rows of the largest timeline, and rows that belong to no timeline."""
+    """Rows of the largest timeline, rows that belong to none, and a bound on range-frame work.
+
+    ``peak`` is the most rows in one stretch of frame width; ``work`` is the largest product, over
+    timelines, of rows and the rows one frame can hold.
+    """
 
     largest: int
     loose: int
+    peak: int = 0
+    work: int = 0
+
+    def fits(self, task_rows: int) -> bool:
+        """Whether every timeline can be sorted, and its frames summed, inside one task."""
+        return self.largest <= task_rows and self.work <= FRAME_WORK
 
 
-def timeline_shape(df: DataFrame, *keys: str) -> Shape:
-    """Measure timelines keyed by ``keys[0]``; a null in any of ``keys`` makes a row loose."""
+def timeline_shape(df: DataFrame, *keys: str, width_s: int | None = None) -> Shape:
+    """Measure timelines keyed by ``keys[0]``; a null in any of ``keys`` makes a row loose.
+
+    With ``width_s``, rows are first counted per stretch of that many seconds of ``keys[1]``: a frame
+    touches at most two stretches, which bounds its rows however unevenly they lie.
+    """
     usable = reduce(and_, (F.col(k).isNotNull() for k in keys))
-    per_key = df.groupBy(keys[0]).agg(F.count_if(usable).alias("in"), F.count_if(~usable).alias("out"))
-    row = per_key.agg(F.max("in").alias("in"), F.sum("out").alias("out")).first()
-    return Shape(row["in"] or 0, row["out"] or 0)
+    stretch = F.floor(F.col(keys[1]) / width_s) if width_s else F.lit(0)
+    cells = df.groupBy(keys[0], stretch.alias("_stretch")).agg(
+        F.count_if(usable).alias("in"), F.count_if(~usable).alias("out")
+    )
+    per_key = cells.groupBy(keys[0]).agg(F.sum("in").alias("in"), F.sum("out").alias("out"), F.max("in").alias("peak"))
+    row = per_key.agg(
+        F.max("in").alias("in"),
+        F.sum("out").alias("out"),
+        F.max("peak").alias("peak"),
+        F.max(F.col("in").cast("double") * F.col("peak") * 2).alias("work"),
+    ).first()
+    largest, loose = row["in"] or 0, row["out"] or 0
+    return Shape(largest, loose, row["peak"] or 0, int(row["work"] or 0)) if width_s else Shape(largest, loose)
 
 
 def with_loose_rows(df: DataFrame, keys: Sequence[str], shape: Shape, feature) -> DataFrame:

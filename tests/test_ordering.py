@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bindings.tables import Tables
-from chronoweave import ordering
+from chronoweave import ordering, skew
 from chronoweave.operators import profile
 from chronoweave.operators import temporal as t
 
@@ -51,6 +51,14 @@ def test_hot_plan_equals_plain_plan(events, same_rows, name):
     same_rows(CASES[name](events, 10**9), CASES[name](events, HOT))
 
 
+def test_crowded_frames_change_the_plan_only(events, same_rows, monkeypatch):
+    plain = CASES["history_rates"](events, 10**9)
+    monkeypatch.setattr(skew, "FRAME_WORK", 1)
+    swept = CASES["history_rates"](events, 10**9)
+    assert "explode" in swept._jdf.queryExecution().analyzed().toString()
+    same_rows(plain, swept)
+
+
 def test_chunks_are_balanced_for_one_hot_key(events):
     chunked = ordering.ordered_chunks(events.filter("user_id = 7"), ["user_id", "sec", "event_id"], 8)
     sizes = [r["count"] for r in chunked.groupBy(ordering.CHUNK).count().collect()]
