@@ -225,8 +225,9 @@ def _(x):
     return positions(x.events, ["value", "event_id"]).select("event_id", "position")
 
 
-@query("global_sort_rows")
+@query("global_sort_rows", EV + "SELECT sec, event_id, event_type FROM ev")
 def _(x):
+    """The sorted rows themselves; only their content is compared."""
     return clean.global_sort(x.ev, ["sec", "event_id"]).select("sec", "event_id", "event_type")
 
 

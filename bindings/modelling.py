@@ -200,7 +200,20 @@ def _(x):
     return pr.encoding_rules(x.documents, one_hot_limit=10, embed=["text"])
 
 
-@query("auto_encode_strings")
+@query(
+    "auto_encode_strings",
+    """WITH c AS (SELECT lang, row_number() OVER (ORDER BY count(*) DESC, lang) - 1 AS slot FROM documents GROUP BY lang)
+SELECT doc_id, n_chars, CAST(slot AS BIGINT) AS lang_slot, count(*) OVER (PARTITION BY source) AS source_freq,
+  count(*) OVER (PARTITION BY text) AS text_freq FROM documents JOIN c USING (lang)""",
+)
+def _(x):
+    """Languages become one-hot vectors, sources and texts frequencies; an id share of 1 drops nothing."""
+    encoded = pr.auto_encode_strings(x.documents, one_hot_limit=10, id_share=1.0)
+    slot = (F.array_position(vector_to_array("lang_ohe"), 1.0) - 1).alias("lang_slot")
+    return encoded.select("doc_id", "n_chars", slot, "source_freq", "text_freq")
+
+
+@query("auto_encode_strings_embedded")
 def _(x):
     """An id share of 1 keeps the text column, so all encodings except dropping are used."""
     encoded = pr.auto_encode_strings(x.documents, one_hot_limit=10, embed=["text"], id_share=1.0)

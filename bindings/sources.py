@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from bindings.registry import q6, query, r6
@@ -154,13 +155,19 @@ def _(x):
     return _shipped(clean.union_all([x.li.filter("y < 1998"), x.li.filter("y >= 1998")]))
 
 
-@query("model_store")
+@query(
+    "model_store",
+    with_views("li", extra="b AS (SELECT min(l_quantity) AS lo, max(l_quantity) AS hi FROM li)")
+    + f"""SELECT y AS block, CAST(label AS DOUBLE) AS label, count(*) AS n, {q6('avg((l_quantity - lo) / (hi - lo))')} AS quantity
+FROM li, b GROUP BY y, label""",
+)
 def _(x):
     """Save a fitted preparation pipeline, load it and apply it."""
     store = ModelStore(x.spark, _folder(x))
     store.save(prep_pipeline(NUMERICS).fit(x.li), "prep")
-    scaled = store.load("prep").transform(x.li)
-    return model_table(scaled, ["scaled_features"], "label", period="y").groupBy("block", "label").agg(F.count("*").alias("n"))
+    scaled = model_table(store.load("prep").transform(x.li), ["scaled_features"], "label", period="y")
+    quantity = r6(F.avg(vector_to_array("features")[0])).alias("quantity")
+    return scaled.groupBy("block", "label").agg(F.count("*").alias("n"), quantity)
 
 
 @query(

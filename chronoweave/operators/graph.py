@@ -118,9 +118,13 @@ class WalkGraph:
     vertices: DataFrame
     links: DataFrame
     size: int
+    tables: tuple[ScratchTable, ...] = ()
 
-    def release(self) -> None:
+    def release(self, keep_tables: bool = False) -> None:
+        """Free the cached links, and the written tables unless a result still reads them."""
         self.links.unpersist()
+        for table in () if keep_tables else self.tables:
+            table.discard()
 
 
 def init_graph(edges: DataFrame, max_links: int = MAX_LINKS) -> WalkGraph:
@@ -130,14 +134,15 @@ def init_graph(edges: DataFrame, max_links: int = MAX_LINKS) -> WalkGraph:
     rows and merged contributions but never the links.  A hot source is spread over its parts.
     """
     # Edges are read for totals, parts and vertices, so whatever they are computed from runs once.
-    merged = write_scratch(edges.groupBy("src", "dst").agg(F.sum("weight").alias("weight")), "edges").df
+    stored = write_scratch(edges.groupBy("src", "dst").agg(F.sum("weight").alias("weight")), "edges")
+    merged = stored.df
     links = _parted(_shares(merged), max_links)
     parts = merged.groupBy(F.col("src").alias("id")).agg(F.ceil(F.count("*") / max_links).cast("int").alias("parts"))
     vertices = graph_nodes(merged).join(parts, "id", "left")
     vertices = vertices.select("id", F.coalesce("parts", F.lit(0)).alias("parts"), F.col("parts").isNull().alias("dangling"))
-    vertices = write_scratch(vertices, "vertices").df
+    vertices = write_scratch(vertices, "vertices")
     placed = links.repartition("src", "part").persist(StorageLevel.MEMORY_AND_DISK)
-    return WalkGraph(vertices, placed, vertices.count())
+    return WalkGraph(vertices.df, placed, vertices.df.count(), (stored, vertices))
 
 
 def initial_ranks(graph: WalkGraph) -> DataFrame:
@@ -180,7 +185,7 @@ def _iterate_pagerank(edges: DataFrame, alpha: float, iterations: int, max_links
         before = masses["dangling"]
         masses = state.df.agg(F.sum("rank").alias("total"), hanging).first()
         trace.append((step, masses["total"], before))
-    graph.release()
+    graph.release(keep_tables=not state.path)
     return state.df.select("id", "rank"), trace
 
 
@@ -216,7 +221,7 @@ def _walk(edges: DataFrame, steps: int, start, atol: float | None, max_links: in
         masses.append((step, seen["mass"] or 0.0))
         if atol is not None and (seen["moved"] or 0.0) <= atol:
             break
-    graph.release()
+    graph.release(keep_tables=not state.path)
     return state.df.select("id", "p"), masses
 
 
@@ -285,7 +290,8 @@ def betweenness_centrality(edges: DataFrame, sources: DataFrame | None = None, n
     back to the level before, so pairs of vertices are visited but never triples.  With ``sources``
     (a column ``id``) only those start points are used and scores are scaled up to all vertices.
     """
-    links = write_scratch(route_graph(edges, "src", "dst").filter("src != dst"), "routes").df
+    routes = write_scratch(route_graph(edges, "src", "dst").filter("src != dst"), "routes")
+    links = routes.df
     nodes = write_scratch(graph_nodes(edges), "nodes").df
     n = nodes.count()
     starts = nodes if sources is None else nodes.join(sources.select("id").distinct(), "id", "left_semi")
@@ -302,6 +308,7 @@ def betweenness_centrality(edges: DataFrame, sources: DataFrame | None = None, n
         )
         level = write_scratch(grown, "level")
         if not level.df.count():
+            level.discard()
             break
         levels.append(level)
         reached = reached.unionByName(level.df)
@@ -318,6 +325,8 @@ def betweenness_centrality(edges: DataFrame, sources: DataFrame | None = None, n
             )
         deeper = write_scratch(owed, "dependency").df
         scores = scores.union(deeper.groupBy("v").agg(F.sum("delta").alias("score")))
+    for table in (routes, *levels):  # scores read the dependency tables only
+        table.discard()
     scale = n / used if used else 1.0
     if normalized and n > 2:
         scale /= (n - 1) * (n - 2)

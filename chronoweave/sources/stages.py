@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable, Sequence
 
@@ -14,11 +15,21 @@ from chronoweave.sources.scan import merge_parts, sink_parquet
 _NAME = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.=-]*")
 
 
+def input_version(spark: SparkSession, *paths: str) -> str:
+    """Short fingerprint of input folders: it changes when files are added, rewritten or removed."""
+    digest = hashlib.sha256()
+    for path in paths:
+        fs, root = hadoop_path(spark, path)
+        summary, status = fs.getContentSummary(root), fs.getFileStatus(root)
+        digest.update(f"{path}|{summary.getLength()}|{summary.getFileCount()}|{status.getModificationTime()}".encode())
+    return digest.hexdigest()[:16]
+
+
 class StageStore:
     """Parquet stages below one folder.
 
-    A stage counts as present only once its write has committed.  Stages carry a version, so a stage
-    built by older logic or from other input is not picked up by mistake.
+    A stage counts as present only once its write has committed.  Stages carry a version, such as
+    :func:`input_version` of what they are built from, so a stage from other input is not picked up.
     """
 
     def __init__(self, spark: SparkSession, root: str):

@@ -10,7 +10,7 @@ from bindings.tables import LINE_KEYS, NUMERICS, Tables
 from chronoweave.functions import scalars as s
 from chronoweave.operators import clean, enrich, metrics, prep, profile
 from chronoweave.skew import small_side
-from chronoweave.sources.stages import ModelStore, StageStore
+from chronoweave.sources.stages import ModelStore, StageStore, input_version
 
 
 def _one(spark, column, **values):
@@ -65,6 +65,15 @@ def test_stage_store(spark, data_dir, tmp_path):
         store.path("../elsewhere")
 
 
+def test_input_version_follows_the_files(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    spark.range(5).write.parquet(folder)
+    first = input_version(spark, folder)
+    assert input_version(spark, folder) == first
+    spark.range(5).write.mode("append").parquet(folder)
+    assert input_version(spark, folder) != first
+
+
 def test_model_store_keeps_the_fit(spark, data_dir, tmp_path, same_rows):
     lines = Tables(spark, data_dir).li
     model = prep.prep_pipeline(NUMERICS).fit(lines)
