@@ -78,6 +78,21 @@ def _(x):
     return _nearest(x).select("site", F.unix_timestamp("hour_ts").alias("hour_sec"), "station", r6("value").alias("value"), "props")
 
 
+@query(
+    "nearest_reading",
+    with_views("obs", "stations", extra=HOURLY + ",\n" + NEAREST)
+    + f"""SELECT site, CAST(epoch(hour_ts) AS BIGINT) AS hour_sec, station, {q6('value')} AS value, props FROM nearest
+WHERE (site, hour_ts) IN (SELECT (user_id % 10, date_trunc('hour', ts) - INTERVAL 2 HOUR) FROM ev WHERE event_type = 'purchase')""",
+)
+def _(x):
+    """The same choice for the pairs purchases ask for, trying stations ring by ring."""
+    purchases = x.ev.filter("event_type = 'purchase'")
+    wanted = purchases.select((F.col("user_id") % 10).alias("site"), s.lookup_bucket(F.col("ts")).alias("hour_ts"))
+    readings = _hourly(x).drop("site")
+    found = e.nearest_reading(wanted, readings, x.stations, "station", "site", "hour_ts", "distance", ["value", "props"], first=2)
+    return found.select("site", F.unix_timestamp("hour_ts").alias("hour_sec"), "station", r6("value").alias("value"), "props")
+
+
 def bucket_lookup(x):
     """Purchases with the reading of the site's nearest station two hours earlier."""
     purchases = x.ev.filter("event_type = 'purchase'").withColumn("site", F.col("user_id") % 10)

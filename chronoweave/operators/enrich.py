@@ -6,10 +6,11 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronoweave.skew import small_side
+from chronoweave.scratch import write_scratch
+from chronoweave.skew import small_side, stored_side
 
 
 def broadcast_equi_join(fact: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
@@ -51,6 +52,49 @@ def nearest_station_lookup(
     return mapped.groupBy(*keys).agg(best).select(*keys, "_best.*")
 
 
+def nearest_reading(
+    wanted: DataFrame,
+    readings: DataFrame,
+    stations: DataFrame,
+    station: str,
+    site: str,
+    bucket: str,
+    distance: str,
+    columns: Sequence[str],
+    first: int = 4,
+) -> DataFrame:
+    """The closest station's reading for just the wanted (site, bucket) pairs.
+
+    ``readings`` has one row per (station, bucket).  With a map of every station to every site, joining
+    it to all readings would multiply them by the number of sites.  Here the nearest ``first`` stations
+    are tried, and only pairs still without a reading go on to the next, larger ring of stations, until
+    the map is exhausted.  The result is that of :func:`nearest_station_lookup`.
+    """
+    by_distance = Window.partitionBy(site).orderBy(distance, station)  # rows of the station map only
+    ranked = write_scratch(stations.select(site, station, F.row_number().over(by_distance).alias("_rank")), "ranked").df
+    farthest = ranked.agg(F.max("_rank")).first()[0] or 0
+    covered = readings.select(bucket).distinct()
+    pending = wanted.select(site, bucket).dropna().distinct().join(covered, bucket, "left_semi")
+    pending = write_scratch(pending.select(site, bucket), "pending")
+    found: list[DataFrame] = []
+    low, high = 0, first
+    while low < farthest:
+        ring = ranked.filter((F.col("_rank") > low) & (F.col("_rank") <= high))
+        tried = pending.df.join(small_side(ring), site).join(readings.select(station, bucket, *columns), [station, bucket])
+        best = F.min_by(F.struct(station, *columns), "_rank").alias("_best")
+        found.append(write_scratch(tried.groupBy(site, bucket).agg(best).select(site, bucket, "_best.*"), "nearest").df)
+        left = write_scratch(pending.df.join(found[-1].select(site, bucket), [site, bucket], "left_anti"), "pending")
+        pending.discard()
+        pending = left
+        if not pending.df.count():
+            break
+        low, high = high, high * 4
+    pending.discard()
+    if not found:  # an empty station map
+        return readings.join(stations, station).select(site, bucket, station, *columns)
+    return reduce(DataFrame.unionByName, found)
+
+
 def bucket_lookup_join(
     fact: DataFrame, lookup: DataFrame, keys: dict[str, str], bucket: Column, lookup_bucket: str
 ) -> DataFrame:
@@ -69,7 +113,7 @@ def bucket_lookup_join(
 def frequency_join(df: DataFrame, column: str, out: str) -> DataFrame:
     """Bring each value's row count onto its rows; a null value gets no count."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias(out))
-    return df.join(small_side(counts), column, "left")
+    return df.join(stored_side(counts), column, "left").select(*df.columns, out)
 
 
 def prediction_join(outputs: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
@@ -91,4 +135,4 @@ def dict_lookup_join(df: DataFrame, values: dict, key: str, out: str, default=No
 def attach_vertex_feature(df: DataFrame, scores: DataFrame, vertex: str, on: str, score: str, out: str) -> DataFrame:
     """Left join a vertex score on the graph's own key."""
     right = scores.select(F.col(vertex).alias(on), F.col(score).alias(out))
-    return df.join(small_side(right), on, "left")
+    return df.join(small_side(right), on, "left").select(*df.columns, out)

@@ -82,7 +82,8 @@ def frame_totals(
     else:
         totals = _swept_totals(wanted, seconds, entity, epoch, list(measures), frames)
     # One row per (entity, second) on the right: a hot key on the left can be split by AQE.
-    return probes.join(totals, [entity, epoch], "left")
+    outputs = [out for out, _, _ in _names(list(measures), frames)]
+    return probes.join(totals, [entity, epoch], "left").select(*probes.columns, *outputs)
 
 
 def _names(measures: Sequence[str], frames: dict[str, Frame]) -> list[tuple[str, str, str]]:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from chronoweave.functions import scalars as s
 from chronoweave.operators import clean, enrich, temporal
+from chronoweave.scratch import write_scratch
 from chronoweave.sources.stages import StageStore
 
 # Source columns, their types and their names in the feature table.
@@ -163,13 +164,18 @@ def weather_features(flights: DataFrame, weather: DataFrame, stations: DataFrame
     """Reading of the nearest station in the hour that starts two hours before the departure hour."""
     days = flights.withColumn("_day", F.to_date("departure_datetime"))
     seen = clean.range_filter(weather.withColumn("_day", F.to_date("hour_ts")), "_day", days, "_day").drop("_day")
-    origins = flights.select(F.col("Origin").alias("airport_code")).distinct()
-    served = enrich.semi_join_keys(stations, origins, ["airport_code"])
-    hourly = enrich.hourly_dedup_avg(seen, ["STATION", "hour_ts"], AVERAGED, EARLIEST, ["reading_ts", *EARLIEST, *AVERAGED])
-    nearest = enrich.nearest_station_lookup(
-        hourly, served, "STATION", ["airport_code", "hour_ts"], "distance", [*AVERAGED, *EARLIEST]
-    ).drop("STATION")
     bucket = s.lookup_bucket(F.col("departure_datetime"))
+    wanted = flights.select(F.col("Origin").alias("airport_code"), bucket.alias("hour_ts")).distinct()
+    served = enrich.semi_join_keys(stations, wanted, ["airport_code"])
+    useful = enrich.semi_join_keys(seen, served, ["STATION"])
+    hourly = enrich.hourly_dedup_avg(
+        useful, ["STATION", "hour_ts"], AVERAGED, EARLIEST, ["reading_ts", *EARLIEST, *AVERAGED]
+    )
+    # Several rings may read the hourly table, so it is written once.
+    hourly = write_scratch(hourly, "hourly").df
+    nearest = enrich.nearest_reading(
+        wanted, hourly, served, "STATION", "airport_code", "hour_ts", "distance", [*AVERAGED, *EARLIEST]
+    ).drop("STATION")
     return enrich.bucket_lookup_join(flights, nearest, {"Origin": "airport_code"}, bucket, "hour_ts")
 
 

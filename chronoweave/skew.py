@@ -10,6 +10,8 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chronoweave.scratch import write_scratch
+
 #: Rows one sorted task may hold before a group is split.
 TASK_ROWS = 5_000_000
 #: Row visits one task may spend on sliding frames, which are summed afresh for every row.
@@ -78,3 +80,9 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     if len(rows) > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
+def stored_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Like :func:`small_side` for an expensive side of unknown size: computed once, written, counted."""
+    written = write_scratch(df, "side").df
+    return F.broadcast(written) if written.count() <= max_rows else written
