@@ -7,8 +7,9 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, BinaryType, StringType
 
 from chronoweave.scratch import write_scratch
 
@@ -18,6 +19,8 @@ TASK_ROWS = 5_000_000
 FRAME_WORK = 2_000_000_000
 #: Rows a lookup side may have to be sent to every executor.
 BROADCAST_ROWS = 50_000
+#: Bytes of text a row of such a side may have.
+ROW_BYTES = 1_024
 
 
 @dataclass(frozen=True)
@@ -71,18 +74,38 @@ def with_loose_rows(df: DataFrame, keys: Sequence[str], shape: Shape, feature) -
     return feature(df.filter(usable)).unionByName(df.filter(~usable), allowMissingColumns=True)
 
 
+def _row_bytes(df: DataFrame) -> Column | None:
+    """Bytes of a row's texts; None where a nested column leaves the width open."""
+    width = F.lit(0)
+    for field in df.schema.fields:
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif not isinstance(field.dataType, AtomicType):
+            return None
+    return width
+
+
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` if it proves to have at most ``max_rows`` rows, else leave the join to shuffle.
+    """Broadcast ``df`` if it proves to be small, else leave the join to shuffle.
 
-    The probe stops after ``max_rows + 1`` rows, so the driver never holds more than that.
+    Small means at most ``max_rows`` rows of at most ``ROW_BYTES`` each.  The probe stops after
+    ``max_rows + 1`` rows and wider rows arrive empty, so what the driver receives is bounded too.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    width = _row_bytes(df)
+    if width is None:
+        return df
+    narrow = F.when(width <= ROW_BYTES, F.struct(*df.columns)).alias("row")
+    rows = [r["row"] for r in df.limit(max_rows + 1).select(narrow).collect()]
+    if len(rows) > max_rows or None in rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
 def stored_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Like :func:`small_side` for an expensive side of unknown size: computed once, written, counted."""
+    """Like :func:`small_side` for an expensive side of unknown size: computed once, written, measured."""
     written = write_scratch(df, "side").df
-    return F.broadcast(written) if written.count() <= max_rows else written
+    width = _row_bytes(written)
+    if width is None:
+        return written
+    size = written.agg(F.count(F.lit(1)).alias("rows"), F.max(width).alias("widest")).first()
+    return F.broadcast(written) if size["rows"] <= max_rows and (size["widest"] or 0) <= ROW_BYTES else written

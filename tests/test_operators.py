@@ -150,6 +150,10 @@ def test_small_side_hints_only_small_tables(spark):
         return "ResolvedHint" in small_side(df, 10)._jdf.queryExecution().analyzed().toString()
 
     assert hinted(spark.range(10)) and not hinted(spark.range(11))
+    assert hinted(spark.range(2).withColumn("t", F.lit("x" * 1024)))
+    assert not hinted(spark.range(2).withColumn("t", F.lit("x" * 1025)))
+    assert not hinted(spark.range(2).withColumn("t", F.array("id")))
+    assert hinted(spark.range(0).withColumn("t", F.lit("x")))
 
 
 def test_sparse_columns_at_the_threshold(spark):

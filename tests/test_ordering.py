@@ -8,7 +8,7 @@ from chronoweave import ordering, skew
 from chronoweave.operators import profile
 from chronoweave.operators import temporal as t
 
-HOT = 40  # rows per task that make every group count as hot
+HOT = 150  # rows per task that make every group count as hot
 
 
 @pytest.fixture(scope="module")
