@@ -61,7 +61,7 @@ def nearest_reading(
     bucket: str,
     distance: str,
     columns: Sequence[str],
-    first: int = 4,
+    first: int = 8,
 ) -> DataFrame:
     """The closest station's reading for just the wanted (site, bucket) pairs.
 
@@ -75,21 +75,19 @@ def nearest_reading(
     farthest = ranked.agg(F.max("_rank")).first()[0] or 0
     covered = readings.select(bucket).distinct()
     pending = wanted.select(site, bucket).dropna().distinct().join(covered, bucket, "left_semi")
-    pending = write_scratch(pending.select(site, bucket), "pending")
     found: list[DataFrame] = []
     low, high = 0, first
     while low < farthest:
         ring = ranked.filter((F.col("_rank") > low) & (F.col("_rank") <= high))
-        tried = pending.df.join(small_side(ring), site).join(readings.select(station, bucket, *columns), [station, bucket])
-        best = F.min_by(F.struct(station, *columns), "_rank").alias("_best")
-        found.append(write_scratch(tried.groupBy(site, bucket).agg(best).select(site, bucket, "_best.*"), "nearest").df)
-        left = write_scratch(pending.df.join(found[-1].select(site, bucket), [site, bucket], "left_anti"), "pending")
-        pending.discard()
-        pending = left
-        if not pending.df.count():
+        tried = pending.join(small_side(ring), site).join(readings.select(station, bucket, *columns), [station, bucket])
+        best = tried.groupBy(site, bucket).agg(F.min_by(F.struct(station, *columns), "_rank").alias("_best"))
+        # Answered and open pairs come from one written table, so both are computed once.
+        asked = write_scratch(pending.join(best, [site, bucket], "left").select(site, bucket, "_best.*"), "nearest").df
+        found.append(asked.filter(F.col(station).isNotNull()))
+        pending = asked.filter(F.col(station).isNull()).select(site, bucket)
+        if pending.isEmpty():
             break
-        low, high = high, high * 4
-    pending.discard()
+        low, high = high, high * 8
     if not found:  # an empty station map
         return readings.join(stations, station).select(site, bucket, station, *columns)
     return reduce(DataFrame.unionByName, found)
