@@ -89,7 +89,9 @@ def _(x):
     purchases = x.ev.filter("event_type = 'purchase'")
     wanted = purchases.select((F.col("user_id") % 10).alias("site"), s.lookup_bucket(F.col("ts")).alias("hour_ts"))
     readings = _hourly(x).drop("site")
-    found = e.nearest_reading(wanted, readings, x.stations, "station", "site", "hour_ts", "distance", ["value", "props"], first=2)
+    found = e.nearest_reading(
+        wanted, readings, x.stations, "station", "site", "hour_ts", "distance", ["value", "props"], first=8, max_fan_out=0
+    )
     return found.select("site", F.unix_timestamp("hour_ts").alias("hour_sec"), "station", r6("value").alias("value"), "props")
 
 

@@ -62,17 +62,23 @@ def nearest_reading(
     distance: str,
     columns: Sequence[str],
     first: int = 8,
+    max_fan_out: float = 4,
 ) -> DataFrame:
     """The closest station's reading for just the wanted (site, bucket) pairs.
 
-    ``readings`` has one row per (station, bucket).  With a map of every station to every site, joining
-    it to all readings would multiply them by the number of sites.  Here the nearest ``first`` stations
+    ``readings`` has one row per (station, bucket).  While a station serves ``max_fan_out`` sites or fewer
+    on average, one join answers all pairs.  With a map of every station to every site that join would
+    multiply the readings by the number of sites.  Then the nearest ``first`` stations
     are tried, and only pairs still without a reading go on to the next, larger ring of stations, until
     the map is exhausted.  The result is that of :func:`nearest_station_lookup`.
     """
+    size = stations.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(station).alias("stations")).first()
+    if size["rows"] <= max_fan_out * size["stations"]:
+        every = nearest_station_lookup(readings, stations, station, [site, bucket], distance, columns)
+        return every.join(wanted.select(site, bucket), [site, bucket], "left_semi")
     by_distance = Window.partitionBy(site).orderBy(distance, station)  # rows of the station map only
     ranked = write_scratch(stations.select(site, station, F.row_number().over(by_distance).alias("_rank")), "ranked").df
-    farthest = ranked.agg(F.max("_rank")).first()[0] or 0
+    farthest = ranked.agg(F.max("_rank")).first()[0]
     covered = readings.select(bucket).distinct()
     pending = wanted.select(site, bucket).dropna().distinct().join(covered, bucket, "left_semi")
     found: list[DataFrame] = []
@@ -88,8 +94,6 @@ def nearest_reading(
         if pending.isEmpty():
             break
         low, high = high, high * 8
-    if not found:  # an empty station map
-        return readings.join(stations, station).select(site, bucket, station, *columns)
     return reduce(DataFrame.unionByName, found)
 
 

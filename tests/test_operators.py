@@ -134,15 +134,15 @@ def test_bucket_lookup_keeps_every_row(spark, data_dir):
     assert joined.count() == events.count() and joined.columns == [*events.columns, "seen"]
 
 
-@pytest.mark.parametrize("first", [1, 3, 1000])
-def test_nearest_reading_equals_the_full_join(spark, data_dir, same_rows, first):
+@pytest.mark.parametrize(("first", "fan_out"), [(2, 0), (1000, 0), (8, 4)])
+def test_nearest_reading_equals_the_full_join(spark, data_dir, same_rows, first, fan_out):
     tables = Tables(spark, data_dir)
     readings = enrich.hourly_dedup_avg(tables.obs, ["station", "hour_ts"], ["value"], ["props"], ["ts", "event_id"])
     full = enrich.nearest_station_lookup(readings, tables.stations, "station", ["site", "hour_ts"], "distance", ["value", "props"])
     missing = spark.sql("SELECT 3L AS site, TIMESTAMP '1999-01-01 00:00:00' AS hour_ts")
     wanted = full.select("site", "hour_ts").union(missing)
     args = ("station", "site", "hour_ts", "distance", ["value", "props"])
-    same_rows(enrich.nearest_reading(wanted, readings, tables.stations, *args, first=first), full)
+    same_rows(enrich.nearest_reading(wanted, readings, tables.stations, *args, first=first, max_fan_out=fan_out), full)
 
 
 def test_small_side_hints_only_small_tables(spark):
