@@ -76,6 +76,8 @@ def nearest_reading(
     if size["rows"] <= max_fan_out * size["stations"]:
         every = nearest_station_lookup(readings, stations, station, [site, bucket], distance, columns)
         return every.join(wanted.select(site, bucket), [site, bucket], "left_semi")
+    # Several rings may read the readings, so they are computed once.
+    readings = write_scratch(readings.select(station, bucket, *columns), "readings").df
     by_distance = Window.partitionBy(site).orderBy(distance, station)  # rows of the station map only
     ranked = write_scratch(stations.select(site, station, F.row_number().over(by_distance).alias("_rank")), "ranked").df
     farthest = ranked.agg(F.max("_rank")).first()[0]
@@ -85,7 +87,7 @@ def nearest_reading(
     low, high = 0, first
     while low < farthest:
         ring = ranked.filter((F.col("_rank") > low) & (F.col("_rank") <= high))
-        tried = pending.join(small_side(ring), site).join(readings.select(station, bucket, *columns), [station, bucket])
+        tried = pending.join(small_side(ring), site).join(readings, [station, bucket])
         best = tried.groupBy(site, bucket).agg(F.min_by(F.struct(station, *columns), "_rank").alias("_best"))
         # Answered and open pairs come from one written table, so both are computed once.
         asked = write_scratch(pending.join(best, [site, bucket], "left").select(site, bucket, "_best.*"), "nearest").df

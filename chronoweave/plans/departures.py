@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from chronoweave.functions import scalars as s
 from chronoweave.operators import clean, enrich, temporal
-from chronoweave.scratch import write_scratch
 from chronoweave.sources.stages import StageStore
 
 # Source columns, their types and their names in the feature table.
@@ -171,8 +170,6 @@ def weather_features(flights: DataFrame, weather: DataFrame, stations: DataFrame
     hourly = enrich.hourly_dedup_avg(
         useful, ["STATION", "hour_ts"], AVERAGED, EARLIEST, ["reading_ts", *EARLIEST, *AVERAGED]
     )
-    # Several rings may read the hourly table, so it is written once.
-    hourly = write_scratch(hourly, "hourly").df
     nearest = enrich.nearest_reading(
         wanted, hourly, served, "STATION", "airport_code", "hour_ts", "distance", [*AVERAGED, *EARLIEST]
     ).drop("STATION")
