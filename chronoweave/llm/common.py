@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -41,3 +41,16 @@ def parts_for(df: DataFrame, per_core: int = 2) -> int:
     spark = df.sparkSession
     wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return max(wanted, per_core * spark.sparkContext.defaultParallelism)
+
+
+def running_before(df: DataFrame, group: list[str], cell: str, order: list, size: Column, out: str) -> DataFrame:
+    """Add the sum of ``size`` before each row, in order of (cell, order) within the group.
+
+    Rows meet only with their own cell; a table of cell sums carries the totals across.
+    """
+    inside = Window.partitionBy(*group, cell).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = df.withColumn("_in", F.coalesce(F.sum(size).over(inside), F.lit(0)))
+    sums = df.groupBy(*group, cell).agg(F.sum(size).alias("_sum"))
+    before = Window.partitionBy(*group).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(*group, cell, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
+    return rows.join(offsets, [*group, cell]).withColumn(out, F.col("_in") + F.col("_before")).drop("_in", "_before")

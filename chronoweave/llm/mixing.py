@@ -12,9 +12,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chronoweave.llm.common import running_before
 from chronoweave.ordering import positions
 from chronoweave.scratch import write_scratch
 from chronoweave.skew import BROADCAST_ROWS
@@ -70,19 +71,6 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     return table.withColumn("target", target).withColumn("take", take)
 
 
-def _running(df: DataFrame, group: list[str], cell: str, order: list, size: Column, out: str) -> DataFrame:
-    """Add the sum of ``size`` before each row, in order of (cell, order) within the group.
-
-    Rows meet only with their own cell; a table of cell sums carries the totals across.
-    """
-    inside = Window.partitionBy(*group, cell).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    rows = df.withColumn("_in", F.coalesce(F.sum(size).over(inside), F.lit(0)))
-    sums = df.groupBy(*group, cell).agg(F.sum(size).alias("_sum"))
-    before = Window.partitionBy(*group).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*group, cell, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
-    return rows.join(offsets, [*group, cell]).withColumn(out, F.col("_in") + F.col("_before")).drop("_in", "_before")
-
-
 def schedule(table: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Slots of the mix: (sid, rank, slot); every source gets slots for all the words it owes.
 
@@ -96,7 +84,7 @@ def schedule(table: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     longer = math.ceil(slots * (1 + 4 * math.log2(slots + 2) / least)) if slots else 0
     # The search for a source ends at its need; slots beyond twice the mix are placed at its end instead.
     longer = min(longer, 2 * slots)
-    shares = _running(
+    shares = running_before(
         owed.withColumn("one", F.floor(F.col("sid") / 1_000)), [], "one", ["sid"], F.col("need"), "low"
     ).select("sid", "need", "low", (F.col("low") + F.col("need")).alias("high"))
     cell = lambda c: F.floor(c * POINT_CELLS / F.lit(max(slots, 1)))
@@ -108,7 +96,7 @@ def schedule(table: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     points = spark.range(longer).withColumnRenamed("id", "slot").withColumn("at", at).withColumn("cell", cell(F.col("at")))
     owned = points.join(lookup, "cell").filter("at >= low AND at < high").select("sid", "need", "slot")
     owned = owned.withColumn("slots", F.floor(F.col("slot") / SLOT_CELL))
-    ranked = _running(owned, ["sid"], "slots", ["slot"], F.lit(1), "rank").filter("rank < need")
+    ranked = running_before(owned, ["sid"], "slots", ["slot"], F.lit(1), "rank").filter("rank < need")
     ranked = ranked.select("sid", "rank", "slot")
     every = shares.select("sid", F.explode(F.sequence(F.lit(0), F.col("need") - 1)).alias("rank"))
     late = F.lit(longer) + F.col("rank")
@@ -145,7 +133,7 @@ def mix(
     side = F.broadcast(side) if sources <= BROADCAST_ROWS else side
     placed = rows.join(side, rows["source"].eqNullSafe(side["_source"])).drop("_source", "source")
     placed = placed.withColumn("cell", (F.conv(F.substring("draw", 1, 8), 16, 10).cast("long") % ORDER_CELLS).cast("int"))
-    placed = _running(placed, ["sid"], "cell", ["draw", "size"], F.col("size"), "at")
+    placed = running_before(placed, ["sid"], "cell", ["draw", "size"], F.col("size"), "at")
     placed = write_scratch(placed.drop("cell"), "mix-order").df
     # Each pass over the stream covers the document once; only what lies below the words owed counts.
     passes = F.explode(F.sequence(F.lit(0), F.lit(REPEATS - 1))).alias("epoch")

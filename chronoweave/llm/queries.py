@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from chronoweave.llm import decontaminate, mixing, secrets, simhash, url_filter
+from chronoweave.llm import decontaminate, html_text, mixing, quality, repeats, secrets, simhash, token_files, topk, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -32,14 +33,86 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
 
-@query("op5_benchmark_decontamination")
+_SQL_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+
+@query(
+    "op5_benchmark_decontamination",
+    f"""
+    WITH d AS (SELECT doc_id, {_SQL_WORDS} AS w FROM documents),
+    b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_SQL_WORDS} AS w FROM benchmark),
+    i AS (SELECT item, w, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0),
+    g AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS gram FROM i),
+    p AS (
+      SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS gram
+      FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM g))
+    ),
+    h AS (SELECT doc_id, p.i AS i, p.n AS n, item FROM p JOIN g ON p.n = g.n AND p.gram = g.gram),
+    c AS (
+      SELECT doc_id, count(DISTINCT at) AS n_hit
+      FROM (SELECT doc_id, unnest(range(i, i + n)) AS at FROM h) GROUP BY doc_id
+    ),
+    t AS (
+      SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id
+    )
+    SELECT d.doc_id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+      sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN c ON d.doc_id = c.doc_id LEFT JOIN t ON d.doc_id = t.doc_id
+    """,
+)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside windows of benchmark items."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.digest(decontaminate.find_contamination(docs, items))
 
 
-@query("op6_source_mixing")
+@query(
+    "op6_source_mixing",
+    r"""
+    WITH d AS (
+      SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+        md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS draw
+      FROM documents
+    ),
+    s AS (
+      SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+        [3, 1, 2][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INTEGER)] AS weight
+      FROM d GROUP BY source
+    ),
+    -- Sources in the order in which they reach twice their size; the first k are held there.
+    o AS (
+      SELECT *, row_number() OVER w AS k, coalesce(sum(source_size) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS held,
+        sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest, sum(source_size) OVER () AS total
+      FROM s WINDOW w AS (ORDER BY source_size / weight, source NULLS LAST)
+    ),
+    f AS (
+      SELECT min(k) AS k FROM o WHERE weight * (3 * total - 4 * held) <= 4 * rest * source_size
+    ),
+    l AS (
+      SELECT CAST(3 * total - 4 * held AS BIGINT) AS share, CAST(rest AS BIGINT) AS rest FROM o WHERE k = (SELECT k FROM f)
+    ),
+    t AS (
+      SELECT source, source_size,
+        CASE WHEN k < (SELECT k FROM f) THEN CAST(2 * source_size AS DOUBLE)
+          ELSE (weight * (SELECT share FROM l)) / (2 * (SELECT rest FROM l)) END AS target
+      FROM o
+    ),
+    c AS (
+      SELECT d.doc_id AS doc_id, size, source_size, target, least(CAST(round(target) AS BIGINT), 2 * source_size) AS take,
+        CAST(sum(size) OVER (PARTITION BY d.source ORDER BY CAST('0x' || substr(draw, 1, 8) AS BIGINT) % 1024, draw, size
+          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) - size AS at
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+    )
+    SELECT doc_id, size, source_size, target,
+      CASE WHEN size = 0 THEN CAST(0 AS BIGINT)
+        ELSE size * (take // source_size) + greatest(0, least(at + size, take % source_size) - at) END AS taken
+    FROM c
+    """,
+)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that the mix takes."""
     return mixing.mix(table(spark, sf_dir, "documents"))[0]
@@ -55,7 +128,30 @@ URL_RULES = [
 ]
 
 
-@query("op9_url_filters")
+@query(
+    "op9_url_filters",
+    r"""
+    WITH p AS (
+      SELECT page_id,
+        translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+      FROM pages
+    ),
+    r AS (
+      SELECT *, CASE
+        WHEN ('.' || host) LIKE '%.example.org' AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+        WHEN ('.' || host) LIKE '%.example.org' AND starts_with(path, '/es/') THEN 'example.org/es/'
+        WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/fr/') THEN 'com/fr/'
+        WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/de/') THEN 'com/de/'
+        WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/') THEN 'org/' END AS rule
+      FROM p
+    ),
+    v AS (SELECT *, rule IN ('example.org/en/1', 'example.org/es/', 'com/de/') AS blocked FROM r),
+    h AS (SELECT host, count(*) FILTER (blocked) > count(*) FILTER (NOT blocked) AS listed FROM v GROUP BY host)
+    SELECT page_id, v.host AS host, path, rule, CASE WHEN coalesce(blocked, listed) THEN 'block' ELSE 'allow' END AS verdict
+    FROM v JOIN h ON v.host = h.host
+    """,
+)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule and verdict of every page's URL."""
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
@@ -65,3 +161,58 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents")))
+
+
+@query("op3_quality_classifier")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.digest(quality.score_documents(docs, labels))
+
+
+@query("op4_html_extraction")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.digest(html_text.extract(table(spark, sf_dir, "pages")))
+
+
+def token_file_rows(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Write the documents' token ids, read them back and sum them up per document."""
+    import public_tokenizers
+
+    path = token_files.scratch_folder(spark, "token-ids")
+    token_files.write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), path)
+    return token_files.digest(token_files.read_tokens(spark, path))
+
+
+@query("op7_token_id_files")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offsets and checksums of every document's token ids, from the written files."""
+    return token_file_rows(spark, table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op2_exact_top_k",
+    """
+    WITH v AS (
+      SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), s AS (
+      SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+    ), r AS (
+      SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+    )
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
+)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best rows for every vector whose id is divisible by 50."""
+    rows = table(spark, sf_dir, "embeddings")
+    return topk.search(topk.build_index(rows), rows.filter(F.col("vec_id") % topk.EVERY == 0))
+
+
+@query("op8_suffix_array_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of strings of 200 bytes that also start elsewhere."""
+    return repeats.digest(repeats.remove_repeats(table(spark, sf_dir, "documents")))
