@@ -52,8 +52,8 @@ _SQL_WORDS = (
     ),
     h AS (SELECT doc_id, p.i AS i, p.n AS n, item FROM p JOIN g ON p.n = g.n AND p.gram = g.gram),
     c AS (
-      SELECT doc_id, count(DISTINCT at) AS n_hit
-      FROM (SELECT doc_id, unnest(range(i, i + n)) AS at FROM h) GROUP BY doc_id
+      SELECT doc_id, count(DISTINCT pos) AS n_hit
+      FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM h) GROUP BY doc_id
     ),
     t AS (
       SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
@@ -104,12 +104,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     c AS (
       SELECT d.doc_id AS doc_id, size, source_size, target, least(CAST(round(target) AS BIGINT), 2 * source_size) AS take,
         CAST(sum(size) OVER (PARTITION BY d.source ORDER BY CAST('0x' || substr(draw, 1, 8) AS BIGINT) % 1024, draw, size
-          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) - size AS at
+          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) - size AS pos
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
     )
     SELECT doc_id, size, source_size, target,
       CASE WHEN size = 0 THEN CAST(0 AS BIGINT)
-        ELSE size * (take // source_size) + greatest(0, least(at + size, take % source_size) - at) END AS taken
+        ELSE size * (take // source_size) + greatest(0, least(pos + size, take % source_size) - pos) END AS taken
     FROM c
     """,
 )
