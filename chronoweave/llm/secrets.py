@@ -9,6 +9,9 @@ names, become spans only when a single owner holds them.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,9 +23,11 @@ ASSIGN = r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']
 ASSIGN_LEAST = 12
 #: Runs too short fail as a whole here, so the least length can stand in the pattern.
 ACCESS = r"AKIA[A-Z0-9]{14,}"
-HEX = r"[0-9a-f]{16,}"
-#: A free-standing token that may be a credential of unknown form.
-TOKEN = r"[A-Za-z0-9+/_-]{20,}"
+HEX = r"(?<![0-9a-f])[0-9a-f]{16,}"
+#: A free-standing token, with a digit, that may be a credential of unknown form.
+TOKEN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{20,}"
+#: Every assignment holds one of these, in lower case.
+KEYWORDS = ("passw", "secret", "token", "key")
 TOKEN_CHARACTERS = 10
 KINDS = ("assign", "access", "hex", "owner")
 #: Owners from which on a value counts as a copied example.
@@ -70,13 +75,18 @@ def _tokens(text: Column) -> Column:
 
         return let(running_total(sizes), shifted)
 
-    random = lambda t: (
-        t["value"].rlike("[0-9]")
-        & t["value"].rlike("[A-Za-z]")
-        & ~t["value"].rlike(f"{ACCESS}|{HEX}")
-        & (F.size(F.array_distinct(F.split(F.substring(t["value"], 1, 256), ""))) >= TOKEN_CHARACTERS)
+    return F.filter(let(F.split(text, ASSIGN, -1), in_gaps), _random)
+
+
+def _random(token: Column) -> Column:
+    """Whether a token has letters, digits and variety, and holds no span of another kind."""
+    value = token["value"]
+    return (
+        value.rlike("[0-9]")
+        & value.rlike("[A-Za-z]")
+        & ~value.rlike(f"{ACCESS}|{HEX}")
+        & (F.size(F.array_distinct(F.split(F.substring(value, 1, 256), ""))) >= TOKEN_CHARACTERS)
     )
-    return F.filter(let(F.split(text, ASSIGN, -1), in_gaps), random)
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -84,11 +94,21 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     value = F.coalesce(F.col(text).cast("string"), F.lit(""))
 
     def whole(t: Column) -> Column:
+        # Plain searches tell most texts without any match from the others.
+        none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
+        keyword = let(F.lower(t), lambda low: reduce(or_, (F.contains(low, F.lit(k)) for k in KEYWORDS)))
+        only_if = lambda test, spans: F.when(test, spans).otherwise(none)
         assign = F.filter(
             _matches(t, ASSIGN, _span("assign")),
             lambda m: F.char_length(F.regexp_extract(m["value"], f"^{ASSIGN}$", 2)) >= ASSIGN_LEAST,
         )
-        return F.concat(assign, _matches(t, ACCESS, _span("access")), _matches(t, HEX, _span("hex")), _tokens(t))
+        tokens = F.when(keyword, _tokens(t)).otherwise(F.filter(_matches(t, TOKEN, _span("owner")), _random))
+        return F.concat(
+            only_if(keyword, assign),
+            only_if(F.contains(t, F.lit("AKIA")), _matches(t, ACCESS, _span("access"))),
+            only_if(t.rlike(HEX), _matches(t, HEX, _span("hex"))),
+            only_if(t.rlike(TOKEN), tokens),
+        )
 
     return docs.withColumn("spans", let(value, whole))
 
