@@ -59,20 +59,17 @@ def _hits_by_set(rows: DataFrame, hashes: dict[int, list[int]]) -> DataFrame:
 
 def _hits_by_join(rows: DataFrame, windows: DataFrame, sizes: list[int]) -> DataFrame:
     """Windows that have an item window's hash, by a join; one row per hit."""
-    every = F.concat(
-        *(
-            F.transform(
-                F.when(F.size("w") >= n, F.sequence(F.lit(1), F.size("w") - n + 1)).otherwise(F.array().cast("array<int>")),
-                lambda i, n=n: F.struct(
-                    i.alias("start"),
-                    F.lit(n).alias("n"),
-                    F.xxhash64(F.slice("w", i, n)).alias("hash"),
-                    F.array_join(F.slice("w", i, n), " ").alias("gram"),
-                ),
-            )
-            for n in sizes
+    def of_size(n: int) -> Column:
+        starts = F.when(F.size("w") >= n, F.sequence(F.lit(1), F.size("w") - n + 1)).otherwise(F.array().cast("array<int>"))
+        window = lambda i: F.struct(
+            i.alias("start"),
+            F.lit(n).alias("n"),
+            F.xxhash64(F.slice("w", i, n)).alias("hash"),
+            F.array_join(F.slice("w", i, n), " ").alias("gram"),
         )
-    )
+        return F.transform(starts, window)
+
+    every = F.concat(*map(of_size, sizes))
     exploded = rows.select("key", F.explode(every).alias("h")).select("key", "h.*")
     return exploded.join(windows.select("n", "hash").distinct(), ["n", "hash"], "left_semi").drop("hash")
 

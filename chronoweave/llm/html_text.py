@@ -164,8 +164,13 @@ def smoothed(ratios: np.ndarray, deviation: float = SMOOTH) -> np.ndarray:
 
 def main_text(html: str | None) -> str:
     """Article of a page, one line per block; empty if there is none."""
+    html = html or ""
+    # A comment that nothing ends goes on to the end of the page.
+    opened = html.rfind("<!--")
+    if opened >= 0 and "-->" not in html[opened:] and "</script" not in html[opened:].lower():
+        html = html[:opened]
     parser = Blocks()
-    parser.feed(html or "")
+    parser.feed(html)
     parser.close()
     blocks = parser.blocks
     if not blocks:
