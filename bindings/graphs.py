@@ -123,11 +123,11 @@ def _(x):
 
 @query(
     "mass_leak_report",
-    _walk_sql("web", 3)
-    + "\nUNION ALL ".join(f"SELECT {k} AS step, {q6('sum(p)')} AS mass FROM x{k}" for k in range(4)),
+    _walk_sql("web", 10)
+    + "\nUNION ALL ".join(f"SELECT {k} AS step, {q6('sum(p)')} AS mass FROM x{k}" for k in range(11)),
 )
 def _(x):
-    return g.mass_leak_report(x.web, steps=3).withColumn("mass", r6("mass"))
+    return g.mass_leak_report(x.web, steps=10).withColumn("mass", r6("mass"))
 
 
 def _rank_sql(view: str, iterations: int, alpha: float = 0.15) -> str:
@@ -180,15 +180,15 @@ def _(x):
 
 @query(
     "pagerank_trace",
-    _rank_sql("web", 5)
+    _rank_sql("web", 10)
     + "\nUNION ALL ".join(
         f"""SELECT {k} AS step, {q6(f'(SELECT sum(rank) FROM r{k})')} AS total_mass,
   {q6(f'(SELECT coalesce(sum(rank), 0) FROM r{k - 1} WHERE dangling)')} AS dangling_mass"""
-        for k in range(1, 6)
+        for k in range(1, 11)
     ),
 )
 def _(x):
-    found = g.pagerank_trace(x.web, iterations=5)
+    found = g.pagerank_trace(x.web, iterations=10)
     return found.select("step", r6("total_mass").alias("total_mass"), r6("dangling_mass").alias("dangling_mass"))
 
 

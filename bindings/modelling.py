@@ -159,9 +159,9 @@ def _(x):
 
 @query("hash_categoricals")
 def _(x):
-    """Few buckets keep the dense form of the result readable."""
+    """Hashed text columns, as many buckets as by default."""
     texts = x.lineitem.withColumn("supplier", F.col("l_suppkey").cast("string"))
-    hashed = pr.hash_categoricals(["l_returnflag", "l_linestatus", "supplier"], buckets=64).transform(texts)
+    hashed = pr.hash_categoricals(["l_returnflag", "l_linestatus", "supplier"], buckets=1_000).transform(texts)
     return hashed.select(*LINE_KEYS, vector_to_array("categorical_features").alias("categorical_features"))
 
 
@@ -224,12 +224,12 @@ def _(x):
 @query("logreg_baseline")
 def _(x):
     """Scores on the last quarter for a model of the first nine months."""
-    return mo.logreg_baseline(prepared(x), FEATURES, "label", "m", maxIter=50)[1]
+    return mo.logreg_baseline(prepared(x), FEATURES, "label", "m")[1]
 
 
 @query("blocked_cv_logreg")
 def _(x):
-    return mo.blocked_cv_logreg(prepared(x), FEATURES, "label", "y", "m", YEARS, TEST_YEAR, max_iter=50).grid
+    return mo.blocked_cv_logreg(prepared(x), FEATURES, "label", "y", "m", YEARS, TEST_YEAR).grid
 
 
 @query("blocked_cv_mlp")
@@ -249,7 +249,7 @@ def _(x):
 
 @query("permutation_importance")
 def _(x):
-    model = LogisticRegression(maxIter=50).fit(mo.model_table(training_rows(x), NUMERICS, "label"))
+    model = LogisticRegression(maxIter=100).fit(mo.model_table(training_rows(x), NUMERICS, "label"))
     return mo.permutation_importance(model, test_rows(x), NUMERICS, "label", [c for c in LINE_COLUMNS if c not in NUMERICS])
 
 

@@ -129,8 +129,8 @@ def concat_pad(*parts: tuple[Column, int], separator: str = "-") -> Column:
 
 
 def parse_map_literal(text: Column) -> Column:
-    """``{'4': 3}`` style text to ``map<string,int>`` without evaluating it."""
-    return F.from_json(text, "map<string,int>")
+    """``{'4': 3}`` style text to ``map<string,bigint>`` without evaluating it."""
+    return F.from_json(text, "map<string,bigint>")
 
 
 def expand_multiplicity(item: Column, count: Column) -> Column:

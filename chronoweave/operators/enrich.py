@@ -44,11 +44,15 @@ def nearest_station_lookup(
 ) -> DataFrame:
     """One reading per key from the closest station; the station id breaks ties.
 
+    A station of unknown distance comes after all known ones.
+
     The station map is joined first (broadcast when it is small), then a min-by aggregate keeps one
     row per key and task before anything is shuffled.
     """
     mapped = readings.join(small_side(stations), station)
-    best = F.min_by(F.struct(station, *columns), F.struct(distance, station)).alias("_best")
+    best = F.min_by(
+        F.struct(station, *columns), F.struct(F.col(distance).isNull(), distance, station)
+    ).alias("_best")
     return mapped.groupBy(*keys).agg(best).select(*keys, "_best.*")
 
 
@@ -78,7 +82,7 @@ def nearest_reading(
         return every.join(wanted.select(site, bucket), [site, bucket], "left_semi")
     # Several rings may read the readings, so they are computed once.
     readings = write_scratch(readings.select(station, bucket, *columns), "readings").df
-    by_distance = Window.partitionBy(site).orderBy(distance, station)  # rows of the station map only
+    by_distance = Window.partitionBy(site).orderBy(F.asc_nulls_last(distance), station)  # rows of the station map only
     ranked = write_scratch(stations.select(site, station, F.row_number().over(by_distance).alias("_rank")), "ranked").df
     farthest = ranked.agg(F.max("_rank")).first()[0]
     covered = readings.select(bucket).distinct()

@@ -103,12 +103,14 @@ def adjacency_lines(edges: DataFrame, max_links: int = MAX_LINKS) -> DataFrame:
 
 def transition_matrix(edges: DataFrame) -> DataFrame:
     """Share of each edge in its source's weight; dangling vertices have no row."""
-    return _shares(edges.groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
+    whole = edges.dropna(subset=["src", "dst"])
+    return _shares(whole.groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
 
 
 def _shares(merged: DataFrame) -> DataFrame:
     totals = merged.groupBy("src").agg(F.sum("weight").alias("_total"))
-    return merged.join(totals, "src").select("src", "dst", (F.col("weight") / F.col("_total")).alias("share"))
+    # A source whose weights add up to nothing is dangling.
+    return merged.join(totals.filter(F.col("_total") != 0), "src").select("src", "dst", (F.col("weight") / F.col("_total")).alias("share"))
 
 
 @dataclass
@@ -134,6 +136,8 @@ def init_graph(edges: DataFrame, max_links: int = MAX_LINKS) -> WalkGraph:
     rows and merged contributions but never the links.  A hot source is spread over its parts.
     """
     # Edges are read for totals, parts and vertices, so whatever they are computed from runs once.
+    # A link without an end carries no weight: its share would reach no vertex.
+    edges = edges.dropna(subset=["src", "dst"])
     stored = write_scratch(edges.groupBy("src", "dst").agg(F.sum("weight").alias("weight")), "edges")
     merged = stored.df
     links = _parted(_shares(merged), max_links)
@@ -237,14 +241,14 @@ def markov_steady_state(
     """State distribution after repeated transitions, stopping early once no state moves by ``atol``.
 
     ``doubling`` squares the transition table each step, so ``k`` steps give ``x T^(2^k)``.  Squares
-    fill up, so that form is for chains of at most ``max_states`` states.
+    fill up, so beyond ``max_states`` states the same distribution comes from as many plain steps.
     """
     if not doubling:
         return _walk(edges, steps, start, atol, max_links)[0]
     nodes = write_scratch(graph_nodes(edges), "states").df
     size = nodes.count()
     if size > max_states:
-        raise ValueError(f"{size} states are too many for doubling")
+        return _walk(edges, 2**steps, start, None, max_links)[0]
     table = write_scratch(transition_matrix(edges), "power").df
     for _ in range(steps):
         left = table.select("src", F.col("dst").alias("mid"), F.col("share").alias("first"))

@@ -78,20 +78,22 @@ def threshold_search(df: DataFrame, probability: str, label: str, steps: int = 1
     p = F.col(probability)
     # The comparison repairs bins that floating-point division puts one too high or too low.
     k = F.floor(p * steps)
-    k = F.when((k + 1) / steps <= p, k + 1).when(k / steps > p, k - 1).otherwise(k).cast("int")
+    k = F.when((k + 1) / steps <= p, k + 1).when(k / steps > p, k - 1).otherwise(k)
+    # Scores outside of [0, 1] are above all cut-offs or below them, and still count.
+    k = F.greatest(F.lit(-1), F.least(F.lit(steps), k)).cast("int")
     positive = F.col(label).cast("int") == 1
     bins = df.filter(p.isNotNull()).groupBy(k.alias("bin")).agg(
         F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")
     )
-    every = df.sparkSession.range(steps + 1).select(F.col("id").cast("int").alias("bin"))
+    every = df.sparkSession.range(-1, steps + 1).select(F.col("id").cast("int").alias("bin"))
     filled = every.join(bins, "bin", "left").fillna(0, ["pos", "neg"])
-    above = Window.orderBy(F.col("bin").desc())  # steps + 1 rows
+    above = Window.orderBy(F.col("bin").desc())  # steps + 2 rows
     swept = filled.select(
         "bin",
         F.sum("pos").over(above).alias("tp"),
         F.sum("neg").over(above).alias("fp"),
         F.sum("pos").over(Window.partitionBy()).alias("actual"),
-    )
+    ).filter("bin >= 0")
     zero = F.lit(0.0)
     scored = swept.select(
         (F.col("bin") / steps).alias("threshold"), "tp", "fp", (F.col("actual") - F.col("tp")).alias("fn"),

@@ -40,7 +40,9 @@ def undersample_majority(df: DataFrame, label: str, block: str, keys: Sequence[s
     counts = df.groupBy(block).agg(F.count_if(y == 1).alias("_pos"), F.count_if(y == 0).alias("_neg"))
     ratios = counts.select(block, F.least(F.coalesce(F.try_divide("_pos", "_neg"), F.lit(1.0)), F.lit(1.0)).alias("_ratio"))
     chosen = key_hash(*map(F.col, keys)) < F.col("_ratio") * F.lit(float(2**32))
-    return df.join(small_side(ratios), block).filter((y == 1) | ((y == 0) & chosen)).drop("_ratio").select(*df.columns)
+    ratios = ratios.withColumnRenamed(block, "_block")
+    same = F.col(block).eqNullSafe(F.col("_block"))
+    return df.join(small_side(ratios), same).filter((y == 1) | ((y == 0) & chosen)).drop("_ratio").select(*df.columns)
 
 
 def impute(columns: Sequence[str], strategy: str = "median", suffix: str = "_imputed") -> Imputer:

