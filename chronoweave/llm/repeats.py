@@ -18,7 +18,6 @@ are merged by binary search in one another.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -231,27 +230,27 @@ def _shard_digests(ranges: int):
         contexts = table.column("context").to_pylist()
         counts = table.column("n").to_numpy()
         owner, offset, repeated = shared_windows(contexts, counts)
+        digest = xxhash.xxh3_128_digest
         digests = b"".join(
-            hashlib.blake2b(contexts[i][o : o + LENGTH], digest_size=16).digest()
-            for i, o in zip(owner.tolist(), offset.tolist(), strict=True)
+            digest(contexts[i][o : o + LENGTH]) for i, o in zip(owner.tolist(), offset.tolist(), strict=True)
         )
         halves = np.frombuffer(digests, ">u8").reshape(-1, 2)
         order = np.lexsort((halves[:, 1], halves[:, 0]))
         top = halves[order, 0].astype(np.uint64) >> np.uint64(32)
         bounds = np.searchsorted(top, (np.arange(ranges + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(ranges))
         bounds[-1] = len(order)
-        keys, at = table.column("key").to_pylist(), table.column("at").to_numpy()
-        rows = {"h": [], "range": [], "digests": [], "keys": [], "at": [], "own": []}
-        for r in range(ranges):
-            mine = order[bounds[r] : bounds[r + 1]]
-            if len(mine):
-                rows["h"].append(table.column("h")[0].as_py())
-                rows["range"].append(r)
-                rows["digests"].append(halves[mine].tobytes())
-                rows["keys"].append([keys[i] for i in owner[mine].tolist()])
-                rows["at"].append((at[owner[mine]] + offset[mine]).tolist())
-                rows["own"].append(repeated[mine].tolist())
-        return pa.table(rows, schema=_PIECE)
+        filled = np.flatnonzero(np.diff(bounds))
+        lists = pa.array(np.r_[bounds[filled], len(order)].astype(np.int32))
+        who = owner[order]
+        columns = [
+            pa.array([table.column("h")[0].as_py()] * len(filled), pa.int64()),
+            pa.array(filled.astype(np.int32)),
+            pa.array([halves[order[bounds[r] : bounds[r + 1]]].tobytes() for r in filled], pa.binary()),
+            pa.ListArray.from_arrays(lists, table.column("key").combine_chunks().take(pa.array(who))),
+            pa.ListArray.from_arrays(lists, pa.array(table.column("at").to_numpy()[who] + offset[order])),
+            pa.ListArray.from_arrays(lists, pa.array(repeated[order])),
+        ]
+        return pa.Table.from_arrays(columns, schema=_PIECE)
 
     return of_shard
 
@@ -269,31 +268,19 @@ _PIECE = pa.schema(
 
 
 def _merge_range(table: pa.Table) -> pa.Table:
-    """Windows of a range that several shards hold, found by binary search of each piece in the others."""
-    pieces = []
-    for d in table.column("digests").to_pylist():
-        pieces.append(np.frombuffer(d, ">u8").astype(np.uint64).reshape(-1, 2))
-    keys, first = [], []
-    every = np.concatenate(pieces)
-    order = np.lexsort((every[:, 1], every[:, 0]))
-    every = every[order]
+    """Windows of a range that several shards hold, found by binary search of each piece in all."""
+    flat = lambda c: table.column(c).combine_chunks().flatten()
+    digests = np.frombuffer(b"".join(table.column("digests").to_pylist()), ">u8").astype(np.uint64).reshape(-1, 2)
+    order = np.lexsort((digests[:, 1], digests[:, 0]))
+    merged = digests[order]
     # A digest's number in the merged order; equal digests share one.
-    number = np.cumsum(np.r_[True, (every[1:] != every[:-1]).any(axis=1)])
-    for piece, key, at, own in zip(
-        pieces, table.column("keys").to_pylist(), table.column("at").to_pylist(), table.column("own").to_pylist(), strict=True
-    ):
-        low = np.searchsorted(every[:, 0], piece[:, 0], "left")
-        # Equal first halves are told apart by the second.
-        while True:
-            behind = (every[low, 0] == piece[:, 0]) & (every[low, 1] < piece[:, 1])
-            if not behind.any():
-                break
-            low = low + behind
-        held = np.searchsorted(number, number[low], "right") - np.searchsorted(number, number[low], "left")
-        for i in np.flatnonzero((held > 1) | np.array(own)).tolist():
-            keys.append(key[i])
-            first.append(at[i])
-    return pa.table({"key": pa.array(keys, pa.binary()), "first": pa.array(first, pa.int64()), "last": pa.array(first, pa.int64())})
+    number = np.cumsum(np.r_[True, (merged[1:] != merged[:-1]).any(axis=1)])
+    held = np.searchsorted(number, number, "right") - np.searchsorted(number, number, "left")
+    shared = flat("own").to_numpy(zero_copy_only=False)
+    shared[order[held > 1]] = True
+    found = pa.array(np.flatnonzero(shared))
+    at = flat("at").take(found)
+    return pa.table({"key": flat("keys").take(found), "first": at, "last": at})
 
 
 def repeated_windows(docs: DataFrame, shard_contexts: int = SHARD_CONTEXTS) -> DataFrame:
@@ -302,20 +289,22 @@ def repeated_windows(docs: DataFrame, shard_contexts: int = SHARD_CONTEXTS) -> D
     The key stands for a text; rows with the same key are copies, and their places count apart.
     """
     schema = "key binary, h long, c long, at long, n long"
-    found = write_scratch(docs.select("key", "bytes").mapInArrow(_anchor_rows, schema), "anchors").df
-    contexts = found.groupBy("h", "c").agg(F.count("*").alias("m"))
-    grams = contexts.groupBy("h").agg(F.count("*").alias("contexts"))
-    useful = contexts.join(grams, "h").filter("m > 1 OR contexts > 1")
-    useful = write_scratch(useful, "useful-contexts").df
-    placed = write_scratch(found.join(useful, ["h", "c"]), "placed-contexts").df
-    whole = placed.filter("m > 1").select("key", F.col("at").alias("first"), (F.col("at") + F.col("n") - 1).alias("last"))
-    # One place of every context whose gram has others.
-    chosen = (
-        placed.filter("contexts > 1")
-        .groupBy("h", "c")
-        .agg(F.min(F.struct("key", "at", "n")).alias("r"), F.max("contexts").alias("contexts"))
+    found = write_scratch(docs.select("key", "bytes").mapInArrow(_anchor_rows, schema), "anchors")
+    grams = found.df.groupBy("h").agg(F.count("*").alias("places"), (F.min("c") != F.max("c")).alias("mixed"))
+    # Written, so that the join can split the places of a hot gram.
+    useful = write_scratch(grams.filter("places > 1").select("h", "mixed"), "useful-grams").df
+    placed = write_scratch(found.df.join(useful, "h"), "placed-contexts").df
+    found.discard()
+    # Equal contexts are repeated as a whole; one place of each stands for it among the others of its gram.
+    contexts = placed.filter("mixed").groupBy("h", "c").agg(
+        F.count("*").alias("places"), F.min(F.struct("key", "at", "n")).alias("r")
     )
-    chosen = write_scratch(chosen.select("h", "c", "r.*", "contexts"), "chosen-contexts").df
+    contexts = write_scratch(contexts, "mixed-contexts").df
+    equal = placed.filter("mixed").join(contexts.filter("places > 1").select("h", "c"), ["h", "c"])
+    equal = placed.filter("NOT mixed").select("key", "at", "n").unionByName(equal.select("key", "at", "n"))
+    whole = equal.select("key", F.col("at").alias("first"), (F.col("at") + F.col("n") - 1).alias("last"))
+    sizes = contexts.groupBy("h").agg(F.count("*").alias("contexts")).filter("contexts > 1")
+    chosen = write_scratch(contexts.join(sizes, "h").select("h", "r.*", "contexts"), "chosen-contexts").df
     wanted = chosen.groupBy("key").agg(F.collect_list(F.struct("h", "at", "n")).alias("wanted"))
     # One copy of each text gives the bytes.
     ids = docs.groupBy("key").agg(F.min("row").alias("row"))
