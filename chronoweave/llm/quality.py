@@ -167,10 +167,13 @@ def score_documents(
     ids are passed over.  Null and empty texts score like a text without words.  Repeated rows keep
     their own row.
     """
-    carried = F.struct(F.col(doc_id).alias("doc_id"), *keep).alias("doc")
-    read = docs.select(carried, F.col(text).cast("string").alias("text"))
-    schema = StructType([read.schema["doc"], StructField("x", ArrayType(DoubleType()))])
-    rows = write_scratch(read.mapInArrow(_statistics, schema), "quality-statistics").df
+    def counted(columns: tuple[str, ...]) -> DataFrame:
+        carried = F.struct(F.col(doc_id).alias("doc_id"), *columns).alias("doc")
+        read = docs.select(carried, F.col(text).cast("string").alias("text"))
+        schema = StructType([read.schema["doc"], StructField("x", ArrayType(DoubleType()))])
+        return read.mapInArrow(_statistics, schema)
+
+    rows = write_scratch(counted(()), "quality-statistics").df
     known = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("y")).dropna()
     known = known.groupBy("doc_id").agg(F.max("y").alias("y")).filter(training_rows())
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
@@ -184,7 +187,8 @@ def score_documents(
     def scored(values):
         return pd.Series(model.score(np.array(values.to_list(), dtype=np.float64).reshape(-1, WIDTH)))
 
-    out = rows.select("doc.*", scored("x").alias("score"))
+    # Kept columns may hold texts, which are cheaper to read again than to write here.
+    out = (counted(keep) if keep else rows).select("doc.*", scored("x").alias("score"))
     return out.withColumn("held_out", training_rows(held_out=True)).withColumn(
         "predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0)
     )
