@@ -26,13 +26,15 @@ K = 5
 EVERY = 50
 BLOCK_ROWS = 16_384
 GROUP_QUERIES = 64
-#: Components beyond this, after scaling, would leave 64-bit scores.
-LARGEST = 1 << 26
+#: Components beyond this, after scaling, could leave the 38 digits in which scores are compared.
+LARGEST = 1 << 57
+#: Vectors with components beyond this have blocks of their own, so that their bits widen no other block.
+NARROW = 1 << 15
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def quantised(rows: DataFrame, vec_id: str, vector: str) -> DataFrame:
-    """(vec_id, v, dim) of the vectors that take part: no null or non-finite component, an id."""
+    """(vec_id, v, dim) of the vectors that take part: an id, all components finite and within ``LARGEST``."""
     scaled = F.transform(F.col(vector), lambda x: F.floor(F.lit(float(SCALE)) * x.cast("double")))
     sound = F.forall(
         F.col(vector), lambda x: F.coalesce(F.abs(x.cast("double")) <= LARGEST / SCALE, F.lit(False)) & ~F.isnan(x.cast("double"))
@@ -147,7 +149,8 @@ def best_of_block(
     score = _scores(slices, queries)
     sure, tied = _select(score, rows, k)
     most = (1 << slices.shape[1]) - 1
-    shift = queries.sum(axis=1) * low + np.where(queries < 0, queries, 0).sum(axis=1) * most
+    exact = queries.astype(object)
+    shift = exact.sum(axis=1) * low + np.where(queries < 0, exact, 0).sum(axis=1) * most
     out: tuple[list[int], list[int], list[int]] = ([], [], [])
     for q in range(len(queries)):
         place = lambda m: np.flatnonzero(np.unpackbits(m[q].view(np.uint8), bitorder="little"))
@@ -173,7 +176,7 @@ def _search(k: int):
                 queries = np.array([q["v"] for q in r["queries"]], np.int64).reshape(len(query_ids), r["dim"])
                 at, found, score = best_of_block(ids, slices, r["low"], query_ids, queries, k)
                 keys = [r["queries"][i]["query"] for i in at]
-                columns = [pa.array(keys, pa.string()), pa.array(query_ids[at]), pa.array(found, pa.int64()), pa.array(score, pa.int64())]
+                columns = [pa.array(keys, pa.string()), pa.array(query_ids[at]), pa.array(found, pa.int64()), pa.array(score, pa.decimal128(38, 0))]
                 yield pa.RecordBatch.from_arrays(columns, names=["query", "query_id", "vec_id", "score"])
 
     return search
@@ -183,7 +186,8 @@ def build_index(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embeddin
     """Bit-sliced index of every vector that takes part, one row per block, written to shared storage."""
     sound = write_scratch(quantised(rows, vec_id, vector), "topk-rows").df
     blocks = max(1, math.ceil(sound.count() / block_rows))
-    block = F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).alias("block")
+    at = F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks))
+    block = F.when(F.forall("v", lambda x: F.abs(x) <= NARROW), at).otherwise(-1 - at).alias("block")
     built = sound.select("vec_id", "v", "dim", block).groupBy("dim", "block").applyInArrow(
         _build, "dim int, block long, low long, bits int, ids binary, slices binary"
     )
@@ -197,7 +201,8 @@ def search(
 
     Rows with the query's own id are no candidates, nor are vectors of another length.  Null vectors,
     vectors with null or non-finite components and null ids take no part.  Repeated queries answer
-    once; repeated candidates count each.  Fewer candidates than ``k`` give fewer rows.
+    once; repeated candidates count each.  Fewer candidates than ``k`` give fewer rows.  Ranks follow the
+    exact score; one beyond a long is returned as the nearest long.
     """
     queries = quantised(rows, vec_id, vector).distinct().withColumn("query", F.md5(F.to_json(F.struct("vec_id", "v"))))
     queries = write_scratch(queries, "topk-queries").df
@@ -211,7 +216,8 @@ def search(
     pairs = index.join(sent, ["dim", "block"]).repartition(
         max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), groups), F.xxhash64("block", F.col("queries")[0]["query"])
     )
-    found = pairs.mapInArrow(_search(k), "query string, query_id long, vec_id long, score long")
+    found = pairs.mapInArrow(_search(k), "query string, query_id long, vec_id long, score decimal(38,0)")
     order = Window.partitionBy("query", "query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    least, most = (F.lit(end).cast("decimal(38,0)") for end in (-(1 << 63), (1 << 63) - 1))
+    return ranked.select("query_id", "rank", "vec_id", F.greatest(least, F.least(most, "score")).cast("long").alias("score"))

@@ -259,6 +259,19 @@ def test_top_k(spark):
     assert topk.search(topk.build_index(table.limit(0)), table).count() == 0
 
 
+def test_top_k_of_long_components(spark):
+    vectors = {0: [0.5, -1.25], 1: [3e14, -2e12], 2: [-4e14, 1e3], 3: [1e9, 0.1], 50: [-1e7, 4e5], 100: [5e14, -5e14], 101: [-0.01, 7.0]}
+    table = spark.createDataFrame([(i, v) for i, v in vectors.items()], "vec_id long, embedding array<double>")
+    found = topk.search(topk.build_index(table, block_rows=2), table.filter("vec_id % 50 = 0")).collect()
+    q = {i: [int(np.floor(256 * x)) for x in v] for i, v in vectors.items()}
+    wanted = set()
+    for i in (0, 50, 100):
+        best = sorted((-sum(a * b for a, b in zip(q[i], q[j], strict=True)), j) for j in q if j != i)[:5]
+        wanted |= {(i, n, j, max(-(2**63), min(2**63 - 1, -s))) for n, (s, j) in enumerate(best, 1)}
+    assert {tuple(r) for r in found} == wanted
+    assert len(found) == 15
+
+
 def test_quality(spark, data_dir):
     docs, labels = (queries.table(spark, data_dir.replace("sf0.001", "sf0.01"), t) for t in ("documents", "labels"))
     odd = docs.limit(1).selectExpr("NULL AS doc_id", "NULL AS text", "lang", "source", "n_chars")
