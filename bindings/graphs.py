@@ -64,16 +64,25 @@ def _(x):
     return g.initial_ranks(g.init_graph(x.web)).select("id", r6("rank").alias("rank"), "dangling")
 
 
+#: Fixed values of events' types.
+STATES = ("click", "error", "purchase", "signup", "view")
+
+
 @query(
     "adjacency_matrix",
     TRANS
     + "SELECT src AS id, "
     + ", ".join(
         f"CAST(max(CASE WHEN dst = '{k}' THEN 1 ELSE 0 END) AS INTEGER) AS \"{k}\""
-        for k in ("click", "error", "purchase", "signup", "view")
+        for k in STATES
     )
     + " FROM trans GROUP BY src",
 )
+def _(x):
+    return g.adjacency_matrix(x.trans, STATES)
+
+
+@query("adjacency_matrix_sparse", TRANS + "SELECT DISTINCT src AS id, dst AS other, 1 AS link FROM trans")
 def _(x):
     return g.adjacency_matrix(x.trans)
 

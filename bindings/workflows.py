@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from bindings.registry import q6, query, r6
 from bindings.tables import LINE_COLUMNS, LINE_KEYS, NUMERICS, with_views
 from chronoweave.functions import scalars as s
-from chronoweave.operators import models
 from chronoweave.plans import delay_model as dm
 from chronoweave.plans import departures as dp
 from chronoweave.scratch import scratch_root
@@ -190,7 +189,7 @@ def _(x):
     """Rows, balance, blocked search of both families, stored winners, vote and report."""
     train, test = dm.prepare_tables(StageStore(x.spark, _folder(x)), x.li, LINE_SPEC)
     store = ModelStore(x.spark, _folder(x))
-    dm.fit_models(train, test, LINE_SPEC, store, models.LOGREG_GRID[:2], models.MLP_GRID[:1], max_iter=50)
+    dm.fit_models(train, test, LINE_SPEC, store)
     fitted = {name: store.load(name) for name in ("logreg", "mlp")}
     report, _ = dm.ensemble_report(dm.ensemble_predictions(fitted, test, LINE_SPEC))
     return report

@@ -6,6 +6,7 @@ one step long and scalars of a step (masses, largest change) are read from writt
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -61,13 +62,16 @@ def weighted_edges(df: DataFrame, src: str, dst: str, weight: Column | None = No
     return df.groupBy(F.col(src).alias("src"), F.col(dst).alias("dst")).agg(total.alias("weight"))
 
 
-def adjacency_matrix(edges: DataFrame, max_nodes: int = 2_000) -> DataFrame:
-    """0/1 matrix with one column per vertex; refuses graphs too wide for a table."""
+def adjacency_matrix(edges: DataFrame, columns: Sequence | None = None) -> DataFrame:
+    """0/1 matrix of the graph: its cells that hold 1, as (id, other, link).
+
+    With ``columns``, ids chosen by the caller, one row per vertex and a 0/1 column for each of them.
+    """
+    if columns is None:
+        cells = edges.select(F.col("src").alias("id"), F.col("dst").alias("other")).dropna().distinct()
+        return cells.withColumn("link", F.lit(1))
     nodes = graph_nodes(edges)
-    ids = [r["id"] for r in nodes.orderBy("id").limit(max_nodes + 1).collect()]
-    if len(ids) > max_nodes:
-        raise ValueError(f"more than {max_nodes} vertices; use the edge table")
-    pivoted = edges.groupBy("src").pivot("dst", ids).agg(F.first(F.lit(1)))
+    pivoted = edges.groupBy("src").pivot("dst", list(columns)).agg(F.first(F.lit(1)))
     return nodes.join(pivoted, nodes["id"] == pivoted["src"], "left").drop("src").fillna(0)
 
 

@@ -62,9 +62,13 @@ def model_table(
     period: str | None = None,
     month: str | None = None,
     last_train_month: int = 9,
+    invalid: str = "error",
 ) -> DataFrame:
-    """Only what a fit needs: the vector, the label, and the block and role of the row."""
-    assembled = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="skip").transform(df)
+    """Only what a fit needs: the vector, the label, and the block and role of the row.
+
+    A null feature is an error unless ``invalid`` says ``skip`` (leave the row out) or ``keep``.
+    """
+    assembled = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid=invalid).transform(df)
     columns = [F.col("_features").alias("features"), F.col(label).cast("double").alias("label")]
     if period:
         columns.append(F.col(period).alias("block"))

@@ -95,8 +95,8 @@ def fit_models(
 
 
 def ensemble_predictions(fitted: dict, test: DataFrame, spec: ModelSpec, rule: str = "any") -> DataFrame:
-    """Score the held-out rows with every model, join on the row key and vote."""
-    assembled = prep.assemble_features(list(spec.features), "_features", "skip").transform(test)
+    """Score the held-out rows with every model, join on the row key and vote; a null feature is an error."""
+    assembled = prep.assemble_features(list(spec.features), "_features").transform(test)
     rows = assembled.select(*spec.keys, F.col(spec.label).cast("double").alias("label"), F.col("_features").alias("features"))
     outputs = []
     for name, model in fitted.items():

@@ -112,6 +112,10 @@ def test_betweenness_from_all_sources_given(spark):
     assert {r["id"]: r["betweenness"] for r in given} == pytest.approx(_betweenness(CLOSED))
 
 
-def test_matrix_refuses_wide_graphs(spark):
-    with pytest.raises(ValueError):
-        g.adjacency_matrix(_letters(spark, CLOSED), max_nodes=3)
+def test_matrix_holds_every_cell(spark):
+    edges = _letters(spark, CLOSED)
+    pairs = {(r["src"], r["dst"]) for r in edges.collect()}
+    assert sorted((r["id"], r["other"]) for r in g.adjacency_matrix(edges).collect()) == sorted(pairs)
+    ids = sorted({end for pair in pairs for end in pair})
+    for row in g.adjacency_matrix(edges, ids).collect():
+        assert {(row["id"], i) for i in ids if row[i]} == {p for p in pairs if p[0] == row["id"]}

@@ -9,7 +9,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
 QUERIES, SQL = contract.queries(), contract.oracle_sql()
-#: Grid searches with many fits; run on request with ``-m slow``.
+#: Grid searches with many fits; leave them out with ``-m "not slow"``.
 SLOW = {"blocked_cv_mlp", "blocked_cv_logreg", "delay_model"}
 KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
