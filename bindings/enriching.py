@@ -175,18 +175,18 @@ def _(x):
 
 
 DEGREE = """deg AS (SELECT id, CAST(sum(i) AS BIGINT) AS i, CAST(sum(o) AS BIGINT) AS o FROM (
-  SELECT src AS id, 0 AS i, 1 AS o FROM nat3 UNION ALL SELECT dst, 1, 0 FROM nat3) GROUP BY id),
+  SELECT src AS id, 0 AS i, 1 AS o FROM nat UNION ALL SELECT dst, 1, 0 FROM nat) GROUP BY id),
 n AS (SELECT count(*) AS n FROM deg)"""
 
 
 @query(
     "attach_vertex_feature",
-    with_views("nat3", extra=DEGREE)
+    with_views("nat", extra=DEGREE)
     + f"""SELECT c_custkey, {q6('(i + o) / CAST(n - 1 AS DOUBLE)')} AS nation_degree
 FROM customer LEFT JOIN (SELECT * FROM deg, n) ON c_nationkey = id""",
 )
 def _(x):
-    scores = g.degree_centrality(x.nat3)
+    scores = g.degree_centrality(x.nat)
     attached = e.attach_vertex_feature(
         x.customer.withColumn("nation", F.col("c_nationkey").cast("long")), scores, "id", "nation", "centrality", "nation_degree"
     )

@@ -10,7 +10,7 @@ from bindings.tables import with_views
 from chronoweave.operators import clean
 from chronoweave.operators import graph as g
 
-WEB, NAT, NAT3, TRANS = (with_views(v) for v in ("web", "nat", "nat3", "trans"))
+WEB, NAT, TRANS = (with_views(v) for v in ("web", "nat", "trans"))
 NODES = "SELECT src AS id FROM {0} UNION SELECT dst FROM {0}"
 
 
@@ -89,12 +89,12 @@ def _(x):
 
 @query(
     "adjacency_list",
-    with_views("nat3", extra=f"nodes AS ({NODES.format('nat3')})")
+    with_views("nat", extra=f"nodes AS ({NODES.format('nat')})")
     + """SELECT id, 0 AS part, coalesce(string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst), '') AS neighbours
-FROM nodes LEFT JOIN nat3 ON id = src GROUP BY id""",
+FROM nodes LEFT JOIN nat ON id = src GROUP BY id""",
 )
 def _(x):
-    return g.adjacency_list(x.nat3).withColumn("neighbours", F.array_join("neighbours", ","))
+    return g.adjacency_list(x.nat).withColumn("neighbours", F.array_join("neighbours", ","))
 
 
 SHARES = "shares AS MATERIALIZED (SELECT src, dst, weight / CAST(sum(weight) OVER (PARTITION BY src) AS DOUBLE) AS share FROM {0})"
@@ -161,9 +161,9 @@ def _r10(column: str):
     return (F.round(column, 10) + F.lit(0.0)).alias(column)
 
 
-@query("pagerank", _rank_sql("nat3", 10) + "SELECT id, round(rank, 10) AS rank FROM r10")
+@query("pagerank", _rank_sql("nat", 10) + "SELECT id, round(rank, 10) AS rank FROM r10")
 def _(x):
-    return g.pagerank(x.nat3).select("id", _r10("rank"))
+    return g.pagerank(x.nat).select("id", _r10("rank"))
 
 
 @query("pagerank_web", _rank_sql("web", 10) + "SELECT id, round(rank, 10) AS rank FROM r10")
@@ -203,12 +203,12 @@ def _(x):
 
 @query(
     "degree_centrality",
-    with_views("nat3", extra=DEGREE)
+    with_views("nat", extra=DEGREE)
     + f"""SELECT id, {q6('i / CAST(n - 1 AS DOUBLE)')} AS in_centrality, {q6('o / CAST(n - 1 AS DOUBLE)')} AS out_centrality,
   {q6('(i + o) / CAST(n - 1 AS DOUBLE)')} AS centrality FROM deg, n""",
 )
 def _(x):
-    found = g.degree_centrality(x.nat3)
+    found = g.degree_centrality(x.nat)
     return found.select("id", *(r6(c).alias(c) for c in ("in_centrality", "out_centrality", "centrality")))
 
 

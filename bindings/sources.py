@@ -63,20 +63,20 @@ def _(x):
     return clean.schema_report(x.lineitem).join(F.broadcast(present), "name")  # one row per column
 
 
-EDGES = "SELECT src, dst, weight FROM nat3"
+EDGES = "SELECT src, dst, weight FROM nat"
 
 
-@query("scan_adjacency", with_views("nat3") + EDGES)
+@query("scan_adjacency", with_views("nat") + EDGES)
 def _(x):
     folder = _folder(x)
-    g.adjacency_lines(x.nat3).write.text(folder)
+    g.adjacency_lines(x.nat).write.text(folder)
     return scan.scan_adjacency(x.spark, folder)
 
 
-@query("parse_map_literal", with_views("nat3") + "SELECT src, count(*) AS links, CAST(sum(weight) AS BIGINT) AS weight FROM nat3 GROUP BY src")
+@query("parse_map_literal", with_views("nat") + "SELECT src, count(*) AS links, CAST(sum(weight) AS BIGINT) AS weight FROM nat GROUP BY src")
 def _(x):
     parts = F.split("value", "\t")
-    parsed = g.adjacency_lines(x.nat3).select(parts[0].cast("long").alias("src"), s.parse_map_literal(parts[1]).alias("links"))
+    parsed = g.adjacency_lines(x.nat).select(parts[0].cast("long").alias("src"), s.parse_map_literal(parts[1]).alias("links"))
     total = F.aggregate(F.map_values("links"), F.lit(0).cast("long"), lambda acc, w: acc + w)
     return parsed.select("src", F.size(F.map_keys("links")).cast("long").alias("links"), total.alias("weight"))
 
