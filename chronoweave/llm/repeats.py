@@ -39,6 +39,8 @@ PLACE_BITS = 20
 #: Bytes of contexts one suffix array covers, and contexts of one gram that a shard takes.
 SHARD_BYTES = 4 << 20
 SHARD_CONTEXTS = 10_000
+#: A key with more than this part of all rows is heavy, so that there are fewer heavy keys than this number.
+HEAVY_KEYS = 1_000
 #: Windows of one range in the merge of shards.
 RANGE_WINDOWS = 1_000_000
 #: Depths to which ranks are refined; the last one is at least ``LENGTH``.
@@ -121,13 +123,13 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bytes of the wanted contexts of each text."""
-    names = ["key", "h", "at", "n", "context"]
+    names = ["key", "h", "at", "n", "contexts", "context"]
     for batch in batches:
         for row in range(batch.num_rows):
             text, wanted = batch.column(1)[row].as_py(), batch.column(2)[row].as_py()
             key = pa.array([batch.column(0)[row].as_py()] * len(wanted), pa.binary())
             parts = [text[w["at"] : w["at"] + w["n"] - 1 + LENGTH] for w in wanted]
-            numbers = [pa.array([w[k] for w in wanted], pa.int64()) for k in ("h", "at", "n")]
+            numbers = [pa.array([w[k] for w in wanted], pa.int64()) for k in ("h", "at", "n", "contexts")]
             yield pa.RecordBatch.from_arrays([key, *numbers, pa.array(parts, pa.binary())], names=names)
 
 
@@ -283,6 +285,18 @@ def _merge_range(table: pa.Table) -> pa.Table:
     return pa.table({"key": flat("keys").take(found), "first": at, "last": at})
 
 
+def _join_unique(rows: DataFrame, side: DataFrame, keys: list[str], places: str, total: int) -> DataFrame:
+    """Join rows with a side of one row per key; ``places`` counts a key's rows among ``total`` ones.
+
+    Heavy keys are fewer than ``HEAVY_KEYS`` and a side's row holds a few numbers, so they are broadcast
+    and their rows stay where they are; the rest, without a heavy key, is shuffled.
+    """
+    heavy = F.col(places) * HEAVY_KEYS > total
+    known = F.broadcast(side.filter(heavy))
+    rest = rows.join(F.broadcast(side.filter(heavy).select(keys)), keys, "left_anti")
+    return rows.join(known, keys).unionByName(rest.join(side.filter(~heavy), keys))
+
+
 def repeated_windows(docs: DataFrame, shard_contexts: int = SHARD_CONTEXTS) -> DataFrame:
     """Runs of repeated windows: (key, first, last) by text key; ``docs`` has key and bytes.
 
@@ -291,34 +305,37 @@ def repeated_windows(docs: DataFrame, shard_contexts: int = SHARD_CONTEXTS) -> D
     schema = "key binary, h long, c long, at long, n long"
     found = write_scratch(docs.select("key", "bytes").mapInArrow(_anchor_rows, schema), "anchors")
     grams = found.df.groupBy("h").agg(F.count("*").alias("places"), (F.min("c") != F.max("c")).alias("mixed"))
-    # Written, so that the join can split the places of a hot gram.
-    useful = write_scratch(grams.filter("places > 1").select("h", "mixed"), "useful-grams").df
-    placed = write_scratch(found.df.join(useful, "h"), "placed-contexts").df
+    useful = write_scratch(grams.filter("places > 1"), "useful-grams").df
+    joined = _join_unique(found.df, useful, ["h"], "places", found.df.count()).drop("places")
+    placed = write_scratch(joined, "placed-contexts").df
     found.discard()
     # Equal contexts are repeated as a whole; one place of each stands for it among the others of its gram.
     contexts = placed.filter("mixed").groupBy("h", "c").agg(
         F.count("*").alias("places"), F.min(F.struct("key", "at", "n")).alias("r")
     )
     contexts = write_scratch(contexts, "mixed-contexts").df
-    equal = placed.filter("mixed").join(contexts.filter("places > 1").select("h", "c"), ["h", "c"])
+    again = contexts.filter("places > 1").select("h", "c", "places")
+    equal = _join_unique(placed.filter("mixed"), again, ["h", "c"], "places", placed.count())
     equal = placed.filter("NOT mixed").select("key", "at", "n").unionByName(equal.select("key", "at", "n"))
     whole = equal.select("key", F.col("at").alias("first"), (F.col("at") + F.col("n") - 1).alias("last"))
     sizes = contexts.groupBy("h").agg(F.count("*").alias("contexts")).filter("contexts > 1")
-    chosen = write_scratch(contexts.join(sizes, "h").select("h", "r.*", "contexts"), "chosen-contexts").df
-    wanted = chosen.groupBy("key").agg(F.collect_list(F.struct("h", "at", "n")).alias("wanted"))
+    sizes = write_scratch(sizes, "gram-contexts").df
+    one_each = contexts.select("h", "r.*")
+    chosen = write_scratch(_join_unique(one_each, sizes, ["h"], "contexts", contexts.count()), "chosen-contexts").df
+    wanted = chosen.groupBy("key").agg(F.collect_list(F.struct("h", "at", "n", "contexts")).alias("wanted"))
     # One copy of each text gives the bytes.
     ids = docs.groupBy("key").agg(F.min("row").alias("row"))
     texts = docs.join(wanted.join(ids, "key"), ["key", "row"])
-    cut = texts.select("key", "bytes", "wanted").mapInArrow(_context_rows, "key binary, h long, at long, n long, context binary")
-    crowded = chosen.filter(F.col("contexts") > shard_contexts).select("h", "contexts").distinct()
-    crowd = crowded.agg(F.count("*").alias("n"), F.sum("contexts").alias("contexts")).first()
+    schema = "key binary, h long, at long, n long, contexts long, context binary"
+    cut = texts.select("key", "bytes", "wanted").mapInArrow(_context_rows, schema)
+    crowded = F.col("contexts") > shard_contexts
+    crowd = chosen.filter(crowded).count()
     few, out = cut, whole
-    if crowd["n"]:
+    if crowd:
         cut = write_scratch(cut, "context-bytes").df
-        few = cut.join(crowded, "h", "left_anti")
-        many = cut.join(crowded, "h")
+        few, many = cut.filter(~crowded), cut.filter(crowded)
         shard = F.pmod(F.xxhash64("key", "at"), F.ceil(F.col("contexts") / shard_contexts)).alias("shard")
-        ranges = max(1, -(-int(crowd["contexts"]) * GRAMS // RANGE_WINDOWS))
+        ranges = max(1, -(-crowd * GRAMS // RANGE_WINDOWS))
         pieces = many.select("h", shard, "key", "at", "n", "context").groupBy("h", "shard").applyInArrow(
             _shard_digests(ranges),
             "h long, range int, digests binary, keys array<binary>, at array<long>, own array<boolean>",
