@@ -26,6 +26,22 @@ def _(x):
     return t.entity_lag(rows, "user_id", ["sec"], ["event_id"], columns).select("event_id", *columns.values())
 
 
+@query(
+    "entity_lag_known",
+    EV_NULL
+    + """SELECT event_id, k.value AS known_value, k.sec AS known_sec FROM (
+  SELECT e.event_id AS event_id, max_by(struct_pack(value := p.value, sec := p.sec), p.sec::HUGEINT * 10000000000 + p.event_id) AS k
+  FROM ev_null e LEFT JOIN ev_null p ON e.user_id = p.user_id AND p.sec + 60 * p.h <= e.sec - 7200 GROUP BY e.event_id
+)""",
+)
+def _(x):
+    rows = x.ev_null.withColumn("known_at", F.col("sec") + 60 * F.col("h"))
+    columns = {"value": "known_value", "sec": "known_sec"}
+    return t.entity_lag_known(rows, "user_id", ["sec"], ["event_id"], columns, "sec", "known_at").select(
+        "event_id", *columns.values()
+    )
+
+
 @query(
     "entity_lag_with_ties",
     with_views("li")

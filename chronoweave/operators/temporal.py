@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from chronoweave.ordering import previous_row
+from chronoweave.ordering import latest_known, previous_row
 from chronoweave.skew import FRAME_WORK, TASK_ROWS, timeline_shape, with_loose_rows
 
 HOUR = 3600
@@ -300,6 +300,27 @@ def entity_lag(
     return found.select(*df.columns, *(F.col(f"_previous.{src}").alias(out) for src, out in columns.items()))
 
 
+def entity_lag_known(
+    df: DataFrame,
+    entity: str,
+    order: Sequence[str],
+    tiebreak: Sequence[str],
+    columns: dict[str, str],
+    epoch: str,
+    known_at: str,
+    horizon_s: int = TWO_HOURS,
+    task_rows: int = TASK_ROWS,
+) -> DataFrame:
+    """Bring columns of the entity's last row forward whose ``known_at`` is at most ``epoch - horizon_s``.
+
+    Both are in seconds.  Unlike :func:`entity_lag` it never shows a value before it is known.
+    """
+    if not tiebreak:
+        raise ValueError("a tie-break key is required")
+    found = latest_known(df, entity, [*order, *tiebreak], list(columns), epoch, known_at, horizon_s, "_known", task_rows)
+    return found.select(*df.columns, *(F.col(f"_known.{src}").alias(out) for src, out in columns.items()))
+
+
 def first_event_flag(
     df: DataFrame,
     entity: str,

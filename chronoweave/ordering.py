@@ -143,3 +143,60 @@ def _chunked_previous(df, entity, order, columns, out, task_rows) -> DataFrame:
     from_before = F.when(F.col("_carried.key") == F.col(entity), F.col("_carried.row"))
     lagged = _join_chunks(chunked.withColumn("_lag", F.lag(previous).over(w)), carried, chunks)
     return lagged.withColumn(out, F.coalesce("_lag", from_before)).drop(CHUNK, "_lag", "_carried")
+
+
+def latest_known(
+    df: DataFrame,
+    entity: str,
+    order: Sequence[str],
+    columns: Sequence[str],
+    epoch: str,
+    known: str,
+    horizon_s: int,
+    out: str,
+    task_rows: int = TASK_ROWS,
+) -> DataFrame:
+    """Struct of ``columns`` from the entity's last row in ``order`` that is known ``horizon_s`` seconds before ``epoch``.
+
+    Rows become facts at ``known`` + ``horizon_s`` and questions at ``epoch``; one running maximum over
+    both answers all questions, so nothing grows with the square of a timeline.  Facts of the same
+    second are known; a row whose ``known`` is null is never a fact, and one without ``epoch`` gets null.
+    """
+    shape = timeline_shape(df, entity)
+    last = _windowed_known if 2 * shape.largest <= task_rows else _chunked_known
+
+    def answered(rows: DataFrame) -> DataFrame:
+        fact = F.struct(F.struct(*order).alias("order"), F.struct(*columns).alias("row"))
+        facts = rows.filter(F.col(known).isNotNull()).select(
+            F.col(entity).alias("_entity"), (F.col(known) + horizon_s).alias("_at"), F.lit(0).alias("_asks"), fact.alias("_fact")
+        )
+        questions = rows.select(
+            F.col(entity).alias("_entity"), F.col(epoch).alias("_at"), F.lit(1).alias("_asks"), F.struct("*").alias("_row")
+        )
+        found = last(questions.unionByName(facts, allowMissingColumns=True), task_rows)
+        return found.filter("_asks = 1").select("_row.*", F.col("_last.row").alias(out))
+
+    return with_loose_rows(df, [entity], shape, answered)
+
+
+def _windowed_known(timeline: DataFrame, task_rows: int) -> DataFrame:
+    w = Window.partitionBy("_entity").orderBy("_at", "_asks").rowsBetween(Window.unboundedPreceding, 0)
+    return timeline.withColumn("_last", F.max_by("_fact", "_fact.order").over(w))
+
+
+def _chunked_known(timeline: DataFrame, task_rows: int) -> DataFrame:
+    chunks = math.ceil(timeline.count() / task_rows)
+    chunked = ordered_chunks(timeline, ["_entity", "_at", "_asks"], chunks)
+    # The last entity of a chunk goes on in the next one, with the best fact of all its chunks so far.
+    state = F.struct(F.col("_entity").alias("key"), F.col("_fact").alias("fact"))
+    last = chunked.groupBy(CHUNK).agg(F.max_by(state, F.struct("_entity", "_fact.order")).alias("_state"))
+    so_far = Window.partitionBy("_state.key").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, 0)
+    best = F.struct("_state.key", F.max_by("_state.fact", "_state.fact.order").over(so_far).alias("fact"))
+    carried = last.select(CHUNK, best.alias("_best"))
+    carried = carried.select(CHUNK, F.lag("_best").over(Window.orderBy(CHUNK)).alias("_carried"))
+    w = Window.partitionBy(CHUNK, "_entity").orderBy("_at", "_asks").rowsBetween(Window.unboundedPreceding, 0)
+    found = chunked.withColumn("_own", F.max_by("_fact", "_fact.order").over(w))
+    found = _join_chunks(found, carried, chunks)
+    before = F.when(F.col("_carried.key") == F.col("_entity"), F.col("_carried.fact"))
+    newer = F.col("_own").isNull() | (before["order"] > F.col("_own.order"))
+    return found.withColumn("_last", F.when(before.isNotNull() & newer, before).otherwise(F.col("_own")))

@@ -7,6 +7,9 @@ performance and hourly weather files.
 
 from __future__ import annotations
 
+import zlib
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -113,10 +116,22 @@ def clean_stations(raw: DataFrame, prefix: str = "K") -> DataFrame:
     return mapped.groupBy("STATION", "airport_code").agg(F.min("distance").alias("distance"))
 
 
-def vehicle_features(flights: DataFrame, mode: str = "minutes") -> DataFrame:
-    """Previous departure of the same vehicle and the turnaround after it."""
-    lagged = temporal.entity_lag(flights, "Tail_Number", ["FlightDate", "CRSDepTime"], TIEBREAK, PREVIOUS)
-    gap = s.turnaround(F.col("FlightDate"), F.col("CRSDepTime"), F.col("Prev_FlightDate"), F.col("Prev_ArrTime"), mode)
+def vehicle_features(flights: DataFrame, mode: str = "minutes", horizon_s: int | None = None) -> DataFrame:
+    """Previous departure of the same vehicle and the turnaround after it.
+
+    With ``horizon_s`` it is the last departure that had arrived so many seconds before the scheduled one.
+    """
+    day, clock, order = F.col("FlightDate"), F.col("CRSDepTime"), ["FlightDate", "CRSDepTime"]
+    if horizon_s is None:
+        lagged = temporal.entity_lag(flights, "Tail_Number", order, TIEBREAK, PREVIOUS)
+    else:
+        departs = s.to_epoch_seconds(s.hhmm_to_timestamp(day, clock))
+        arrived = s.to_epoch_seconds(s.arrival_timestamp(day, clock, F.col("ARR_TIME")))
+        clocked = flights.withColumns({"_departs": departs, "_arrived": arrived})
+        lagged = temporal.entity_lag_known(
+            clocked, "Tail_Number", order, TIEBREAK, PREVIOUS, "_departs", "_arrived", horizon_s
+        ).drop("_departs", "_arrived")
+    gap = s.turnaround(day, clock, F.col("Prev_FlightDate"), F.col("Prev_ArrTime"), mode)
     return lagged.withColumn("Turnaround_Time", gap)
 
 
@@ -139,12 +154,14 @@ def timed(flights: DataFrame) -> DataFrame:
     )
 
 
-def congestion_features(flights: DataFrame, horizon_s: int = 1) -> DataFrame:
-    """Delays, cancellations and arrivals at the origin in the last two hours."""
+def congestion_features(flights: DataFrame, horizon_s: int = 1, arrival_horizon_s: int = 0) -> DataFrame:
+    """Delays, cancellations and arrivals at the origin in the last two hours, up to a horizon before departure."""
     flags = {"Num_airport_wide_delays": F.col("delay_flag"), "Num_airport_wide_cancelations": F.col("cancel_flag")}
     counted = temporal.trailing_count(flights, "Origin", "departure_epoch", flags, horizon_s=horizon_s)
     arrivals = flights.select(F.col("Dest").alias("Origin"), F.col("arrival_epoch").alias("departure_epoch")).dropna()
-    return temporal.trailing_arrivals(counted, arrivals, "Origin", "departure_epoch", out="Oncoming_flights")
+    return temporal.trailing_arrivals(
+        counted, arrivals, "Origin", "departure_epoch", out="Oncoming_flights", horizon_s=arrival_horizon_s
+    )
 
 
 def history_features(flights: DataFrame, skip_null: bool = False) -> DataFrame:
@@ -178,19 +195,70 @@ def weather_features(flights: DataFrame, weather: DataFrame, stations: DataFrame
 
 # The selected feature columns in their published order.
 FINAL_COLUMNS = [
-    *("DepDel15", "FlightDate", "Year", "Quarter", "Month", "DayofMonth", "DayOfWeek", "CRSDepTime", "DepTimeBlk"),
-    *("departure_datetime", "arrival_datetime", "Reporting_Airline", "Flight_Number_Reporting_Airline", "Tail_Number"),
-    *("Origin", "OriginCityName", "OriginState", "Dest", "DestCityName", "DestState"),
-    *("OriginAirportID", "DestAirportID", "OriginWac", "DestWac", "Distance", "DistanceGroup", "CRSElapsedTime"),
-    *("ARR_DELAY", "TAXI_IN", "TAXI_OUT", "ARR_TIME", "DEP_TIME", "CRS_ARR_TIME", "CANCELLED"),
-    *("delay_flag", "cancel_flag", "HourlyWindSpeed", "HourlyWindGustSpeed", "HourlyVisibility"),
-    *("HourlySkyConditions", "HourlyPrecipitation", "HourlyPresentWeatherType", "HourlyDryBulbTemperature"),
-    *("HourlyWetBulbTemperature", "HourlyDewPointTemperature", "HourlyRelativeHumidity", "HourlySeaLevelPressure"),
-    *("Prev_TaxiIn", "Prev_TaxiOut", "Prev_ArrDelay", "Prev_ArrTime", "Prev_FlightDate", "Turnaround_Time"),
-    *("Num_airport_wide_delays", "Num_airport_wide_cancelations", "Oncoming_flights"),
-    *("historical_ontime_arrival_pct", "historical_ontime_departure_pct", "recent_ontime_arrival_pct"),
-    *("recent_ontime_departure_pct", "short_term_ontime_arrival_pct", "short_term_ontime_departure_pct"),
-    *("OntimeArrivalPct", "OntimeDeparturePct"),
+    "DepDel15",
+    "FlightDate",
+    "Year",
+    "Quarter",
+    "Month",
+    "DayofMonth",
+    "DayOfWeek",
+    "CRSDepTime",
+    "DepTimeBlk",
+    "departure_datetime",
+    "arrival_datetime",
+    "Reporting_Airline",
+    "Flight_Number_Reporting_Airline",
+    "Tail_Number",
+    "Origin",
+    "OriginCityName",
+    "OriginState",
+    "Dest",
+    "DestCityName",
+    "DestState",
+    "OriginAirportID",
+    "DestAirportID",
+    "OriginWac",
+    "DestWac",
+    "Distance",
+    "DistanceGroup",
+    "CRSElapsedTime",
+    "ARR_DELAY",
+    "TAXI_IN",
+    "TAXI_OUT",
+    "ARR_TIME",
+    "DEP_TIME",
+    "CRS_ARR_TIME",
+    "CANCELLED",
+    "delay_flag",
+    "cancel_flag",
+    "HourlyWindSpeed",
+    "HourlyWindGustSpeed",
+    "HourlyVisibility",
+    "HourlySkyConditions",
+    "HourlyPrecipitation",
+    "HourlyPresentWeatherType",
+    "HourlyDryBulbTemperature",
+    "HourlyWetBulbTemperature",
+    "HourlyDewPointTemperature",
+    "HourlyRelativeHumidity",
+    "HourlySeaLevelPressure",
+    "Prev_TaxiIn",
+    "Prev_TaxiOut",
+    "Prev_ArrDelay",
+    "Prev_ArrTime",
+    "Prev_FlightDate",
+    "Turnaround_Time",
+    "Num_airport_wide_delays",
+    "Num_airport_wide_cancelations",
+    "Oncoming_flights",
+    "historical_ontime_arrival_pct",
+    "historical_ontime_departure_pct",
+    "recent_ontime_arrival_pct",
+    "recent_ontime_departure_pct",
+    "short_term_ontime_arrival_pct",
+    "short_term_ontime_departure_pct",
+    "OntimeArrivalPct",
+    "OntimeDeparturePct",
 ]
 
 
@@ -204,19 +272,45 @@ def final_features(flights: DataFrame, weekend: tuple[int, ...] = (6, 7)) -> Dat
     return selected.withColumns({"Hour": hour, **flags})
 
 
+@dataclass(frozen=True)
+class Switches:
+    """Choices of the workflow; each one is an argument of the step that it belongs to."""
+
+    prefix: str = "K"
+    turnaround_mode: str = "minutes"
+    vehicle_horizon_s: int | None = None
+    congestion_horizon_s: int = 1
+    arrival_horizon_s: int = 0
+    skip_null: bool = False
+    weekend: tuple[int, ...] = (6, 7)
+
+
 def build_features(
-    store: StageStore, flights: DataFrame, weather: DataFrame, stations: DataFrame, version: str = "1"
+    store: StageStore,
+    flights: DataFrame,
+    weather: DataFrame,
+    stations: DataFrame,
+    version: str = "1",
+    switches: Switches = Switches(),
 ) -> DataFrame:
-    """Run all steps over a stage store and return the stored feature table, one folder per year."""
+    """Run all steps over a stage store and return the stored feature table, one folder per year.
+
+    ``version`` tells the input apart, such as :func:`chronoweave.sources.stages.input_version` does;
+    other switches give other stages.
+    """
+    built = version if switches == Switches() else f"{version}-{zlib.crc32(repr(switches).encode()):08x}"
 
     def stage(name, build, **kw):
-        return store.stage(name, build, version, **kw)
-
-    cleaned = stage("02_flights_clean", lambda: clean_flights(flights))
-    readings = stage("02_weather_clean", lambda: clean_weather(weather))
-    sites = stage("02_airports_clean", lambda: clean_stations(stations))
-    lagged = stage("03_aircraft_features", lambda: vehicle_features(cleaned))
-    crowded = stage("04_airport_congestion", lambda: congestion_features(timed(lagged)))
-    rated = stage("05_historical_performance", lambda: history_features(crowded))
-    weathered = stage("06_weather_integrated", lambda: weather_features(rated, readings, sites), partition_by=["Year"])
-    return stage("07_final_features", lambda: final_features(weathered), partition_by=["Year"])
+        return store.stage(name, build, built, **kw)
+
+    cleaned = stage("flights", lambda: clean_flights(flights))
+    readings = stage("readings", lambda: clean_weather(weather))
+    sites = stage("sites", lambda: clean_stations(stations, switches.prefix))
+    lagged = stage("vehicles", lambda: vehicle_features(cleaned, switches.turnaround_mode, switches.vehicle_horizon_s))
+    crowded = stage(
+        "congestion",
+        lambda: congestion_features(timed(lagged), switches.congestion_horizon_s, switches.arrival_horizon_s),
+    )
+    rated = stage("rates", lambda: history_features(crowded, switches.skip_null))
+    weathered = stage("weathered", lambda: weather_features(rated, readings, sites), partition_by=["Year"])
+    return stage("features", lambda: final_features(weathered, switches.weekend), partition_by=["Year"])

@@ -8,6 +8,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.ml import Model, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chronoweave.scratch import hadoop_path
 from chronoweave.sources.scan import merge_parts, sink_parquet
@@ -16,12 +17,16 @@ _NAME = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.=-]*")
 
 
 def input_version(spark: SparkSession, *paths: str) -> str:
-    """Short fingerprint of input folders: it changes when files are added, rewritten or removed."""
+    """Short fingerprint of input folders: it changes when files are added, rewritten or removed, at any depth.
+
+    Spark lists the files; their content is not read.
+    """
     digest = hashlib.sha256()
     for path in paths:
-        fs, root = hadoop_path(spark, path)
-        summary, status = fs.getContentSummary(root), fs.getFileStatus(root)
-        digest.update(f"{path}|{summary.getLength()}|{summary.getFileCount()}|{status.getModificationTime()}".encode())
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        each = F.xxhash64("path", "length", "modificationTime")
+        row = files.agg(F.count("*").alias("n"), F.sum("length").alias("size"), F.bit_xor(each).alias("files")).first()
+        digest.update(f"{path}|{row['n']}|{row['size']}|{row['files']}".encode())
     return digest.hexdigest()[:16]
 
 

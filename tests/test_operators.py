@@ -10,6 +10,7 @@ from bindings.tables import LINE_KEYS, NUMERICS, Tables
 from chronoweave.functions import scalars as s
 from chronoweave.operators import clean, enrich, metrics, prep, profile
 from chronoweave.skew import small_side
+from chronoweave.plans import departures
 from chronoweave.sources.stages import ModelStore, StageStore, input_version
 
 
@@ -71,7 +72,13 @@ def test_input_version_follows_the_files(spark, tmp_path):
     first = input_version(spark, folder)
     assert input_version(spark, folder) == first
     spark.range(5).write.mode("append").parquet(folder)
-    assert input_version(spark, folder) != first
+    second = input_version(spark, folder)
+    assert second != first
+    spark.range(5).write.parquet(f"{folder}/deeper/part=1")
+    third = input_version(spark, folder)
+    assert third != second
+    spark.range(5, 10).write.mode("overwrite").parquet(f"{folder}/deeper/part=1")
+    assert input_version(spark, folder) != third
 
 
 def test_model_store_keeps_the_fit(spark, data_dir, tmp_path, same_rows):
@@ -209,3 +216,18 @@ def test_null_groups_and_empty_columns_keep_their_rows(spark):
     stations = spark.createDataFrame([("far", None), ("near", 3.0)], "station string, km double")
     best = enrich.nearest_station_lookup(readings, stations, "station", ["hour"], "km", ["t"])
     assert [r["station"] for r in best.collect()] == ["near"]
+
+
+def test_vehicle_history_keeps_to_its_horizon(spark):
+    """A departure at 10:00 sees, two hours before, the arrival at 07:00 and not the one at 09:00."""
+    rows = [("N1", 1, 600, 700), ("N1", 2, 800, 900), ("N1", 3, 1000, None), ("N1", 4, 1200, 1300), (None, 5, 600, 700)]
+    flights = spark.createDataFrame(rows, "Tail_Number string, n int, CRSDepTime int, ARR_TIME int").withColumns(
+        {"FlightDate": F.lit("2024-01-01").cast("date")}
+        | {c: F.lit("x") for c in departures.TIEBREAK if c not in ("n", "CRSDepTime", "FlightDate")}
+        | {c: F.col("n").cast("double") for c in ("TAXI_IN", "TAXI_OUT", "ARR_DELAY")}
+    )
+    found = departures.vehicle_features(flights, horizon_s=7200)
+    assert {r["n"]: r["Prev_TaxiIn"] for r in found.collect()} == {1: None, 2: None, 3: 1.0, 4: 2.0, 5: None}
+    plain = departures.vehicle_features(flights)
+    assert {r["n"]: r["Prev_TaxiIn"] for r in plain.collect()} == {1: None, 2: 1.0, 3: 2.0, 4: 3.0, 5: None}
+    assert plain.columns == found.columns

@@ -33,6 +33,10 @@ CASES = {
     "entity_lag": lambda df, n: t.entity_lag(
         df, "user_id", ["sec"], ["event_id"], {"value": "v1", "event_type": "t1"}, task_rows=n
     ),
+    "entity_lag_known": lambda df, n: t.entity_lag_known(
+        df.withColumn("known_at", F.col("sec") + 3600 * F.col("h")),
+        "user_id", ["sec"], ["event_id"], {"value": "v1", "sec": "s1"}, "sec", "known_at", 600, task_rows=n,
+    ),
     "first_event_flag": lambda df, n: t.first_event_flag(df, "user_id", ["sec"], ["event_id"], task_rows=n),
     "positions": lambda df, n: ordering.positions(df, ["sec", "event_id"], task_rows=n),
     "positions_descending": lambda df, n: ordering.positions(df, [F.col("sec").desc(), "event_id"], task_rows=n),
