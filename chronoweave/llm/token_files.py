@@ -116,17 +116,28 @@ class Encoder:
 
     def _piece(self, piece: str, lead: str = " ") -> bytes:
         """Ids of ``lead`` and a piece of text without plain spaces."""
+        if "\n" not in piece:
+            return self._line(piece, lead)
+        lines, out = piece.split("\n"), []
+        for at, (head, tail) in enumerate(zip(lines, lines[1:])):
+            # A line break between two other characters is a unit of its own.
+            if not head or not tail or head[-1].isspace() or tail[0].isspace():
+                out.append(self._other(lead + "\n".join(lines[at:])))
+                return b"".join(out)
+            out += (self._line(head, lead), self._other("\n"))
+            lead = ""
+        out.append(self._line(lines[-1], lead))
+        return b"".join(out)
+
+    def _line(self, line: str, lead: str) -> bytes:
+        """Ids of ``lead`` and text without plain spaces and line breaks."""
         memory = self.words if lead else self.starts
-        if piece.isalpha():
-            return self._word(piece, memory, lead)
+        if line.isalpha():
+            return self._word(line, memory, lead)
         # Letters before one mark at the end are a unit of their own.
-        if piece[:-1].isalpha() and piece[-1] in MARKS:
-            return self._word(piece[:-1], memory, lead) + self._other(piece[-1])
-        # So is a line break between two other characters.
-        head, line, tail = piece.partition("\n")
-        if line and head and tail and not head[-1].isspace() and not tail[0].isspace():
-            return self._piece(head, lead) + self._other("\n") + self._piece(tail, "")
-        return self._other(lead + piece)
+        if line[:-1].isalpha() and line[-1] in MARKS:
+            return self._word(line[:-1], memory, lead) + self._other(line[-1])
+        return self._other(lead + line)
 
     def _other(self, text: str) -> bytes:
         memory = self.rest

@@ -241,6 +241,18 @@ def test_token_files(spark, texts, tmp_path):
     assert [r["n_tokens"] for r in token_files.lookup(spark, at, [3]).collect()] == [2]
 
 
+def test_token_ids_of_many_lines():
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder = token_files.Encoder(path)
+    lines = [f"word{n}" if n % 3 else "\u4e2d\u6587" for n in range(5_000)]
+    texts = ["\n".join(lines), "a b\n" + "\n".join(lines) + "\n\nend.", "\n".join(lines) + "\n", "one.\ntwo\n\u00a0three\nfour, five\nsix"]
+    for text in texts:
+        wanted = [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, token_files.END]
+        assert np.frombuffer(encoder.ids(text), "<i4").tolist() == wanted
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(5)
     vectors = [(i, rng.integers(-3, 4, 4) / 8) for i in range(300)] + [(7, np.ones(4)), (50, np.ones(4))]
