@@ -212,15 +212,3 @@ def near_duplicates(
 def digest(found: DataFrame) -> DataFrame:
     """doc_id, fingerprint in hexadecimal, component_id."""
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """The document with the smallest doc_id of every component; rows that repeat it count once.
-
-    Ids alone decide, so texts are joined to the ids that stay and not sorted with their group.
-    Documents without an id are kept: nothing tells which of them to keep.
-    """
-    found = near_duplicates(docs)
-    stay = found.filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter(F.col("doc_id").isNull())).select(*docs.columns)

@@ -14,6 +14,7 @@ from chronoweave.llm import (
     decontaminate,
     html_text,
     mixing,
+    near_copies,
     quality,
     queries,
     repeats,
@@ -170,6 +171,43 @@ def test_simhash(spark, texts, list_rows):
     assert simhash.near_duplicates(frame(spark, texts)).count() == len(texts)
 
 
+def _shingles(text):
+    words = (text or "").encode().translate(simhash.LOWER).split()
+    n = min(5, len(words))
+    return {b" ".join(words[i : i + n]) for i in range(len(words) - n + 1)} if words else set()
+
+
+def test_one_of_near_copies(spark, texts):
+    rng = np.random.default_rng(11)
+    rows = list(texts) + [(3, "x"), (None, "no id")]
+    for n, edits in [(100, 1), (300, 2), (1_000, 4), (1_000, 18), (300, 40)] * 8:
+        words = [f"w{x}" for x in rng.integers(0, 10**6, n)]
+        rows.append((len(rows) + 100, " ".join(words)))
+        for _ in range(3):
+            copy = list(words)
+            for at in rng.choice(n, edits, replace=False):
+                copy[at] = f"e{rng.integers(0, 10**6)}"
+            rows.append((len(rows) + 100, " ".join(copy)))
+        # Same id, another text: a group of its own.
+        rows.append((rows[-1][0], " ".join(words[::-1])))
+    sets = [_shingles(t) for _, t in rows]
+    group = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if sets[a] == sets[b] or both and both / len(sets[a] | sets[b]) >= 0.8:
+                old, new = group[a], group[b]
+                group = [new if g == old else g for g in group]
+    best = {}
+    for g, (i, t) in zip(group, rows, strict=True):
+        key = (i is None, i or 0, hashlib.md5((t or "").encode()).hexdigest())
+        best[g] = min(best.get(g, key), key)
+    found = near_copies.one_of_each(frame(spark, rows)).collect()
+    kept = [(r["doc_id"] is None, r["doc_id"] or 0, hashlib.md5((r["text"] or "").encode()).hexdigest()) for r in found]
+    assert Counter(kept) == Counter(best.values())
+    assert near_copies.one_of_each(frame(spark, [])).count() == 0
+
+
 @pytest.mark.parametrize("list_rows", [4_096, 3])
 def test_links_join_what_all_pairs_would(spark, list_rows):
     rng = np.random.default_rng(3)
