@@ -56,10 +56,12 @@ SMOOTH = 1.0
 THRESHOLD = 0.5
 
 
+def _hidden(attributes: list[tuple[str, str | None]]) -> bool:
+    return any(key == "hidden" or (key == "aria-hidden" and value == "true") for key, value in attributes)
+
+
 def _named(attributes: list[tuple[str, str | None]]) -> bool:
     for key, value in attributes:
-        if key == "hidden" or (key == "aria-hidden" and value == "true"):
-            return True
         if key in ("class", "id", "role") and value:
             for name in value.split():
                 words = _NAME.split(re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "-", name).lower())
@@ -69,14 +71,17 @@ def _named(attributes: list[tuple[str, str | None]]) -> bool:
 
 
 class Blocks(HTMLParser):
-    """Folds parser events into blocks: [text, tags, container, furniture, article depth]."""
+    """Folds parser events into blocks: [text, tags, container, furniture, innermost element with a furniture name]."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, int, bool]] = [("", 0, False)]  # tag, container, furniture
+        self.stack: list[tuple[str, int, bool, int]] = [("", 0, False, -1)]  # tag, container, furniture, named element
         self.silent = 0
         self.containers: list[tuple[int, str]] = [(-1, "")]
-        self.blocks: list[tuple[str, int, int, bool]] = []
+        # Elements with a furniture name: the one around each, and whether it stands in an article.
+        self.named: list[tuple[int, bool]] = []
+        self.holders: set[int] = set()  # those that are or hold article or main
+        self.blocks: list[tuple[str, int, int, bool, int]] = []
         self.text: list[str] = []
         self.tags = 0
 
@@ -84,8 +89,8 @@ class Blocks(HTMLParser):
         text = _SPACE.sub(" ", "".join(self.text)).strip()
         self.text.clear()
         if text:
-            _, container, furniture = self.stack[-1]
-            self.blocks.append((text, self.tags, container, furniture))
+            _, container, furniture, named = self.stack[-1]
+            self.blocks.append((text, self.tags, container, furniture, named))
             self.tags = 0
 
     def handle_starttag(self, tag: str, attributes: list[tuple[str, str | None]]) -> None:
@@ -98,9 +103,14 @@ class Blocks(HTMLParser):
             self.text.append(" ")
         if tag in VOID:
             return
-        _, container, furniture = self.stack[-1]
+        _, container, furniture, named = self.stack[-1]
         inside = any(self.containers[c][1] in ("article", "main") for c in self._above(container))
-        own = tag in FURNITURE or tag in SILENT or (tag not in ("html", "body") and _named(attributes))
+        own = tag in FURNITURE or tag in SILENT or (tag not in ("html", "body") and _hidden(attributes))
+        if tag not in ("html", "body") and _named(attributes):
+            self.named.append((named, any(self.containers[c][1] == "article" for c in self._above(container))))
+            named = len(self.named) - 1
+        if tag in ("article", "main"):
+            self.holders.update(self._names(named))
         # A header inside the article holds its title; its other lines are no text of the article.
         if tag == "header" and not inside:
             own = True
@@ -108,13 +118,18 @@ class Blocks(HTMLParser):
             self.containers.append((container, tag))
             container = len(self.containers) - 1
         self.silent += tag in SILENT
-        self.stack.append((tag, container, furniture or own))
+        self.stack.append((tag, container, furniture or own, named))
 
     def _above(self, container: int) -> Iterator[int]:
         while container >= 0:
             yield container
             container = self.containers[container][0]
 
+    def _names(self, named: int) -> Iterator[int]:
+        while named >= 0:
+            yield named
+            named = self.named[named][0]
+
     def _imply(self, tag: str) -> None:
         for at in range(len(self.stack) - 1, 0, -1):
             open_tag = self.stack[at][0]
@@ -125,7 +140,7 @@ class Blocks(HTMLParser):
                 return
 
     def _close(self, at: int) -> None:
-        self.silent -= sum(t in SILENT for t, _, _ in self.stack[at:])
+        self.silent -= sum(t in SILENT for t, _, _, _ in self.stack[at:])
         del self.stack[at:]
 
     def handle_endtag(self, tag: str) -> None:
@@ -162,6 +177,31 @@ def smoothed(ratios: np.ndarray, deviation: float = SMOOTH) -> np.ndarray:
     return np.convolve(ratios, kernel)[reach : reach + len(ratios)] / weights
 
 
+def _clusters(ratios: np.ndarray, furniture: np.ndarray) -> np.ndarray:
+    """Blocks whose smoothed ratio is above the threshold; furniture has the ratio zero and is none."""
+    ratios = np.where(furniture, 0.0, ratios)
+    if not ratios.any():
+        return np.zeros(len(ratios), bool)
+    smooth = smoothed(ratios)
+    return (smooth >= min(THRESHOLD * ratios.std(), smooth[~furniture].max())) & ~furniture
+
+
+def _ruled_out(parser: Blocks, sizes: np.ndarray, content: np.ndarray) -> np.ndarray:
+    """Blocks inside an element whose name rules it out.
+
+    A name decides small blocks only: it does not count on an element that is or holds article or main,
+    unless that stands in an article itself, nor on one with most of the text of the clusters, which are
+    those of the page without regard to names.
+    """
+    held = [0.0] * len(parser.named)
+    for at in np.flatnonzero(content):
+        for n in parser._names(parser.blocks[at][4]):
+            held[n] += sizes[at]
+    half = sizes[content].sum() / 2
+    out = [held[n] <= half and (n not in parser.holders or nested) for n, (_, nested) in enumerate(parser.named)]
+    return np.array([any(out[n] for n in parser._names(b[4])) for b in parser.blocks])
+
+
 def main_text(html: str | None) -> str:
     """Article of a page, one line per block; empty if there is none."""
     html = html or ""
@@ -177,11 +217,12 @@ def main_text(html: str | None) -> str:
         return ""
     furniture = np.array([b[3] for b in blocks])
     sizes = np.array([len(b[0]) for b in blocks], dtype=np.float64)
-    ratios = np.where(furniture, 0.0, sizes / np.maximum(1, [b[1] for b in blocks]))
-    if not ratios.any():
+    tags = np.maximum(1, [b[1] for b in blocks])
+    if parser.named:
+        furniture |= _ruled_out(parser, sizes, _clusters(sizes / tags, furniture))
+    content = _clusters(sizes / tags, furniture)
+    if not content.any():
         return ""
-    smooth = smoothed(ratios)
-    content = (smooth >= min(THRESHOLD * ratios.std(), smooth[~furniture].max())) & ~furniture
     # Text of the clusters by container, each container holding that of the containers inside it.
     held: dict[int, float] = {}
     for at in np.flatnonzero(content):
@@ -194,8 +235,8 @@ def main_text(html: str | None) -> str:
         # Marked articles that hold clusters; a feed of several articles is read in page order.
         regions = set(outer)
     else:
-        # The innermost container that still holds most of the clusters' text.
-        regions = {max((c for c in held if held[c] >= 0.8 * total), key=lambda c: (len(list(parser._above(c))), -c))}
+        # The innermost container that holds all clusters.
+        regions = {max((c for c in held if held[c] >= total), key=lambda c: (len(list(parser._above(c))), -c))}
     lines = [
         blocks[at][0]
         for at in range(len(blocks))

@@ -354,6 +354,23 @@ def test_html(around):
     assert html_text.main_text(PAGE % around) == ARTICLE
 
 
+@pytest.mark.parametrize("name", ["content-sidebar-wrap", "has-sidebar", "no-sidebar", "comments-open", "elementor-widget-theme-post-content"])
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_html_names_of_wrappers(name, tag):
+    lines = [f"line {n} " + "some words of the article " * 12 for n in range(6)]
+    inner = "".join(f"<p>{line}</p>" for line in lines)
+    side = '<div class="sidebar"><p>Read this as well</p></div><div class="share">Share it</div>'
+    article = "\n".join(line.strip() for line in lines)
+    for page in (f'<div class="{name}"><{tag}>{inner}</{tag}>{side}</div>', f'<div><{tag} class="{name}">{inner}{side}</{tag}></div>'):
+        assert html_text.main_text(f"<html><body><nav>menu</nav>{page}</body></html>") == article
+
+
+def test_html_region_holds_all_clusters():
+    long, short = "words of the long part " * 40, "words of the short part " * 8
+    page = f"<body><div><div><p>{long}</p><p>{long}</p></div><div><p>{short}</p></div></div></body>"
+    assert html_text.main_text(page) == "\n".join(x.strip() for x in (long, long, short))
+
+
 def test_html_rows(spark):
     html = [None, "", "plain words only", "<nav>menu</nav>", "<p>" + "word " * 50_000, "<article><p>a<p>b", "<!-- x"]
     rows = spark.createDataFrame([(i, None, h, "x") for i, h in enumerate(html)] + [(0, None, None, "x")], "page_id long, url string, html string, text string")
