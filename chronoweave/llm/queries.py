@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoweave.llm import decontaminate, html_text, mixing, quality, repeats, secrets, simhash, token_files, topk, url_filter
+from chronoweave.llm import (
+    decontaminate,
+    html_text,
+    merkle,
+    mixing,
+    periodic,
+    quality,
+    repeats,
+    secrets,
+    simhash,
+    token_counts,
+    token_files,
+    topk,
+    url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -216,3 +230,67 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of strings of 200 bytes that also start elsewhere."""
     return repeats.digest(repeats.remove_repeats(table(spark, sf_dir, "documents")))
+
+
+def _merkle_sql(levels: int = 12) -> str:
+    """SQL twin of op11, level by level; it holds for up to 3 ** ``levels`` rows a source and as many sources."""
+    parts = ("doc_id", "source", "lang", "n_chars", "{text}")
+    field = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
+    leaf = lambda text: "sha256(" + " || ".join(field.format(p.format(text=text)) for p in parts) + ")"
+    bits = "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))"
+    letters = "list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    crc = f"xor(list_reduce(list_prepend(4294967295, {letters}), lambda a, b: {bits}), 4294967295)"
+    steps = [
+        f"""WITH f AS MATERIALIZED (
+          SELECT doc_id, {leaf("text")} AS leaf, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS sid,
+            CASE WHEN coalesce({crc}, 0) % 2 = 0 THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf("text")} END AS tampered
+          FROM documents
+        ), g AS MATERIALIZED (
+          SELECT *, row_number() OVER (PARTITION BY sid ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM f
+        ), n0 AS MATERIALIZED (SELECT sid, place AS i, leaf AS d, count(*) OVER (PARTITION BY sid) AS c FROM g),
+        t0 AS MATERIALIZED (SELECT doc_id, leaf, sid, sid AS source, place AS i, tampered AS h, '' AS p FROM g)"""
+    ]
+    run = "PARTITION BY sid, i // 3 ORDER BY i ROWS BETWEEN"
+    for k in range(2 * levels):
+        if k == levels:
+            steps.append(f"r AS MATERIALIZED (SELECT sid AS source, d AS subroot FROM n{k})")
+            steps.append(f"m AS MATERIALIZED (SELECT 0 AS sid, sid AS i, d, count(*) OVER () AS c FROM n{k})")
+            steps.append(f"u AS MATERIALIZED (SELECT * REPLACE (0 AS sid, sid AS i) FROM t{k})")
+        nodes, rows = ("m", "u") if k == levels else (f"n{k}", f"t{k}")
+        steps.append(f"""s{k} AS MATERIALIZED (
+          SELECT sid, i, c, CASE WHEN c > 1 THEN coalesce(string_agg(d, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') ELSE '' END AS l,
+            CASE WHEN c > 1 THEN coalesce(string_agg(d, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') ELSE '' END AS r
+          FROM {nodes}
+        ), n{k + 1} AS MATERIALIZED (
+          SELECT sid, i // 3 AS i, CASE WHEN c = 1 THEN min(d) ELSE sha256(string_agg(d, '' ORDER BY i)) END AS d, (c + 2) // 3 AS c
+          FROM {nodes} GROUP BY sid, i // 3, c
+        ), t{k + 1} AS MATERIALIZED (
+          SELECT doc_id, leaf, sid, source, i // 3 AS i, CASE WHEN c = 1 THEN h ELSE sha256(l || h || r) END AS h, p || l || r AS p
+          FROM {rows} AS t JOIN s{k} AS s USING (sid, i)
+        )""")
+    last = 2 * levels
+    return ",\n".join(steps) + f"""
+        SELECT doc_id, leaf, subroot, d AS root, sha256(p) AS proof_sha256, h AS folded_root, h = d AS verified
+        FROM t{last} JOIN r USING (source) CROSS JOIN (SELECT d FROM n{last})"""
+
+
+@query("op11_merkle_manifest", _merkle_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether a copy without line breaks still folds to the root."""
+    docs = table(spark, sf_dir, "documents")
+    return merkle.digest(merkle.manifest(docs, candidate=merkle.without_line_breaks))
+
+
+@query("op12_token_counts")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    return token_counts.digest(token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, a tenth of which have one planted, and the text without their repeats."""
+    return periodic.digest(periodic.find_runs(periodic.planted(table(spark, sf_dir, "documents"))))
