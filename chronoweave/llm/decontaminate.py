@@ -159,7 +159,10 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Documents without any hit, with all their columns."""
-    columns = tuple(c for c in docs.columns if c != "doc_id")
-    found = find_contamination(docs, items, keep=columns)
-    return found.filter(F.size("spans") == 0).select(*docs.columns)
+    """Documents without any hit, with all their columns as they are, whatever their names.
+
+    Documents without words stay; an empty table gives an empty one.
+    """
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    read = docs.select("doc_id", "text", whole.alias("_doc"))
+    return find_contamination(read, items, keep=("_doc",)).filter(F.size("spans") == 0).select("_doc.*")

@@ -163,8 +163,12 @@ def mix(
 
 
 def repeat_documents(docs: DataFrame) -> DataFrame:
-    """Each document as many times as its share of the mix holds it, to the nearest whole number."""
-    columns = tuple(c for c in docs.columns if c != "doc_id")
-    rows, _ = mix(docs, keep=columns)
+    """Each document as many times as its share of the mix holds it, to the nearest whole number.
+
+    All columns are returned as they are, whatever their names.  Documents without words go; an empty
+    table gives an empty one.
+    """
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    rows, _ = mix(docs.select("doc_id", "text", "source", whole.alias("_doc")), keep=("_doc",))
     times = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(F.lit(0)).cast("int")
-    return rows.withColumn("_n", F.explode(F.array_repeat(F.lit(1), times))).select(*docs.columns)
+    return rows.withColumn("_n", F.explode(F.array_repeat(F.lit(1), times))).select("_doc.*")

@@ -199,6 +199,10 @@ def digest(scores: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents predicted to be of good quality, with all their columns."""
-    columns = tuple(c for c in docs.columns if c != "doc_id")
-    return score_documents(docs, labels, keep=columns).filter("predicted = 1").select(*docs.columns)
+    """Documents predicted to be of good quality, with all their columns as they are, whatever their names.
+
+    Without labels every score is 0.5 and all documents stay; an empty table gives an empty one.
+    """
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    read = docs.select("doc_id", "text", whole.alias("_doc"))
+    return score_documents(read, labels, keep=("_doc",)).filter("predicted = 1").select("_doc.*")

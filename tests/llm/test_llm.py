@@ -390,3 +390,53 @@ def test_pipeline_stages(spark, data_dir):
     assert set(ids[1]) <= set(ids[0]) and set(ids[2]) <= set(ids[1]) and set(ids[3]) <= set(ids[2])
     assert max(ids[1].values()) == 1 and max(ids[3].values()) <= 2
     assert corpus_pipeline.run(spark, data_dir).count() == sum(ids[3].values())
+
+
+def test_stages_keep_columns_of_any_name(spark, data_dir):
+    names = "size taken score held_out predicted spans items n_words _id _text _row _n _doc row key root id digest at".split()
+    docs = queries.table(spark, data_dir, "documents").filter("source IN ('src0', 'src1', 'src2')")
+    extra = docs.selectExpr("*", *(f"concat('{n}-', doc_id) AS {n}" for n in names))
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        found = stage(spark, extra, data_dir)
+        assert found.columns == extra.columns
+        rows = found.collect()
+        assert rows and all(r[n] == f"{n}-{r['doc_id']}" for r in rows for n in names)
+
+
+def _near_groups(groups, size, words, changed, seed, base):
+    """Texts that differ from a base of their group in ``changed`` words each, with or without the base itself."""
+    rng = np.random.default_rng(seed)
+    out = []
+    for g in range(groups):
+        start = [f"g{g}w{n}" for n in rng.integers(0, 10**6, words)]
+        out += [" ".join(start)] if base else []
+        for _ in range(size):
+            copy = list(start)
+            for place in rng.choice(words, changed, replace=False):
+                copy[place] = f"x{rng.integers(0, 10**9)}"
+            out.append(" ".join(copy))
+    return out
+
+
+@pytest.mark.parametrize(("size", "changed", "base"), [(60, 5, True), (60, 2, False), (80, 6, False)])
+def test_near_copies_against_all_pairs(spark, size, changed, base):
+    """Crowded lists: a hub that joins all, copies that join among themselves, and copies that join nobody."""
+    made = _near_groups(3, size, 300, changed, size + changed, base)
+    docs = frame(spark, list(enumerate(made)))
+    kept = {r["doc_id"] for r in near_copies.one_of_each(docs).select("doc_id").collect()}
+    sets = [set(near_copies.shingles(t.encode()).tolist()) for t in made]
+    root = list(range(len(made)))
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 5 * len(a & sets[j]) >= 4 * len(a | sets[j]):
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    wanted = {find(v) for v in range(len(made))}
+    assert wanted <= kept and len(kept - wanted) <= 0.1 * (len(made) - len(wanted))
+    assert {r["doc_id"] for r in near_copies.one_of_each(docs, exact=True).select("doc_id").collect()} == wanted
