@@ -249,11 +249,11 @@ def manifest(
     )
     leaves, sizes = _ranked(write_scratch(leaves, "merkle-leaves").df, parts)
     trees = Forest.build(leaves.select("tree", "rank", F.col("leaf").alias("digest")), sizes, parts)
-    subroots = write_scratch(trees.tops.select("tree", "digest"), "merkle-subroots").df
-    n = subroots.count()
-    one = spark.range(1).select(F.lit(1).cast("long").alias("tree"), F.lit(n).cast("long").alias("n"))
-    # Sources are numbered from one.
-    top = Forest.build(subroots.select(F.lit(1).cast("long").alias("tree"), (F.col("tree") - 1).alias("rank"), "digest"), one, parts)
+    # The one tree over the sources, which are numbered from one; its number is data, so that joins keep their key.
+    subroots = trees.tops.select(F.lit(1).cast("long").alias("tree"), (F.col("tree") - 1).alias("rank"), "digest")
+    subroots = write_scratch(subroots, "merkle-subroots").df
+    one = spark.range(1, 2).select(F.col("id").alias("tree"), F.lit(subroots.count()).cast("long").alias("n"))
+    top = Forest.build(subroots, one, parts)
     root = top.tops.first()
     nothing = F.expr(f"cast(array() AS array<{_STEP}>)")
     start = one.select("tree", nothing.alias("path"), F.lit("").alias("carried"))
