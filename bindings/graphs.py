@@ -212,11 +212,11 @@ def _(x):
     return found.select("id", *(r6(c).alias(c) for c in ("in_centrality", "out_centrality", "centrality")))
 
 
-_PATHS = f"""nodes AS (SELECT DISTINCT id FROM ({NODES.format('nat3')})),
+_PATHS = f"""nodes AS (SELECT DISTINCT id FROM ({NODES.format('hops')})),
 walks AS (
   SELECT id AS s, id AS v, 0 AS dist, CAST(1 AS DOUBLE) AS sigma FROM nodes
   UNION ALL
-  SELECT w.s, e.dst, w.dist + 1, sum(w.sigma) FROM walks w JOIN nat3 e ON e.src = w.v WHERE w.dist < 24
+  SELECT w.s, e.dst, w.dist + 1, sum(w.sigma) FROM walks w JOIN hops e ON e.src = w.v WHERE w.dist < 12 AND e.src <> e.dst
   GROUP BY w.s, e.dst, w.dist + 1),
 near AS MATERIALIZED (SELECT s, v, dist, sigma FROM walks QUALIFY dist = min(dist) OVER (PARTITION BY s, v)),
 through AS (
@@ -227,9 +227,9 @@ through AS (
 
 @query(
     "betweenness_centrality",
-    with_views("nat3", extra=_PATHS, recursive=True)
+    with_views("hops", extra=_PATHS, recursive=True)
     + f"""SELECT nodes.id, {q6('coalesce(score, 0) / ((SELECT count(*) FROM nodes) - 1) / ((SELECT count(*) FROM nodes) - 2)')} AS betweenness
 FROM nodes LEFT JOIN through ON nodes.id = through.id""",
 )
 def _(x):
-    return g.betweenness_centrality(x.nat3).withColumn("betweenness", r6("betweenness"))
+    return g.betweenness_centrality(x.hops).withColumn("betweenness", r6("betweenness"))

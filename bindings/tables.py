@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoweave.functions.scalars import to_epoch_seconds
@@ -113,19 +113,19 @@ class Tables:
         supp = self.supplier.select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").cast("long").alias("b"))
         return weighted_edges(pairs.join(cust, "o_custkey").join(supp, "l_suppkey"), "a", "b", F.col("lines"))
 
-    @cached_property
-    def nat3(self) -> DataFrame:
-        """Each nation's three heaviest other nations."""
-        heaviest = Window.partitionBy("src").orderBy(F.col("weight").desc(), "dst")  # at most 24 rows a nation
-        ranked = self.nat.filter("src != dst").withColumn("rank", F.row_number().over(heaviest))
-        return ranked.filter("rank <= 3").drop("rank")
-
     @cached_property
     def trans(self) -> DataFrame:
         """Event type to the user's next event type."""
         steps = entity_lag(self.ev, "user_id", ["sec"], ["event_id"], {"event_type": "src"})
         return weighted_edges(steps.filter("src IS NOT NULL"), "src", "event_type")
 
+    @cached_property
+    def hops(self) -> DataFrame:
+        """Event type and hour to the user's next event type and hour, from all events."""
+        states = self.ev.withColumn("dst", F.concat_ws("-", "event_type", "h"))
+        steps = entity_lag(states, "user_id", ["sec"], ["event_id"], {"dst": "src"})
+        return weighted_edges(steps.filter("src IS NOT NULL"), "src", "dst")
+
     @cached_property
     def web(self) -> DataFrame:
         """Page to link target."""
@@ -167,12 +167,13 @@ _VIEWS = {
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
        JOIN supplier ON l_suppkey = s_suppkey
   GROUP BY ALL)""",
-    "nat3": """nat3 AS (
-  SELECT src, dst, weight FROM nat WHERE src <> dst
-  QUALIFY row_number() OVER (PARTITION BY src ORDER BY weight DESC, dst) <= 3)""",
     "trans": """trans AS (
   SELECT src, dst, count(*) AS weight FROM (
     SELECT lag(event_type) OVER (PARTITION BY user_id ORDER BY sec, event_id) AS src, event_type AS dst FROM ev)
+  WHERE src IS NOT NULL GROUP BY ALL)""",
+    "hops": """hops AS (
+  SELECT src, dst, count(*) AS weight FROM (
+    SELECT lag(event_type || '-' || h) OVER (PARTITION BY user_id ORDER BY sec, event_id) AS src, event_type || '-' || h AS dst FROM ev)
   WHERE src IS NOT NULL GROUP BY ALL)""",
     "web": f"""web AS (
   SELECT src, dst, count(*) AS weight FROM (
@@ -180,7 +181,7 @@ _VIEWS = {
   GROUP BY ALL)""",
 }
 _NEEDS = {
-    "ev_null": ["ev"], "ev_dup": ["ev"], "clock": ["ev"], "obs": ["ev"], "preds": ["li"], "nat3": ["nat"], "trans": ["ev"],
+    "ev_null": ["ev"], "ev_dup": ["ev"], "clock": ["ev"], "obs": ["ev"], "preds": ["li"], "trans": ["ev"], "hops": ["ev"],
 }
 
 

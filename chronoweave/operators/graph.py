@@ -14,11 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronoweave.functions.scalars import key_hash
+from chronoweave.ordering import positions
 from chronoweave.scratch import ScratchTable, write_scratch
 from chronoweave.skew import small_side
 
 #: Links of one vertex kept together; a vertex with more is cut into parts.
 MAX_LINKS = 1_000_000
+#: Pairs of a source and a vertex that one batch of sources may reach.
+BATCH_PAIRS = 50_000_000
 
 
 def graph_nodes(edges: DataFrame) -> DataFrame:
@@ -83,26 +86,29 @@ def _parted(edges: DataFrame, max_links: int) -> DataFrame:
     return edges.join(small_side(parts), "src", "left").withColumn("part", spread.cast("int")).drop("_parts")
 
 
-def adjacency_list(edges: DataFrame, max_links: int = MAX_LINKS) -> DataFrame:
-    """Sorted neighbours per vertex, empty for dangling ones.
+def _lists(edges: DataFrame, entry: Column, parts: int) -> DataFrame:
+    part = F.pmod(F.xxhash64("dst"), F.lit(parts)).cast("int").alias("part")
+    return edges.groupBy("src", part).agg(F.sort_array(F.collect_list(entry)).alias("entries"))
 
-    A vertex with more than ``max_links`` neighbours gets several rows told apart by ``part``.
+
+def adjacency_list(edges: DataFrame, parts: int = 1) -> DataFrame:
+    """Sorted neighbours per vertex and ``part``, empty where there are none.
+
+    Every vertex has ``parts`` rows, whatever its size; its neighbours are dealt to them by hash.  With
+    one part a row is a vertex.  More parts keep a value small where a vertex has very many neighbours.
     """
-    pairs = _parted(edges.select("src", "dst").distinct(), max_links)
-    lists = pairs.groupBy("src", "part").agg(F.sort_array(F.collect_list("dst")).alias("neighbours"))
-    nodes = graph_nodes(edges)
-    empty = F.array().cast(lists.schema["neighbours"].dataType)
-    return nodes.join(lists, nodes["id"] == lists["src"], "left").select(
-        "id", F.coalesce("part", F.lit(0)).alias("part"), F.coalesce("neighbours", empty).alias("neighbours")
-    )
+    lists = _lists(edges.select("src", "dst").dropna().distinct(), F.col("dst"), parts)
+    places = graph_nodes(edges).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    empty = F.array().cast(lists.schema["entries"].dataType)
+    same = (places["id"] == lists["src"]) & (places["part"] == lists["part"])
+    return places.join(lists, same, "left").select("id", places["part"], F.coalesce("entries", empty).alias("neighbours"))
 
 
-def adjacency_lines(edges: DataFrame, max_links: int = MAX_LINKS) -> DataFrame:
-    """Render edges as ``src<TAB>{'dst': weight, ...}`` lines."""
+def adjacency_lines(edges: DataFrame, parts: int = 1) -> DataFrame:
+    """Render edges as ``src<TAB>{'dst': weight, ...}`` lines, at most ``parts`` lines a vertex, one by default."""
     entry = F.concat(F.lit("'"), F.col("dst").cast("string"), F.lit("': "), F.col("weight").cast("string"))
-    lists = _parted(edges, max_links).groupBy("src", "part").agg(F.sort_array(F.collect_list(entry)).alias("links"))
-    body = F.array_join("links", ", ")
-    return lists.select(F.concat(F.col("src").cast("string"), F.lit("\t{"), body, F.lit("}")).alias("value"))
+    body = F.array_join("entries", ", ")
+    return _lists(edges, entry, parts).select(F.concat(F.col("src").cast("string"), F.lit("\t{"), body, F.lit("}")).alias("value"))
 
 
 def transition_matrix(edges: DataFrame) -> DataFrame:
@@ -113,7 +119,8 @@ def transition_matrix(edges: DataFrame) -> DataFrame:
 
 def _shares(merged: DataFrame) -> DataFrame:
     totals = merged.groupBy("src").agg(F.sum("weight").alias("_total"))
-    # A source whose weights add up to nothing is dangling.
+    # A source whose weights add up to nothing is dangling.  A negative weight is no share of anything.
+    merged = merged.filter(F.when(F.col("weight") < 0, F.raise_error(F.lit("negative weight")).cast("boolean")).otherwise(True))
     return merged.join(totals.filter(F.col("_total") != 0), "src").select("src", "dst", (F.col("weight") / F.col("_total")).alias("share"))
 
 
@@ -144,12 +151,15 @@ def init_graph(edges: DataFrame, max_links: int = MAX_LINKS) -> WalkGraph:
     edges = edges.dropna(subset=["src", "dst"])
     stored = write_scratch(edges.groupBy("src", "dst").agg(F.sum("weight").alias("weight")), "edges")
     merged = stored.df
-    links = _parted(_shares(merged), max_links)
-    parts = merged.groupBy(F.col("src").alias("id")).agg(F.ceil(F.count("*") / max_links).cast("int").alias("parts"))
+    # Sources whose weights add up to nothing lose their links and count as dangling, so no rank is lost.
+    shares = _shares(merged)
+    links = _parted(shares, max_links)
+    parts = shares.groupBy(F.col("src").alias("id")).agg(F.ceil(F.count("*") / max_links).cast("int").alias("parts"))
     vertices = graph_nodes(merged).join(parts, "id", "left")
     vertices = vertices.select("id", F.coalesce("parts", F.lit(0)).alias("parts"), F.col("parts").isNull().alias("dangling"))
     vertices = write_scratch(vertices, "vertices")
-    placed = links.repartition("src", "part").persist(StorageLevel.MEMORY_AND_DISK)
+    # Sorted as the iterations' merge joins want them.
+    placed = links.repartition("src", "part").sortWithinPartitions("src", "part").persist(StorageLevel.MEMORY_AND_DISK)
     return WalkGraph(vertices.df, placed, vertices.df.count(), (stored, vertices))
 
 
@@ -291,20 +301,47 @@ def degree_centrality(edges: DataFrame) -> DataFrame:
     )
 
 
-def betweenness_centrality(edges: DataFrame, sources: DataFrame | None = None, normalized: bool = True) -> DataFrame:
+def betweenness_centrality(
+    edges: DataFrame, sources: DataFrame | None = None, normalized: bool = True, batch: int | None = None
+) -> DataFrame:
     """Share of shortest directed paths through each vertex, end points excluded.
 
-    Paths are counted level by level from all sources at once, then each level hands its dependency
-    back to the level before, so pairs of vertices are visited but never triples.  With ``sources``
-    (a column ``id``) only those start points are used and scores are scaled up to all vertices.
+    Paths are counted level by level from a batch of sources at once, then each level hands its
+    dependency back to the level before, so pairs of vertices are visited but never triples.  Scores are
+    added up batch by batch; the state is ``batch`` times the vertices, by default at most
+    ``BATCH_PAIRS``, whatever the graph's size.  With ``sources`` (a column ``id``) only those start
+    points are used and scores are scaled up to all vertices.
     """
     routes = write_scratch(route_graph(edges, "src", "dst").filter("src != dst"), "routes")
-    links = routes.df
     nodes = write_scratch(graph_nodes(edges), "nodes").df
     n = nodes.count()
     starts = nodes if sources is None else nodes.join(sources.select("id").distinct(), "id", "left_semi")
+    starts = write_scratch(positions(starts, ["id"], "place"), "starts")
+    used = starts.df.count()
+    batch = batch or max(1, BATCH_PAIRS // max(n, 1))
+    total = None
+    for first in range(0, used, batch):
+        some = starts.df.filter((F.col("place") > first) & (F.col("place") <= first + batch))
+        found = _dependencies(routes.df, some)
+        if found is None:
+            continue
+        summed = found if total is None else found.unionByName(total.df)
+        summed = write_scratch(summed.groupBy("id").agg(F.sum("score").alias("score")), "scores")
+        if total is not None:
+            total.discard()
+        total = summed
+    for table in (routes, starts):
+        table.discard()
+    scale = n / used if used else 1.0
+    if normalized and n > 2:
+        scale /= (n - 1) * (n - 2)
+    scores = nodes.withColumn("score", F.lit(0.0)).limit(0) if total is None else total.df
+    return nodes.join(scores, "id", "left").select("id", (F.coalesce("score", F.lit(0.0)) * scale).alias("betweenness"))
+
+
+def _dependencies(links: DataFrame, starts: DataFrame) -> DataFrame | None:
+    """(id, score): the paths from ``starts`` that each vertex carries; None where no path has an inner vertex."""
     level = write_scratch(starts.select(F.col("id").alias("s"), F.col("id").alias("v"), F.lit(1.0).alias("sigma")), "level")
-    used = level.df.count()
     levels = [level]
     reached = level.df
     while True:
@@ -315,28 +352,28 @@ def betweenness_centrality(edges: DataFrame, sources: DataFrame | None = None, n
             .join(reached.select("s", "v"), ["s", "v"], "left_anti")
         )
         level = write_scratch(grown, "level")
-        if not level.df.count():
+        if level.df.isEmpty():
             level.discard()
             break
         levels.append(level)
         reached = reached.unionByName(level.df)
-    scores = nodes.withColumn("score", F.lit(0.0)).limit(0)
-    deeper = None
+    scores, deeper, held = None, None, []
+    # The last level carries nothing on.
     for level in reversed(levels[1:]):
         if deeper is None:
             owed = level.df.withColumn("delta", F.lit(0.0))
         else:
-            handed = deeper.select("s", F.col("v").alias("dst"), ((1 + F.col("delta")) / F.col("sigma")).alias("unit"))
+            handed = deeper.df.select("s", F.col("v").alias("dst"), ((1 + F.col("delta")) / F.col("sigma")).alias("unit"))
             handed = handed.join(links, "dst").groupBy("s", F.col("src").alias("v")).agg(F.sum("unit").alias("unit"))
             owed = level.df.join(handed, ["s", "v"], "left").select(
                 "s", "v", "sigma", (F.col("sigma") * F.coalesce("unit", F.lit(0.0))).alias("delta")
             )
-        deeper = write_scratch(owed, "dependency").df
-        scores = scores.union(deeper.groupBy("v").agg(F.sum("delta").alias("score")))
-    for table in (routes, *levels):  # scores read the dependency tables only
+        deeper = write_scratch(owed, "dependency")
+        held.append(deeper)
+        found = deeper.df.groupBy(F.col("v").alias("id")).agg(F.sum("delta").alias("score"))
+        scores = found if scores is None else scores.unionByName(found)
+    if scores is not None:
+        scores = write_scratch(scores.groupBy("id").agg(F.sum("score").alias("score")), "batch-scores").df
+    for table in (*levels, *held):
         table.discard()
-    scale = n / used if used else 1.0
-    if normalized and n > 2:
-        scale /= (n - 1) * (n - 2)
-    total = scores.groupBy("id").agg(F.sum("score").alias("score"))
-    return nodes.join(total, "id", "left").select("id", (F.coalesce("score", F.lit(0.0)) * scale).alias("betweenness"))
+    return scores

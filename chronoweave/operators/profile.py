@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronoweave.ordering import cumulative_counts, exact_quantiles
+from chronoweave.scratch import write_scratch
 from chronoweave.skew import TASK_ROWS, small_side
 
 
@@ -229,15 +230,22 @@ def pearson_matrix(df: DataFrame, columns: Sequence[str], pairwise: bool = False
 def spearman_matrix(df: DataFrame, columns: Sequence[str], task_rows: int = TASK_ROWS) -> DataFrame:
     """Rank correlation in long form; tied values share their average rank.
 
-    Ranks come from distributed value counts, one table per column, and are joined back by value.
+    All columns are ranked in one pass over (column, value) pairs and come back to their rows in one
+    exchange, whatever their number.
     """
-    rows = df.select(*(F.col(c).cast("double").alias(c) for c in columns)).dropna()
-    ranked = rows
-    for c in columns:
-        counts = cumulative_counts(rows.select(c), [], c, task_rows)
-        rank = F.col("below") + (F.col("n") + 1) / 2
-        ranked = ranked.join(counts.select(c, rank.alias(f"_rank_{c}")), c)
-    return _pair_rows(ranked.select(*(F.col(f"_rank_{c}").alias(c) for c in columns)), columns, F.corr)
+    # Numbered rows are written once: the numbers must not differ between two readers.
+    names = [f"c{i}" for i in range(len(columns))]
+    rows = df.select(*(F.col(c).cast("double").alias(n) for c, n in zip(columns, names))).dropna()
+    rows = write_scratch(rows.withColumn("row", F.monotonically_increasing_id()), "rank-rows").df
+    long = rows.unpivot(["row"], names, "feature", "value")
+    counts = cumulative_counts(long, ["feature"], "value", task_rows)
+    # Distinct values stand on one side, so AQE can split a hot value's rows.
+    ranks = counts.select("feature", "value", (F.col("below") + (F.col("n") + 1) / 2).alias("rank"))
+    ranked = long.join(ranks, ["feature", "value"]).groupBy("row")
+    wide = ranked.agg(*(F.max(F.when(F.col("feature") == n, F.col("rank"))).alias(n) for n in names))
+    matrix = _pair_rows(wide, names, F.corr)
+    label = lambda c: F.array(*map(F.lit, columns))[F.substring(c, 2, 9).cast("int")].alias(c)
+    return matrix.select(label("a"), label("b"), "corr")
 
 
 def ml_correlation_matrix(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> DataFrame:

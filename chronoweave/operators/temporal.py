@@ -25,6 +25,9 @@ from chronoweave.skew import FRAME_WORK, TASK_ROWS, timeline_shape, with_loose_r
 HOUR = 3600
 DAY = 24 * HOUR
 TWO_HOURS = 2 * HOUR
+#: Blocks of a float frame, and the shortest block in seconds.
+FRAME_BLOCKS = 64
+LEAST_BLOCK = 900
 
 
 @dataclass(frozen=True)
@@ -150,22 +153,58 @@ def _swept_totals(wanted, seconds, entity, epoch, measures, frames) -> DataFrame
     )
 
 
+def _block_seconds(frame: Frame) -> int:
+    """Length of the blocks that a frame's sums are made of: at most the frame, about ``FRAME_BLOCKS`` a frame."""
+    width = frame.end - frame.start + 1
+    return min(width, max(LEAST_BLOCK, -(-width // FRAME_BLOCKS)))
+
+
 def _tiled_totals(wanted, seconds, entity, epoch, measures, frames) -> DataFrame:
-    names = _names(measures, frames)
-    width = max(1 - f.start for f in frames.values())
-    if any(f.end > 0 for f in frames.values()):
-        raise ValueError("frames may not look ahead")
-    tile = F.floor(F.col(epoch) / width)
-    asks = wanted.select(entity, epoch, tile.alias("_tile"), F.lit(True).alias("_probe"))
-    # A row reaches at most into the tile after its own.
-    fed = seconds.select("*", F.explode(F.array(tile, tile + 1)).alias("_tile"), F.lit(False).alias("_probe"))
-    both = asks.unionByName(fed, allowMissingColumns=True)
-    w = Window.partitionBy(entity, "_tile").orderBy(epoch)
-    totals = [
-        F.coalesce(F.sum(m).over(w.rangeBetween(frames[f].start, frames[f].end)), F.lit(0)).alias(out)
-        for out, m, f in names
-    ]
-    return both.select(entity, epoch, "_probe", *totals).filter("_probe").drop("_probe")
+    """Sums of float measures in two levels, without subtracting: work is linear however wide a frame is.
+
+    Time is cut into blocks no longer than the frame.  A frame is the end of one block, whole blocks and
+    the beginning of another, so it is one running sum from behind, a sum of block totals and one
+    running sum from the front.
+    """
+    out = None
+    for name, frame in frames.items():
+        names = [(o, m) for o, m, f in _names(measures, frames) if f == name]
+        totals = _block_totals(wanted, seconds, entity, epoch, names, frame)
+        out = totals if out is None else out.join(totals, [entity, epoch])
+    return out
+
+
+def _block_totals(wanted, seconds, entity, epoch, names, frame) -> DataFrame:
+    size = _block_seconds(frame)
+    block = lambda at: F.floor(at / size)
+    low, high = F.col(epoch) + frame.start, F.col(epoch) + frame.end
+    # The two ends of every frame stand among the rows of their blocks.
+    both_ends = F.explode(F.array_distinct(F.array(low, high))).alias("_at")
+    asks = wanted.select(entity, epoch, both_ends, high.alias("_high"), (block(high) - block(low)).alias("_span"))
+    asks = asks.withColumn("_is_high", F.col("_at") == F.col("_high")).drop("_high")
+    fed = seconds.select(entity, F.col(epoch).alias("_at"), *(F.col(m).alias(f"_s_{m}") for _, m in names))
+    both = asks.unionByName(fed, allowMissingColumns=True).withColumn("_block", block(F.col("_at")))
+    line = Window.partitionBy(entity, "_block")
+    front = line.orderBy("_at").rangeBetween(Window.unboundedPreceding, 0)
+    back = line.orderBy(F.col("_at").desc()).rangeBetween(Window.unboundedPreceding, 0)
+    sums = [F.when(F.col("_is_high"), F.sum(f"_s_{m}").over(front)).otherwise(F.sum(f"_s_{m}").over(back)).alias(o) for o, m in names]
+    # A frame of one block is the whole block, which its upper end sums up alone.
+    ends = both.select(entity, epoch, "_is_high", "_span", *sums).filter(F.col(epoch).isNotNull() & (F.col("_is_high") | (F.col("_span") > 0)))
+    parts = ends.select(entity, epoch, *(o for o, _ in names))
+    # From the lower to the upper end it is as many blocks as fit into the frame, or one more.
+    fewest = (frame.end - frame.start) // size
+    inner = [(span, Window.partitionBy(entity).orderBy("_block").rangeBetween(1 - span, -1)) for span in (fewest, fewest + 1) if span > 1]
+    if inner:
+        asked = wanted.select(entity, epoch, block(high).alias("_block"), (block(high) - block(low)).alias("_span"))
+        totals = fed.groupBy(entity, block(F.col("_at")).alias("_block")).agg(*(F.sum(f"_s_{m}").alias(f"_s_{m}") for _, m in names))
+        # Asked blocks without rows of their own need a place too.
+        places = asked.select(entity, "_block").distinct().unionByName(totals, allowMissingColumns=True)
+        places = places.groupBy(entity, "_block").agg(*(F.sum(f"_s_{m}").alias(f"_s_{m}") for _, m in names))
+        held = [F.sum(f"_s_{m}").over(w).alias(f"_{span}_{o}") for span, w in inner for o, m in names]
+        middle = asked.join(places.select(entity, "_block", *held), [entity, "_block"])
+        chosen = lambda o: F.coalesce(*(F.when(F.col("_span") == span, F.col(f"_{span}_{o}")) for span, _ in inner)).alias(o)
+        parts = parts.unionByName(middle.select(entity, epoch, *(chosen(o) for o, _ in names)))
+    return parts.groupBy(entity, epoch).agg(*(F.coalesce(F.sum(o), F.lit(0)).alias(o) for o, _ in names))
 
 
 def _zero_one(flag: Column) -> Column:

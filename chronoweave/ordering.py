@@ -10,15 +10,18 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import add, and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from chronoweave.scratch import write_scratch
-from chronoweave.skew import BROADCAST_ROWS, TASK_ROWS, small_side, timeline_shape, with_loose_rows
+from chronoweave.skew import BROADCAST_ROWS, TASK_ROWS, small_side, stored_side, timeline_shape, with_loose_rows
 
 CHUNK = "_chunk"
+#: Accuracy of the percentiles that bracket a quantile: their ranks are off by a 10 000th of the rows at most.
+BRACKET_ACCURACY = 10_000
 
 
 def ordered_chunks(df: DataFrame, order: Sequence[Column | str], chunks: int) -> DataFrame:
@@ -64,8 +67,12 @@ def cumulative_counts(
 
     Equal values collapse before the first shuffle, so a value shared by many rows costs one row.
     """
-    total = df.count()
     counts = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("n"))
+    return _running(counts, group, value, df.count(), task_rows)
+
+
+def _running(counts: DataFrame, group: Sequence[str], value: str, total: int, task_rows: int) -> DataFrame:
+    """Add ``below``, the sum of ``n`` over smaller values of the group; ``total`` bounds the rows of ``counts``."""
     if total <= task_rows:
         before = Window.partitionBy(*group).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
         return counts.withColumn("below", F.coalesce(F.sum("n").over(before), F.lit(0)))
@@ -74,36 +81,25 @@ def cumulative_counts(
     sizes = chunked.groupBy(*group, CHUNK).agg(F.sum("n").alias("_n"))
     offsets = _chunk_offsets(sizes, group, "_n", "_before").withColumnsRenamed({c: f"_o_{c}" for c in group})
     inside = chunked.withColumn("_inside", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    same = reduce(and_, (inside[c].eqNullSafe(offsets[f"_o_{c}"]) for c in group), inside[CHUNK] == offsets[CHUNK])
-    return inside.join(offsets, same).select(
-        *group, value, "n", (F.col("_inside") + F.col("_before")).alias("below")
-    )
+    offsets = offsets.withColumnRenamed(CHUNK, f"_o{CHUNK}")
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in group), F.col(CHUNK) == F.col(f"_o{CHUNK}"))
+    return inside.join(offsets, same).select(*counts.columns, (F.col("_inside") + F.col("_before")).alias("below"))
 
 
-def exact_quantiles(
-    df: DataFrame, group: Sequence[str], value: str, quantiles: dict[str, float], task_rows: int = TASK_ROWS
-) -> DataFrame:
-    """Interpolated quantiles per group from ranks, without holding a group in memory.
+def _same_group(group: Sequence[str], prefix: str) -> Column:
+    return reduce(and_, (F.col(c).eqNullSafe(F.col(f"{prefix}{c}")) for c in group))
 
-    Also returns ``rows``, the number of non-null values of the group.
-    """
-    ranks = cumulative_counts(df, group, value, task_rows)
-    totals = df.filter(F.col(value).isNotNull()).groupBy(*group).agg(F.count("*").alias("rows"))
-    if group:
-        totals = small_side(totals.withColumnsRenamed({c: f"_t_{c}" for c in group}))
-        same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in group))
-        located = ranks.join(totals, same)
-        rows = F.col("rows")
-    else:
-        located = ranks
-        rows = F.lit(totals.first()["rows"])
+
+def _rank_picks(quantiles: dict[str, float], rows: Column, at_rank) -> list[Column]:
+    """The values at the two ranks around each quantile; ``at_rank(rank)`` is a row's value if it holds the rank."""
     picks = []
     for name, q in quantiles.items():
         exact = F.lit(q) * (rows - 1)
-        for side, rank in (("lo", F.floor(exact)), ("hi", F.ceil(exact))):
-            holds = (F.col("below") <= rank) & (rank < F.col("below") + F.col("n"))
-            picks.append(F.max(F.when(holds, F.col(value))).alias(f"_{name}_{side}"))
-    found = located.groupBy(*group).agg(F.max(rows).alias("rows"), *picks)
+        picks += [F.max(at_rank(rank)).alias(f"_{name}_{side}") for side, rank in (("lo", F.floor(exact)), ("hi", F.ceil(exact)))]
+    return picks
+
+
+def _interpolated(found: DataFrame, group: Sequence[str], quantiles: dict[str, float]) -> DataFrame:
     out = []
     for name, q in quantiles.items():
         exact = F.lit(q) * (F.col("rows") - 1)
@@ -112,6 +108,85 @@ def exact_quantiles(
     return found.select(*group, "rows", *out)
 
 
+def exact_quantiles(
+    df: DataFrame,
+    group: Sequence[str],
+    value: str,
+    quantiles: dict[str, float],
+    task_rows: int = TASK_ROWS,
+    accuracy: int = BRACKET_ACCURACY,
+) -> DataFrame:
+    """Interpolated quantiles per group, selected by bracketing: nothing sorts all values.
+
+    An approximate percentile a little below and above each quantile gives a bracket that holds the
+    ranks wanted.  One more aggregate counts the rows outside the brackets by where they lie, and the
+    distinct values inside, about ``4 / accuracy`` of all rows a quantile; only these are ordered.  A
+    group whose brackets miss a rank, which the percentiles' error bound rules out for ordinary
+    numbers, is ranked in full.  Also returns ``rows``, the number of non-null values of the group.
+    """
+    v = F.col(value)
+    known = df.filter(v.isNotNull()).select(*group, value)
+    fractional = isinstance(known.schema[value].dataType, (DoubleType, FloatType))
+    ordinary = F.when(~F.isnan(v), v) if fractional else v
+    points = [p for q in quantiles.values() for p in (max(0.0, q - 2 / accuracy), min(1.0, q + 2 / accuracy))]
+    bounds = known.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("rows"), F.percentile_approx(ordinary, points, accuracy).alias("_at")
+    )
+    ends = [F.col("_at")[i].alias(f"_b{i}") for i in range(len(points))]
+    lows, highs = range(0, len(points), 2), range(1, len(points), 2)
+    if group:
+        side = stored_side(bounds.select(*(F.col(c).alias(f"_t_{c}") for c in group), "rows", *ends))
+        located = known.join(side, _same_group(group, "_t_"))
+        bound = [F.col(f"_b{i}") for i in range(len(points))]
+    else:
+        row = bounds.select("rows", *ends).first()  # one row
+        kind = known.schema[value].dataType
+        bound = [F.lit(row[f"_b{i}"]).cast(kind) for i in range(len(points))]
+        located = known.withColumn("rows", F.lit(row["rows"]))
+    inside = reduce(or_, (v.between(bound[i], bound[j]) for i, j in zip(lows, highs)))
+    # Rows outside all brackets that have passed the same low ends lie between the same brackets.
+    passed = reduce(add, ((v >= bound[i]).cast("int") for i in lows))
+    inside, passed = F.coalesce(inside, F.lit(False)), F.coalesce(passed, F.lit(-1))
+    cells = located.groupBy(*group, "rows", F.when(inside, v).alias("_in"), F.when(~inside, passed).alias("_passed")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(v).alias("_first"), F.max(v).alias("_last")
+    )
+    cells = write_scratch(cells, "cells").df
+    ranks = _running(cells, group, "_first", cells.count(), task_rows)
+    below, n = F.col("below"), F.col("n")
+
+    def at_rank(rank: Column) -> Column:
+        # Of a cell between brackets only the ends are known.
+        held = F.when(F.col("_in").isNotNull() | (rank == below), F.col("_first")).when(rank == below + n - 1, F.col("_last"))
+        return F.when((below <= rank) & (rank < below + n), held)
+
+    picks = _rank_picks(quantiles, F.col("rows"), at_rank)
+    found = write_scratch(ranks.groupBy(*group).agg(F.max("rows").alias("rows"), *picks), "selected").df
+    missed = reduce(or_, (F.col(f"_{name}_{side}").isNull() for name in quantiles for side in ("lo", "hi")))
+    missed = found.filter(missed)
+    if missed.isEmpty():
+        return _interpolated(found, group, quantiles)
+    if not group:
+        return _ranked_quantiles(known, group, value, quantiles, task_rows)
+    again = small_side(missed.select(*(F.col(c).alias(f"_t_{c}") for c in group)))
+    rest = _ranked_quantiles(known.join(again, _same_group(group, "_t_"), "left_semi"), group, value, quantiles, task_rows)
+    found = found.join(again, _same_group(group, "_t_"), "left_anti")
+    return _interpolated(found, group, quantiles).unionByName(rest)
+
+
+def _ranked_quantiles(known, group, value, quantiles, task_rows) -> DataFrame:
+    """The same from the ranks of all distinct values."""
+    ranks = cumulative_counts(known, group, value, task_rows)
+    totals = known.groupBy(*group).agg(F.count("*").alias("rows"))
+    if group:
+        totals = stored_side(totals.withColumnsRenamed({c: f"_t_{c}" for c in group}))
+        located = ranks.join(totals, _same_group(group, "_t_"))
+    else:
+        located = ranks.withColumn("rows", F.lit(totals.first()["rows"]))
+    holds = lambda rank: F.when((F.col("below") <= rank) & (rank < F.col("below") + F.col("n")), F.col(value))
+    found = located.groupBy(*group).agg(F.max("rows").alias("rows"), *_rank_picks(quantiles, F.col("rows"), holds))
+    return _interpolated(found, group, quantiles)
+
+
 def previous_row(
     df: DataFrame,
     entity: str,

@@ -45,13 +45,30 @@ def test_average_out_degree(eleven):
 
 def test_adjacency_lines_round_trip(eleven, same_rows):
     same_rows(adjacency_edges(g.adjacency_lines(eleven)), eleven)
-    same_rows(adjacency_edges(g.adjacency_lines(eleven, max_links=1)), eleven)
+    same_rows(adjacency_edges(g.adjacency_lines(eleven, parts=3)), eleven)
 
 
-def test_long_neighbour_lists_are_cut(eleven):
-    lists = g.adjacency_list(eleven, max_links=1).collect()
-    assert sum(len(r["neighbours"]) for r in lists) == 17
-    assert {r["id"] for r in lists} == set(range(1, 12))
+@pytest.mark.parametrize("parts", [1, 3])
+def test_one_grain_of_neighbour_lists(eleven, parts):
+    lists = g.adjacency_list(eleven, parts).collect()
+    assert sorted((r["id"], r["part"]) for r in lists) == [(n, p) for n in range(1, 12) for p in range(parts)]
+    found = sorted((r["id"], d) for r in lists for d in r["neighbours"])
+    assert found == sorted((s, d) for s, links in ELEVEN.items() for d in links)
+
+
+def test_zero_weights_lose_no_rank(spark):
+    edges = spark.createDataFrame([(1, 2, 0), (2, 1, 1), (3, 1, 1)], "src long, dst long, weight long")
+    assert [r["total_mass"] for r in g.pagerank_trace(edges, iterations=5).collect()] == pytest.approx([1.0] * 5)
+    start = {r["id"]: r["dangling"] for r in g.initial_ranks(g.init_graph(edges)).collect()}
+    assert start == {1: True, 2: False, 3: False}
+    assert {r["src"] for r in g.transition_matrix(edges).collect()} == {2, 3}
+    with pytest.raises(Exception, match="negative weight"):
+        g.transition_matrix(edges.union(spark.createDataFrame([(1, 3, -1)], edges.schema))).collect()
+
+
+@pytest.mark.parametrize("batch", [1, 4])
+def test_betweenness_of_source_batches(eleven, same_rows, batch):
+    same_rows(g.betweenness_centrality(eleven, batch=batch), g.betweenness_centrality(eleven))
 
 
 def test_published_steady_state(spark):

@@ -99,3 +99,31 @@ def test_range_frame_by_brute_force(spark):
     for limit in (1, 10**9):
         found = t.trailing_count(df, "e", "s", {"n": F.col("f").cast("int")}, task_rows=limit)
         assert sorted((r["e"], r["s"], r["n"]) for r in found.collect()) == expected
+
+
+@pytest.mark.parametrize("frame", [(-10, -1), (-7200, -1), (-7200, 0), (-5, -5), (-900, -1), (-90 * 86_400, -86_400), (-100_000, -50)])
+def test_block_sums_equal_the_plain_window(spark, frame):
+    """Frames of one block, of whole blocks and of many, over seconds that lie on and off their edges."""
+    seconds = sorted({(k * k * 977) % 9_000_000 for k in range(400)} | {900 * k for k in range(60)} | set(range(0, 40)))
+    rows = spark.createDataFrame([(e, s, float(s % 97) / 7) for e in (1, 2) for s in seconds], "e int, s long, v double")
+    wanted, held = rows.select("e", "s"), {"w": t.Frame(*frame), "x": t.Frame(frame[0] - 3, frame[1])}
+    found = {(r["e"], r["s"]): r for r in t._tiled_totals(wanted, rows, "e", "s", ["v"], held).collect()}
+    plain = {(r["e"], r["s"]): r for r in t._window_totals(rows, "e", "s", {"v": F.col("v")}, held).collect()}
+    assert found.keys() == plain.keys()
+    for key, row in plain.items():
+        assert found[key]["v_w"] == pytest.approx(row["v_w"], abs=1e-9) and found[key]["v_x"] == pytest.approx(row["v_x"], abs=1e-9)
+
+
+def test_quantiles_of_missed_brackets(events, same_rows):
+    """A useless bracket sends the group to the full ranking; ties, nulls and NaN keep their ranks."""
+    odd = events.withColumn("value", F.when(F.col("h") == 3, F.lit(float("nan"))).when(F.col("h") != 4, F.round("value")))
+    quantiles = {"q0": 0.0, "q1": 0.25, "q2": 0.5, "q3": 0.999, "q4": 1.0}
+    for group in (["event_type"], []):
+        exact = ordering._ranked_quantiles(odd.filter("value IS NOT NULL"), group, "value", quantiles, 10**9)
+        same_rows(ordering.exact_quantiles(odd, group, "value", quantiles), exact)
+        same_rows(ordering.exact_quantiles(odd, group, "value", quantiles, accuracy=2), exact)
+    small = events.limit(3).select(F.col("event_id").alias("value"))
+    same_rows(
+        ordering.exact_quantiles(small, [], "value", {"q": 0.25}), ordering._ranked_quantiles(small, [], "value", {"q": 0.25}, 10**9)
+    )
+    assert ordering.exact_quantiles(events.limit(0), ["event_type"], "value", {"q": 0.5}).count() == 0
