@@ -76,17 +76,20 @@ def _(x):
 
 
 def _mode(c: str) -> str:
-    return f"(SELECT CAST({c} AS DOUBLE) FROM sparse WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"
+    return f"(SELECT {c} FROM sparse WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"
 
 
 @query(
     "impute_mode",
     SPARSE
-    + f"""SELECT event_id, coalesce(CAST(user_id AS DOUBLE), {_mode('user_id')}) AS user_id_imputed,
-  coalesce(CAST(mostly AS DOUBLE), {_mode('mostly')}) AS mostly_imputed FROM sparse""",
+    + f"""SELECT event_id, coalesce(user_id, {_mode('user_id')}) AS user_id_imputed, coalesce(mostly, {_mode('mostly')}) AS mostly_imputed,
+  coalesce(CASE WHEN event_id % 5 <> 0 THEN event_type END,
+    (SELECT event_type FROM sparse WHERE event_id % 5 <> 0 GROUP BY event_type ORDER BY count(*) DESC, event_type LIMIT 1)) AS kind_imputed
+FROM sparse""",
 )
 def _(x):
-    return pr.impute_mode(sparse(x), ["user_id", "mostly"]).select("event_id", "user_id_imputed", "mostly_imputed")
+    rows = sparse(x).withColumn("kind", F.when(F.col("event_id") % 5 != 0, F.col("event_type")))
+    return pr.impute_mode(rows, ["user_id", "mostly", "kind"]).select("event_id", "user_id_imputed", "mostly_imputed", "kind_imputed")
 
 
 @query("assemble_features", f"SELECT {KEYS}, l_quantity AS f0, l_tax AS f3, {q6('l_quantity + l_extendedprice + l_discount + l_tax')} AS total FROM lineitem")
@@ -253,6 +256,55 @@ def _(x):
     return mo.permutation_importance(model, test_rows(x), NUMERICS, "label", [c for c in LINE_COLUMNS if c not in NUMERICS])
 
 
+def _round_sql(turn: int, key: int) -> str:
+    """One Feistel round on (x, y) of a grid ``high`` by ``wide``."""
+    half = hash_sql("{0}", str(4 * key + turn))
+    if turn % 2:
+        return f"x, (y + {half.format('x')}) % wide AS y"
+    return f"(x + {half.format('y')}) % high AS x, y"
+
+
+def _moved_sql(key: int, walks: int = 8) -> str:
+    """Where each ``place`` goes under the bijection of ``key``."""
+    inner = "SELECT place, place AS p FROM numbered"
+    for walk in range(walks):
+        cells = f"SELECT place, p, p // wide AS x, p % wide AS y FROM ({inner}), grid"
+        for turn in range(4):
+            cells = f"SELECT place, p, {_round_sql(turn, key)} FROM ({cells}), grid"
+        step = "x * wide + y" if not walk else "CASE WHEN p >= n THEN x * wide + y ELSE p END"
+        inner = f"SELECT place, {step} AS p FROM ({cells}), grid"
+    return inner
+
+
+_RULE = "CASE WHEN {0}.l_quantity > 20 AND {1}.l_discount < CAST(0.06 AS DOUBLE) THEN 1 ELSE 0 END"
+
+
+@query(
+    "permutation_importance_rule",
+    with_views(
+        "li",
+        extra=f"""numbered AS MATERIALIZED (
+  SELECT l_quantity, l_discount, label, row_number() OVER (ORDER BY {KEYS}, l_quantity, l_discount, label) - 1 AS place FROM li),
+grid AS MATERIALIZED (SELECT n, wide, CAST(ceil(n / wide) AS BIGINT) AS high FROM
+  (SELECT count(*) AS n, CAST(floor(sqrt(greatest(count(*) - 1, 0))) AS BIGINT) + 1 AS wide FROM numbered)),
+q AS MATERIALIZED (SELECT p, l_quantity FROM ({_moved_sql(42)}) JOIN numbered USING (place)),
+d AS MATERIALIZED (SELECT p, l_discount FROM ({_moved_sql(43)}) JOIN numbered USING (place)),
+r AS (SELECT avg(CASE WHEN {_RULE.format('b', 'b')} = label THEN 1 ELSE 0 END) AS own,
+  avg(CASE WHEN {_RULE.format('q', 'b')} = label THEN 1 ELSE 0 END) AS quantity,
+  avg(CASE WHEN {_RULE.format('b', 'd')} = label THEN 1 ELSE 0 END) AS discount
+  FROM numbered b JOIN q ON q.p = b.place JOIN d ON d.p = b.place)""",
+    )
+    + f"""SELECT 'l_quantity' AS feature, {q6('own - quantity')} AS importance FROM r
+UNION ALL SELECT 'l_discount', {q6('own - discount')} FROM r""",
+)
+def _(x):
+    """Importance of two features to a fixed rule, which SQL can move and score as well."""
+    rule = F.when((F.col("l_quantity") > 20) & (F.col("l_discount") < 0.06), 1.0).otherwise(0.0)
+    features = ["l_quantity", "l_discount"]
+    found = mo.permutation_importance(lambda df: df.withColumn("prediction", rule), x.li, features, "label", [*LINE_KEYS, *features, "label"])
+    return found.select("feature", r6("importance").alias("importance"))
+
+
 @query("process_and_select")
 def _(x):
     labelled = x.documents.join(x.labels, "doc_id").drop("doc_id")

@@ -86,8 +86,7 @@ def _(x):
     with_views("trans") + "SELECT src, dst FROM trans, LATERAL (SELECT unnest(range(weight))) r",
 )
 def _(x):
-    copies = F.explode(s.expand_multiplicity(F.col("dst"), F.col("weight"))).alias("dst")
-    return x.trans.select("src", copies)
+    return clean.expand_rows(x.trans, F.col("weight"), block=100).select("src", "dst")
 
 
 SHIPPED = f"""SELECT l_returnflag, CAST(year(l_shipdate) AS INTEGER) AS y, count(*) AS n,

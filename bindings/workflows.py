@@ -89,6 +89,15 @@ def _rate(flag: str, start: str) -> str:
     return f"CASE WHEN tail IS NOT NULL AND count({flag}) OVER {frame} >= 3 THEN {q6(f'100 * avg({flag}) OVER {frame}')} END"
 
 
+def _flights(arrivals: int = 0, skip_null: bool = False) -> str:
+    """Views of the feature workflow; the arguments are switches."""
+    views = _FLIGHTS.replace("AND a.dep_sec GROUP", f"AND a.dep_sec - {arrivals} GROUP")
+    if skip_null:
+        views = views.replace("CASE WHEN coalesce(delay, 0) <= 15", "CASE WHEN delay IS NULL THEN NULL WHEN delay <= 15")
+        views = views.replace("CASE WHEN late = 0 THEN 1 ELSE 0 END AS on_dep", "CASE WHEN late IS NOT NULL THEN CASE WHEN late = 0 THEN 1 ELSE 0 END END AS on_dep")
+    return views
+
+
 _FLIGHTS = """f AS (
   SELECT event_id AS num, d, dep, arr, h, CASE WHEN event_id % 50 <> 0 THEN 'T' || user_id END AS tail,
     'S' || (user_id % 10) AS origin, 'S' || ((user_id + event_id) % 10) AS dest, ts,
@@ -118,14 +127,15 @@ nearest AS (
   SELECT h.* FROM hourly h JOIN stations s ON h.station = s.station
   QUALIFY row_number() OVER (PARTITION BY h.site, hour_ts ORDER BY distance, CAST(h.station AS VARCHAR)) = 1)"""
 
-_ZERO = "CAST(coalesce(sum({}) OVER (PARTITION BY origin ORDER BY dep_sec RANGE BETWEEN 7200 PRECEDING AND 1 PRECEDING), 0) AS BIGINT)"
+_ZERO = "CAST(coalesce(sum({}) OVER (PARTITION BY origin ORDER BY dep_sec RANGE BETWEEN 7200 PRECEDING AND {} PRECEDING), 0) AS BIGINT)"
 _MIN = "(({0} // 100) * 60 + {0} % 100)"
 
 
-def departure_features(x):
-    """The complete feature workflow over a fresh stage store."""
+def departure_features(x, switches: dp.Switches = dp.Switches()):
+    """The complete feature workflow over a fresh stage store, versioned by the files of the events."""
     store = StageStore(x.spark, _folder(x))
-    final = dp.build_features(store, raw_flights(x), raw_weather(x), raw_stations(x))
+    events = f"{x.folder}/events.parquet"
+    final = dp.build_features(store, raw_flights(x), raw_weather(x), raw_stations(x), switches=switches, inputs=[events])
     names = {
         "Flight_Number_Reporting_Airline": "num",
         "Num_airport_wide_delays": "delays",
@@ -151,23 +161,30 @@ def departure_features(x):
     )
 
 
-query(
-    "departure_features",
-    with_views("clock", "obs", "stations", extra=_FLIGHTS)
-    + f"""SELECT CAST(f.num AS INTEGER) AS num, k.delays, k.cancels, c.oncoming, n.sky,
+def _features_sql(weekend: str = "6, 7", congestion: int = 1, arrivals: int = 0, skip_null: bool = False) -> str:
+    return with_views("clock", "obs", "stations", extra=_flights(arrivals, skip_null)) + f"""SELECT CAST(f.num AS INTEGER) AS num, k.delays, k.cancels, c.oncoming, n.sky,
   CASE WHEN month(f.d) IN (12, 1, 2) THEN 'Winter' WHEN month(f.d) IN (3, 4, 5) THEN 'Spring'
        WHEN month(f.d) IN (6, 7, 8) THEN 'Summer' ELSE 'Fall' END AS season,
-  CASE WHEN isodow(f.d) IN (6, 7) THEN 1 ELSE 0 END AS weekend,
+  CASE WHEN isodow(f.d) IN ({weekend}) THEN 1 ELSE 0 END AS weekend,
   CASE WHEN f.tail IS NOT NULL THEN {q6('l.prev_delay')} END AS prev_delay, hist_arr, recent_dep, short_arr, old_dep,
   {q6('n.wind')} AS wind, {q6('n.rain')} AS rain,
   CAST(CASE WHEN f.tail IS NOT NULL THEN CASE datediff('day', l.pd, f.d) WHEN 0 THEN {_MIN.format('f.dep')} - {_MIN.format('l.pa')}
     WHEN 1 THEN {_MIN.format('f.dep')} + 1440 - {_MIN.format('l.pa')} END END AS BIGINT) AS turnaround
 FROM f JOIN lagged l ON f.num = l.num JOIN crowd c ON f.num = c.num
-JOIN (SELECT num, {_ZERO.format('CASE WHEN late = 1 THEN 1 ELSE 0 END')} AS delays, {_ZERO.format('cancelled')} AS cancels FROM f) k ON f.num = k.num
+JOIN (SELECT num, {_ZERO.format('CASE WHEN late = 1 THEN 1 ELSE 0 END', congestion)} AS delays, {_ZERO.format('cancelled', congestion)} AS cancels FROM f) k ON f.num = k.num
 JOIN (SELECT num, {_rate('on_arr', 'UNBOUNDED')} AS hist_arr, {_rate('on_dep', '1209600')} AS recent_dep,
   {_rate('on_arr', '7776000')} AS short_arr, {_rate('on_dep', 'UNBOUNDED')} AS old_dep FROM rates) r ON f.num = r.num
-LEFT JOIN nearest n ON f.origin = 'S' || n.site AND date_trunc('hour', f.ts) - INTERVAL 2 HOUR = n.hour_ts""",
-)(departure_features)
+LEFT JOIN nearest n ON f.origin = 'S' || n.site AND date_trunc('hour', f.ts) - INTERVAL 2 HOUR = n.hour_ts"""
+
+
+query("departure_features", _features_sql())(departure_features)
+
+
+@query("departure_features_strict", _features_sql("5, 6", 900, 600, True))
+def _(x):
+    """The same with nothing counted before it can be known: ten minutes for arrivals, a quarter of an hour for congestion, unknown delays skipped."""
+    strict = dp.Switches(congestion_horizon_s=900, arrival_horizon_s=600, skip_null=True, weekend=(5, 6))
+    return departure_features(x, strict)
 
 
 LINE_SPEC = dm.ModelSpec(
@@ -186,10 +203,13 @@ LINE_SPEC = dm.ModelSpec(
 
 @query("delay_model")
 def _(x):
-    """Rows, balance, blocked search of both families, stored winners, vote and report."""
-    train, test = dm.prepare_tables(StageStore(x.spark, _folder(x)), x.li, LINE_SPEC)
-    store = ModelStore(x.spark, _folder(x))
-    dm.fit_models(train, test, LINE_SPEC, store)
+    """Rows, balance, blocked search of both families, stored winners and runs, cut-offs, vote and report."""
+    inputs = [f"{x.folder}/lineitem.parquet"]
+    train, test = dm.prepare_tables(StageStore(x.spark, _folder(x)), x.li, LINE_SPEC, inputs=inputs)
+    store, runs = ModelStore(x.spark, _folder(x)), _folder(x)
+    found = dm.fit_models(train, test, LINE_SPEC, store)
     fitted = {name: store.load(name) for name in ("logreg", "mlp")}
-    report, _ = dm.ensemble_report(dm.ensemble_predictions(fitted, test, LINE_SPEC))
+    cuts = dm.choose_thresholds(fitted, train, LINE_SPEC)
+    dm.log_runs(x.spark, runs, "delay", found, cuts)
+    report, _ = dm.ensemble_report(dm.ensemble_predictions(fitted, test, LINE_SPEC, thresholds=cuts))
     return report

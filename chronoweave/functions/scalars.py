@@ -134,7 +134,7 @@ def parse_map_literal(text: Column) -> Column:
 
 
 def expand_multiplicity(item: Column, count: Column) -> Column:
-    """One array entry per repetition; explode it where single rows are wanted."""
+    """One array entry per repetition, for counts that fit one value; ``clean.expand_rows`` has no such limit."""
     return F.array_repeat(item, count.cast("int"))
 
 

@@ -141,6 +141,25 @@ def point_lookup(df: DataFrame, key: str, value) -> DataFrame:
     return df.filter(F.col(key) == value)
 
 
+def expand_rows(df: DataFrame, count: Column, block: int = 10_000, spread: int | None = None) -> DataFrame:
+    """Every row ``count`` times (bigint); a null or non-positive count leaves none.
+
+    A row with a count above ``block`` turns into numbered blocks, which are dealt to ``spread`` tasks
+    (the shuffle setting by default) and turn into rows there: no value and no task's buffer holds more than ``block``
+    rows, or one entry per block.  Other rows stay where they are.
+    """
+    held = df.select("*", count.cast("long").alias("_count")).filter("_count > 0")
+
+    def repeated(rows: DataFrame, times: Column) -> DataFrame:
+        return rows.withColumn("_one", F.explode(F.array_repeat(F.lit(True), times.cast("int")))).select(*(F.col(f"`{c}`") for c in df.columns))
+
+    large = held.filter(F.col("_count") > block)
+    blocks = large.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_count") - 1) / block))))
+    dealt = blocks.repartition(spread or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    inside = F.least(F.col("_count") - F.col("_block") * block, F.lit(block))
+    return repeated(held.filter(F.col("_count") <= block), F.col("_count")).unionByName(repeated(dealt, inside))
+
+
 def wide_to_long(
     df: DataFrame, ids: Sequence[str], values: Sequence[str], name: str = "feature", value: str = "value"
 ) -> DataFrame:

@@ -9,8 +9,9 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chronoweave.operators import dictionary
 from chronoweave.scratch import write_scratch
-from chronoweave.skew import small_side, stored_side
+from chronoweave.skew import small_side
 
 
 def broadcast_equi_join(fact: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
@@ -120,17 +121,23 @@ def bucket_lookup_join(
 
 def frequency_join(df: DataFrame, column: str, out: str) -> DataFrame:
     """Bring each value's row count onto its rows; a null value gets no count."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias(out))
-    return df.join(stored_side(counts), column, "left").select(*df.columns, out)
+    return dictionary.build(df, [column]).attach(df, column, out)
 
 
 def prediction_join(outputs: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Inner join of model outputs on their row key; refuses keys that would fan out."""
-    for scored in outputs:
-        # A repeated key shows up as one group with two rows; stop at the first.
-        if scored.groupBy(*keys).count().filter("count > 1").limit(1).count():
-            raise ValueError(f"rows are not unique by {list(keys)}")
-    return reduce(lambda a, b: a.join(b, list(keys)), outputs)
+    """Inner join of model outputs on their row key; the query fails on keys that would fan out.
+
+    The aggregate that proves a key unique partitions and sorts the rows as the join wants them, so every output
+    is computed and shuffled once.  Rows with a null in the key match nothing.
+    """
+
+    def proved(scored: DataFrame) -> DataFrame:
+        rest = [c for c in scored.columns if c not in keys]
+        rows = scored.dropna(subset=list(keys)).groupBy(*keys).agg(F.first(F.struct(F.lit(0), *rest)).alias("_row"), F.count(F.lit(1)).alias("_n"))
+        repeated = F.raise_error(F.lit(f"rows are not unique by {list(keys)}")).cast("boolean")
+        return rows.filter(F.when(F.col("_n") > 1, repeated).otherwise(True)).select(*keys, *(F.col(f"_row.{c}").alias(c) for c in rest))
+
+    return reduce(lambda a, b: a.join(b, list(keys)), map(proved, outputs))
 
 
 def dict_lookup_join(df: DataFrame, values: dict, key: str, out: str, default=None) -> DataFrame:

@@ -6,6 +6,7 @@ on that table.  Independent fits run from a small thread pool, as the built-in c
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -24,10 +25,15 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chronoweave.functions.scalars import key_hash
 from chronoweave.operators.clean import columns_of_type
 from chronoweave.operators.metrics import binary_scores
 from chronoweave.operators.prep import auto_encode_strings, blocked_time_split
 from chronoweave.ordering import positions
+from chronoweave.scratch import write_scratch
+
+#: Further steps of a place that lands beyond the last row; on a large table one in many needs a single one.
+WALK_STEPS = 16
 
 #: The grids the published results were found with.
 LOGREG_GRID = (
@@ -205,25 +211,73 @@ def process_and_select(
     return rf_feature_selection(auto_encode_strings(df, one_hot_limit, embed), label, threshold, **params)
 
 
+def permuted_place(place: Column, rows: int, key: int) -> Column:
+    """Where a row at ``place`` (0 to ``rows`` - 1) goes: a keyed bijection, computed without seeing other rows.
+
+    Four Feistel rounds permute a grid of about the square root of ``rows`` on either side.  Fewer cells than one
+    side lie beyond the last row; a place that lands there moves on, which ends within as many steps.
+    """
+    wide = max(math.isqrt(max(rows - 1, 0)) + 1, 1)
+    high = -(-rows // wide)
+
+    def moved(p: Column) -> Column:
+        x, y = F.floor(p / wide), F.pmod(p, F.lit(wide))
+        for turn in range(4):
+            if turn % 2:
+                y = F.pmod(y + key_hash(x, F.lit(4 * key + turn)), F.lit(wide))
+            else:
+                x = F.pmod(x + key_hash(y, F.lit(4 * key + turn)), F.lit(high))
+        return x * wide + y
+
+    steps = F.sequence(F.lit(1), F.lit(min(wide, WALK_STEPS)))
+    return F.aggregate(steps, moved(place), lambda p, _: F.when(p >= rows, moved(p)).otherwise(p))
+
+
+def permuted_variants(df: DataFrame, features: Sequence[str], label: str, order: Sequence[str | Column], seed: int = 42) -> DataFrame:
+    """(variant, label, features): the rows as they are, and once per feature with that feature's values moved to other rows.
+
+    Rows are numbered in a total order; every feature then has its own bijection of the numbers.  All moves
+    of all features happen in one exchange, and every row is kept.
+    """
+    held = [f"b{i}" for i in range(len(features))]
+    numbered = positions(df.select(*(F.col(c).cast("double").alias(h) for c, h in zip(features, held)), F.col(label).cast("double").alias("y"), *order), order, "at")
+    numbered = write_scratch(numbered.select(*held, "y", (F.col("at") - 1).alias("at")), "numbered").df
+    rows = numbered.count()
+    own = F.struct(F.col("at").alias("to"), F.lit(-1).alias("which"), F.lit(None).cast("double").alias("v"), *held, "y")
+    blank = [F.lit(None).cast("double").alias(h) for h in (*held, "y")]
+    moves = [F.struct(permuted_place(F.col("at"), rows, seed + i).alias("to"), F.lit(i).alias("which"), F.col(h).alias("v"), *blank) for i, h in enumerate(held)]
+    sent = numbered.select(F.inline(F.array(own, *moves)))
+    arrived = sent.groupBy("to").agg(
+        *(F.max(h).alias(h) for h in (*held, "y")), *(F.max(F.when(F.col("which") == i, F.col("v"))).alias(f"m{i}") for i in range(len(held)))
+    )
+    variant = lambda k: F.struct(
+        F.lit("" if k is None else features[k]).alias("variant"),
+        *(F.col(f"m{i}" if i == k else h).alias(c) for i, (h, c) in enumerate(zip(held, features))),
+    )
+    return arrived.select(F.col("y").alias(label), F.inline(F.array(variant(None), *map(variant, range(len(held))))))
+
+
 def permutation_importance(
-    model: Model, df: DataFrame, features: Sequence[str], label: str, order: Sequence[str | Column], seed: int = 42
+    model: Model | Callable[[DataFrame], DataFrame],
+    df: DataFrame,
+    features: Sequence[str],
+    label: str,
+    order: Sequence[str | Column],
+    seed: int = 42,
+    invalid: str = "error",
 ) -> DataFrame:
-    """Drop in accuracy when one feature's values are shuffled between rows.
+    """Drop in accuracy when one feature's values are moved between rows; one pass scores all variants.
 
-    Rows are numbered in a total order and in a hashed order; joining the two numberings moves each
-    value to another row without gathering the column anywhere.
+    ``model`` is a fitted classifier, or a function that adds ``prediction`` to a table of the features.
+    Every row counts; a null feature is an error to a classifier unless ``invalid`` is ``keep``.
     """
-    base = positions(df.select(*features, label, *order), order, "_at")
-    mixed = positions(df.select(*features, *order), [F.xxhash64(F.lit(seed), *order), *order], "_at")
-
-    def accuracy(rows: DataFrame) -> float:
-        vectors = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
-        scored = model.transform(vectors.transform(rows))
-        return scored.agg(F.avg((F.col("prediction") == F.col(label)).cast("double"))).first()[0]
-
-    with kept(base) as rows, kept(mixed) as shuffled:
-        whole = accuracy(rows)
-        drops = [
-            (name, whole - accuracy(rows.drop(name).join(shuffled.select("_at", name), "_at"))) for name in features
-        ]
+    variants = permuted_variants(df, features, label, order, seed)
+    if isinstance(model, Model):
+        vectors = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid=invalid)
+        scored = model.transform(vectors.transform(variants))
+    else:
+        scored = model(variants)
+    right = F.avg(F.coalesce(F.col("prediction") == F.col(label), F.lit(False)).cast("double"))
+    accuracy = {r["variant"]: r["right"] for r in scored.groupBy("variant").agg(right.alias("right")).collect()}  # one row per feature
+    drops = [(name, accuracy[""] - accuracy[name]) for name in features] if accuracy else []
     return df.sparkSession.createDataFrame(drops, "feature string, importance double")

@@ -13,9 +13,8 @@ from pyspark.ml.feature import (
     MinMaxScaler,
     OneHotEncoder,
     RobustScaler,
-    StringIndexer,
-    Tokenizer,
     VectorAssembler,
+    VectorSlicer,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -23,8 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from chronoweave.functions.scalars import key_hash
+from chronoweave.operators import dictionary
 from chronoweave.operators.clean import columns_of_type, fill_median
-from chronoweave.operators.enrich import frequency_join
 from chronoweave.operators.profile import distinct_ratio
 from chronoweave.ordering import exact_quantiles
 from chronoweave.skew import small_side
@@ -62,17 +61,19 @@ def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def impute_mode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Fill nulls with the most frequent value, the smallest one on a tie.
+    """Add ``{column}_imputed`` of the column's own type, nulls filled with the most frequent value, the smallest one on a tie.
 
-    Values are counted with map-side combine, so a column's values never gather in one task.
+    Values are counted with map-side combine, so a column's values never gather in one task.  Columns
+    of one type share an aggregate.
     """
-    long = df.select(*(F.col(c).cast("double").alias(c) for c in columns)).unpivot([], list(columns), "feature", "value")
-    counts = long.filter("value IS NOT NULL").groupBy("feature", "value").agg(F.count("*").alias("n"))
-    top = counts.groupBy("feature").agg(F.min_by("value", F.struct(-F.col("n"), "value")).alias("mode"))
-    modes = {r["feature"]: r["mode"] for r in top.collect()}  # one row per column
-    return df.withColumns(
-        {f"{c}_imputed": F.coalesce(F.col(c).cast("double"), F.lit(modes.get(c)).cast("double")) for c in columns}
-    )
+    kinds = {c: df.schema[c].dataType for c in columns}
+    modes = {}
+    for kind in dict.fromkeys(kinds.values()):
+        entry = [F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("value")) for c in columns if kinds[c] == kind]
+        counts = df.select(F.inline(F.array(*entry))).filter("value IS NOT NULL").groupBy("feature", "value").agg(F.count("*").alias("n"))
+        top = counts.groupBy("feature").agg(F.min_by("value", F.struct(-F.col("n"), "value")).alias("mode"))
+        modes |= {r["feature"]: r["mode"] for r in top.collect()}  # one row per column
+    return df.withColumns({f"{c}_imputed": F.coalesce(F.col(f"`{c}`"), F.lit(modes.get(c)).cast(kinds[c])) for c in columns})
 
 
 def assemble_features(columns: Sequence[str], out: str = "features", invalid: str = "error") -> VectorAssembler:
@@ -144,30 +145,61 @@ def array_features(df: DataFrame, vector: str, out: str = "features_array") -> D
     return df.withColumn(out, vector_to_array(vector))
 
 
-def one_hot_encode(df: DataFrame, column: str) -> DataFrame:
-    """Replace a string column by its one-hot vector; ties in frequency are ordered by value."""
-    index = f"{column}_index"
-    stages = [
-        StringIndexer(inputCol=column, outputCol=index, handleInvalid="keep"),
-        OneHotEncoder(inputCols=[index], outputCols=[f"{column}_ohe"]),
-    ]
-    return Pipeline(stages=stages).fit(df).transform(df).drop(column, index)
-
+def _vectors(df: DataFrame, sizes: dict[str, int]) -> DataFrame:
+    """Turn numbers ``{column}_ohe`` into one-hot vectors of the given widths; null becomes the zero vector."""
+    # The width stands in the column's metadata, so the encoder looks at no row; the last class is left out.
+    named = {c: F.coalesce(F.col(f"`{c}_ohe`"), F.lit(width)).cast("double") for c, width in sizes.items()}
+    numbers = df.withColumns({f"_{n}_slot": value for n, value in enumerate(named.values())}).drop(*(f"{c}_ohe" for c in sizes))
+    for n, width in enumerate(sizes.values()):
+        numbers = numbers.withMetadata(f"_{n}_slot", {"ml_attr": {"type": "nominal", "num_vals": width + 1}})
+    slots = [f"_{n}_slot" for n in range(len(sizes))]
+    return OneHotEncoder(inputCols=slots, outputCols=[f"{c}_ohe" for c in sizes]).fit(numbers).transform(numbers).drop(*slots)
 
-def frequency_encode(df: DataFrame, column: str) -> DataFrame:
-    """Replace a string column by the number of rows sharing its value."""
-    return frequency_join(df, column, f"{column}_freq").drop(column)
 
+def encode_columns(
+    df: DataFrame, one_hot: Sequence[str] = (), frequency: Sequence[str] = (), tfidf: Sequence[str] = (), features: int = 50
+) -> DataFrame:
+    """Replace columns by ``{column}_ohe``, ``{column}_freq`` and ``{column}_tfidf``.
 
-def tfidf_encode(df: DataFrame, column: str, features: int = 50) -> DataFrame:
-    """Replace a text column by hashed TF-IDF weights of its words."""
-    words, counts = f"{column}_words", f"{column}_tf"
-    stages = [
-        Tokenizer(inputCol=column, outputCol=words),
-        HashingTF(inputCol=words, outputCol=counts, numFeatures=features),
-        IDF(inputCol=counts, outputCol=f"{column}_tfidf"),
-    ]
-    return Pipeline(stages=stages).fit(df).transform(df).drop(column, words, counts)
+    All values are counted and numbered in one dictionary, and all texts share one fit of document
+    frequencies, so the jobs do not depend on the number of columns.  Ties in frequency are ordered by value.
+    """
+    out = df
+    if one_hot or frequency:
+        values = dictionary.build(df, [*one_hot, *frequency], numbered=one_hot)
+        for c in one_hot:
+            out = values.attach(out, c, f"{c}_ohe", "number")
+        for c in frequency:
+            out = values.attach(out, c, f"{c}_freq")
+        wide = {c: max(values.distinct.get(c, 0), 1) for c in one_hot}
+        out = _vectors(out, wide) if wide else out
+    if tfidf:
+        for n, c in enumerate(tfidf):
+            spaced = out.withColumn(f"_{n}_terms", F.split(F.lower(f"`{c}`"), r"\s"))
+            out = HashingTF(inputCol=f"_{n}_terms", outputCol=f"_{n}_hits", numFeatures=features).transform(spaced).drop(f"_{n}_terms")
+        hits = [f"_{n}_hits" for n in range(len(tfidf))]
+        joined = VectorAssembler(inputCols=hits, outputCol="_hits").transform(out)
+        out = IDF(inputCol="_hits", outputCol="_weights").fit(joined).transform(joined).drop("_hits", *hits)
+        for n, c in enumerate(tfidf):
+            mine = list(range(n * features, (n + 1) * features))
+            out = VectorSlicer(inputCol="_weights", outputCol=f"{c}_tfidf", indices=mine).transform(out)
+        out = out.drop("_weights")
+    return out.drop(*one_hot, *frequency, *tfidf)
+
+
+def one_hot_encode(df: DataFrame, *columns: str) -> DataFrame:
+    """Replace string columns by their one-hot vectors."""
+    return encode_columns(df, one_hot=columns)
+
+
+def frequency_encode(df: DataFrame, *columns: str) -> DataFrame:
+    """Replace string columns by the number of rows sharing their value."""
+    return encode_columns(df, frequency=columns)
+
+
+def tfidf_encode(df: DataFrame, *columns: str, features: int = 50) -> DataFrame:
+    """Replace text columns by hashed TF-IDF weights of their words."""
+    return encode_columns(df, tfidf=columns, features=features)
 
 
 def encoding_rules(
@@ -195,13 +227,7 @@ def auto_encode_strings(
     """Encode every string column by its distinct count; all columns are counted in one pass."""
     if not columns_of_type(df, StringType):
         return df
-    rules = encoding_rules(df, one_hot_limit, embed, id_share).collect()  # one row per column
-    apply = {
-        "drop": lambda d, c: d.drop(c),
-        "one_hot": one_hot_encode,
-        "tfidf": tfidf_encode,
-        "frequency": frequency_encode,
-    }
-    for row in sorted(rules, key=lambda r: r["feature"]):
-        df = apply[row["rule"]](df, row["feature"])
-    return df
+    rules = {r["feature"]: r["rule"] for r in encoding_rules(df, one_hot_limit, embed, id_share).collect()}  # one row per column
+    by_rule = {rule: sorted(c for c in rules if rules[c] == rule) for rule in ("one_hot", "frequency", "tfidf", "drop")}
+    dropped = by_rule.pop("drop")
+    return encode_columns(df.drop(*dropped), **by_rule)

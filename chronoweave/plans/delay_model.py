@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoweave.operators import clean, enrich, metrics, models, prep
-from chronoweave.sources.stages import ModelStore, StageStore
+from chronoweave.sources.stages import ModelStore, StageStore, input_version
 
 
 @dataclass(frozen=True)
@@ -57,11 +57,13 @@ def balanced_tables(rows: DataFrame, spec: ModelSpec) -> tuple[DataFrame, DataFr
     return tables[0], tables[1]
 
 
-def prepare_tables(stages: StageStore, features: DataFrame, spec: ModelSpec, version: str = "1"):
+def prepare_tables(stages: StageStore, features: DataFrame, spec: ModelSpec, version: str = "1", inputs: Sequence[str] = ()):
     """Store the model rows and the scaled tables, then return (train, test) read from storage.
 
-    Grid searches read these tables many times, so the cleaning before them should run once.
+    Grid searches read these tables many times, so the cleaning before them should run once.  ``inputs``
+    are the paths that ``features`` comes from: tables built before one of their files changed are not picked up.
     """
+    version = input_version(stages.spark, *inputs) if inputs else version
     rows = stages.stage("preprocessed", lambda: model_rows(features, spec), version)
 
     def transformed() -> DataFrame:
@@ -94,13 +96,34 @@ def fit_models(
     return found
 
 
-def ensemble_predictions(fitted: dict, test: DataFrame, spec: ModelSpec, rule: str = "any") -> DataFrame:
-    """Score the held-out rows with every model, join on the row key and vote; a null feature is an error."""
-    assembled = prep.assemble_features(list(spec.features), "_features").transform(test)
-    rows = assembled.select(*spec.keys, F.col(spec.label).cast("double").alias("label"), F.col("_features").alias("features"))
+def _scored(model, table: DataFrame, spec: ModelSpec) -> DataFrame:
+    assembled = prep.assemble_features(list(spec.features), "_features").transform(table)
+    rows = assembled.select(*spec.keys, spec.month, F.col(spec.label).cast("double").alias("label"), F.col("_features").alias("features"))
+    return models.score(model, rows)
+
+
+def choose_thresholds(fitted: dict, train: DataFrame, spec: ModelSpec, steps: int = 100) -> dict[str, float]:
+    """Cut-off with the best F1 of each model on the validation months of the training blocks; the held-out period has no say."""
+    late = train.filter(prep.blocked_time_split(F.col(spec.month)) == "validation")
+    found = {}
+    for name, model in fitted.items():
+        sweep = metrics.threshold_search(_scored(model, late, spec), "p", "label", steps)
+        found[name] = sweep.filter("best").first()["threshold"]  # one row
+    return found
+
+
+def ensemble_predictions(
+    fitted: dict, test: DataFrame, spec: ModelSpec, rule: str = "any", thresholds: dict[str, float] | None = None
+) -> DataFrame:
+    """Score the held-out rows with every model, join on the row key and vote; a null feature is an error.
+
+    With ``thresholds``, as :func:`choose_thresholds` finds them, a model votes by its own cut-off.
+    """
     outputs = []
     for name, model in fitted.items():
-        scored = models.score(model, rows)
+        scored = _scored(model, test, spec)
+        if thresholds:
+            scored = metrics.apply_threshold(scored.drop("prediction"), "p", thresholds[name])
         kept = [*spec.keys, F.col("prediction").alias(f"{name}_prediction"), F.col("p").alias(f"{name}_p")]
         outputs.append(scored.select(*kept, *(["label"] if not outputs else [])))
     joined = enrich.prediction_join(outputs, list(spec.keys))
@@ -108,6 +131,18 @@ def ensemble_predictions(fitted: dict, test: DataFrame, spec: ModelSpec, rule: s
     return joined.withColumn("prediction", metrics.ensemble_vote(votes, rule))
 
 
+def log_runs(spark: SparkSession, path: str, run: str, found: dict[str, models.BlockedSearch], thresholds: dict[str, float] | None = None) -> None:
+    """Append the searches to a metrics table: every grid point, and the winner with its scores on the held-out period."""
+    for name, search in found.items():
+        for at, row in enumerate(search.grid.collect()):  # one row per grid point
+            point = row.asDict()
+            means = {k: point.pop(k) for k in ("mean_recall", "mean_f1")}
+            metrics.log_metrics(spark, path, f"{run}-{name}-{at}", point, means)
+        test = search.test.first().asDict()
+        cut = {"threshold": thresholds[name]} if thresholds else {}
+        metrics.log_metrics(spark, path, f"{run}-{name}-best", search.best, {**test, **cut})
+
+
 def ensemble_report(predictions: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Per-class report and weighted summary of the vote."""
     return (

@@ -8,6 +8,7 @@ performance and hourly weather files.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from chronoweave.functions import scalars as s
 from chronoweave.operators import clean, enrich, temporal
-from chronoweave.sources.stages import StageStore
+from chronoweave.sources.stages import StageStore, input_version
 
 # Source columns, their types and their names in the feature table.
 FLIGHT_COLUMNS = {
@@ -292,12 +293,14 @@ def build_features(
     stations: DataFrame,
     version: str = "1",
     switches: Switches = Switches(),
+    inputs: Sequence[str] = (),
 ) -> DataFrame:
     """Run all steps over a stage store and return the stored feature table, one folder per year.
 
-    ``version`` tells the input apart, such as :func:`chronoweave.sources.stages.input_version` does;
-    other switches give other stages.
+    ``inputs`` are the paths that the three tables come from: stages built before one of their files changed
+    are not picked up.  Without them ``version`` tells the input apart; other switches give other stages.
     """
+    version = input_version(store.spark, *inputs) if inputs else version
     built = version if switches == Switches() else f"{version}-{zlib.crc32(repr(switches).encode()):08x}"
 
     def stage(name, build, **kw):
@@ -313,4 +316,7 @@ def build_features(
     )
     rated = stage("rates", lambda: history_features(crowded, switches.skip_null))
     weathered = stage("weathered", lambda: weather_features(rated, readings, sites), partition_by=["Year"])
-    return stage("features", lambda: final_features(weathered, switches.weekend), partition_by=["Year"])
+    # In order of time inside a year, so that a span of days reads few row groups.
+    return stage(
+        "features", lambda: final_features(weathered, switches.weekend), partition_by=["Year"], cluster_by=["departure_datetime"]
+    )

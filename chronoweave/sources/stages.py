@@ -51,9 +51,11 @@ class StageStore:
         fs, folder = hadoop_path(self.spark, path)
         return fs.exists(folder)
 
-    def save(self, df: DataFrame, name: str, version: str = "1", partition_by: Sequence[str] = ()) -> tuple[int, int]:
+    def save(
+        self, df: DataFrame, name: str, version: str = "1", partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()
+    ) -> tuple[int, int]:
         """Write a stage; rows are counted by the write itself.  Returns (rows, columns)."""
-        return sink_parquet(df, self.path(name, version), partition_by), len(df.columns)
+        return sink_parquet(df, self.path(name, version), partition_by, cluster_by=cluster_by), len(df.columns)
 
     def load(self, name: str, version: str = "1") -> DataFrame:
         return self.spark.read.parquet(self.path(name, version))
@@ -75,11 +77,16 @@ class StageStore:
         return fs.delete(folder, True)
 
     def stage(
-        self, name: str, build: Callable[[], DataFrame], version: str = "1", partition_by: Sequence[str] = ()
+        self,
+        name: str,
+        build: Callable[[], DataFrame],
+        version: str = "1",
+        partition_by: Sequence[str] = (),
+        cluster_by: Sequence[str] = (),
     ) -> DataFrame:
         """Load the stage if it is present in this version, else build and save it."""
         if not self.exists(name, version):
-            self.save(build(), name, version, partition_by)
+            self.save(build(), name, version, partition_by, cluster_by)
         return self.load(name, version)
 
     def merge(self, names: Sequence[str], into: str, version: str = "1") -> DataFrame:

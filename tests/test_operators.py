@@ -2,14 +2,16 @@
 
 import datetime as dt
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 from bindings.tables import LINE_KEYS, NUMERICS, Tables
 from chronoweave.functions import scalars as s
-from chronoweave.operators import clean, enrich, metrics, prep, profile
+from chronoweave.operators import clean, dictionary, enrich, metrics, models, prep, profile
 from chronoweave.skew import small_side
+from chronoweave.sources import scan
 from chronoweave.plans import departures
 from chronoweave.sources.stages import ModelStore, StageStore, input_version
 
@@ -130,8 +132,17 @@ def test_vote_rules(spark):
 
 def test_prediction_join_refuses_repeated_keys(spark):
     once, twice = (spark.createDataFrame([(k,) for k in keys], "k int") for keys in ([1, 2], [1, 1]))
-    with pytest.raises(ValueError):
-        enrich.prediction_join([once, twice.withColumn("p", F.lit(1))], ["k"])
+    with pytest.raises(Exception, match="not unique"):
+        enrich.prediction_join([once, twice.withColumn("p", F.lit(1))], ["k"]).collect()
+
+
+def test_prediction_join_computes_each_output_once(spark, data_dir):
+    rows = spark.read.parquet(f"{data_dir}/orders.parquet")
+    first, second = rows.select("o_orderkey", "o_custkey"), rows.select("o_orderkey", "o_totalprice")
+    joined = enrich.prediction_join([first, second], ["o_orderkey"])
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 2 and plan.count("Exchange hashpartitioning") == 2
+    assert joined.count() == rows.count()
 
 
 def test_bucket_lookup_keeps_every_row(spark, data_dir):
@@ -231,3 +242,76 @@ def test_vehicle_history_keeps_to_its_horizon(spark):
     plain = departures.vehicle_features(flights)
     assert {r["n"]: r["Prev_TaxiIn"] for r in plain.collect()} == {1: None, 2: 1.0, 3: 2.0, 4: 3.0, 5: None}
     assert plain.columns == found.columns
+
+
+def test_dictionary_of_columns(spark, monkeypatch):
+    """Counts and numbers of several columns; broadcast, split by heavy values, and with one colliding hash."""
+    values = ["x"] * 50 + ["y"] * 3 + [None] * 4 + [f"v{i}" for i in range(40)]
+    rows = spark.createDataFrame([(i, v, f"w{i % 3}" if v else None) for i, v in enumerate(values)], "i int, a string, b string")
+    counts = {v: values.count(v) for v in values if v}
+    order = {v: n for n, v in enumerate(sorted(counts, key=lambda v: (-counts[v], v)))}
+    for plan in ("broadcast", "split", "collision"):
+        if plan == "split":
+            monkeypatch.setattr(dictionary, "BROADCAST_ROWS", 0)
+            monkeypatch.setattr(dictionary, "HEAVY", 5)
+        if plan == "collision":
+            monkeypatch.setattr(dictionary, "_first_hash", lambda text: F.when(text.isNotNull(), F.lit(7).cast("long")))
+        found = dictionary.build(rows, ["a", "b"], numbered=["a"])
+        assert found.distinct == {"a": 42, "b": 3} and found.rows == {"a": 93, "b": 93}
+        out = found.attach(found.attach(found.attach(rows, "a", "n"), "a", "at", "number"), "b", "m").collect()
+        assert {(r["i"], r["a"], r["n"], r["at"]) for r in out} == {(i, v, counts.get(v), order.get(v)) for i, v in enumerate(values)}
+        groups = [i % 3 for i, v in enumerate(values) if v]
+        assert all(r["m"] == (groups.count(r["i"] % 3) if r["a"] else None) for r in out) and len(out) == 97
+
+
+def test_encoders_of_many_columns(spark):
+    rows = spark.createDataFrame([("a", "p q", None), ("b", "p", None), ("a", None, None), (None, "q q", None)], "l string, t string, z string")
+    out = prep.encode_columns(rows.fillna("", ["t"]), one_hot=["l", "z"], frequency=["l"], tfidf=["t"], features=8)
+    assert sorted(out.columns) == ["l_freq", "l_ohe", "t_tfidf", "z_ohe"]
+    seen = sorted((r["l_freq"] or 0, tuple(r["l_ohe"].toArray())) for r in out.collect())
+    assert seen == [(0, (0.0, 0.0)), (1, (0.0, 1.0)), (2, (1.0, 0.0)), (2, (1.0, 0.0))]
+
+
+def test_mode_keeps_types(spark):
+    rows = spark.createDataFrame([(2**53 + 1, "b", None), (None, None, None), (2**53 + 1, "a", None), (5, "b", None)], "n long, s string, e string")
+    out = prep.impute_mode(rows, ["n", "s", "e"])
+    assert {r["n_imputed"] for r in out.collect()} == {2**53 + 1, 5} and {r["s_imputed"] for r in out.collect()} == {"a", "b"}
+    assert dict(out.dtypes)["n_imputed"] == "bigint" and {r["e_imputed"] for r in out.collect()} == {None}
+
+
+@pytest.mark.parametrize("rows", [1, 2, 3, 7, 50, 1_000])
+def test_moved_places_are_a_permutation(spark, rows):
+    places = spark.range(rows).select(models.permuted_place(F.col("id"), rows, 42).alias("a"), models.permuted_place(F.col("id"), rows, 43).alias("b")).collect()
+    assert sorted(r["a"] for r in places) == sorted(r["b"] for r in places) == list(range(rows))
+    assert rows < 50 or sum(r["a"] == r["b"] for r in places) < 5
+
+
+def test_permuted_variants_keep_all_rows(spark):
+    rows = spark.createDataFrame([(i, float(i), float(-i) if i % 5 else None, i % 2) for i in range(60)], "i int, u double, v double, y int")
+    out = models.permuted_variants(rows, ["u", "v"], "y", ["i"]).collect()
+    by = {n: [r for r in out if r["variant"] == n] for n in ("", "u", "v")}
+    assert [len(v) for v in by.values()] == [60] * 3
+    assert all(r["v"] is None or r["u"] == -r["v"] for r in by[""]) and sum(r["v"] is None for r in by["v"]) == 12
+    for name in ("u", "v"):
+        assert sorted(repr(r[name]) for r in by[name]) == sorted(repr(r[name]) for r in by[""])
+        assert sum(r["v"] is not None and r["u"] == -r["v"] for r in by[name]) < 15
+
+
+def test_expanded_rows(spark):
+    rows = spark.createDataFrame([("a", 25), ("b", 0), ("c", None), ("d", 10), ("e", -3)], "k string, n long")
+    found = {r["k"]: r["count"] for r in clean.expand_rows(rows, F.col("n"), block=10, spread=3).groupBy("k").count().collect()}
+    assert found == {"a": 25, "d": 10}
+    many = spark.createDataFrame([("a", 10_000_000)], "k string, n long")
+    assert clean.expand_rows(many, F.col("n")).count() == 10_000_000
+    huge = clean.expand_rows(spark.createDataFrame([("a", 3_000_000_000)], "k string, n long"), F.col("n"))
+    assert len(huge.limit(5).collect()) == 5
+
+
+def test_clustered_sink_prunes_row_groups(spark, tmp_path):
+    rows = spark.range(40_000).select((F.col("id") % 2).alias("y"), (F.col("id") * 7919 % 40_000).alias("at"), F.rand(1).alias("v"))
+    path = str(tmp_path / "t")
+    assert scan.sink_parquet(rows, path, ["y"], files=8, cluster_by=["at"]) == 40_000
+    groups = [g for f in (tmp_path / "t").rglob("*.parquet") for g in [pq.ParquetFile(f).metadata.row_group(0)]]
+    spans = [(g.column(0).statistics.min, g.column(0).statistics.max) for g in groups]
+    assert len(spans) >= 8 and sum(low <= 500 and high >= 400 for low, high in spans) <= 2
+    assert spark.read.parquet(path).filter("at BETWEEN 400 AND 500").count() == 101
