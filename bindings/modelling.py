@@ -10,6 +10,7 @@ from bindings.cleaning import SPARSE, sparse
 from bindings.enriching import paired
 from bindings.registry import q6, query, r6
 from bindings.tables import LINE_COLUMNS, LINE_KEYS, NUMERICS, hash_sql, with_views
+from chronoweave.functions.scalars import key_hash
 from chronoweave.operators import metrics as m
 from chronoweave.operators import models as mo
 from chronoweave.operators import prep as pr
@@ -405,3 +406,100 @@ def _(x):
     voted = x.preds.withColumn("vote", m.ensemble_vote([F.col("pred_a"), F.col("pred_b")], "any"))
     found = m.binary_scores(voted, "label", "vote", ["y"])
     return found.select("y", *(r6(c).alias(c) for c in ("recall", "precision", "f1")))
+
+
+#: Majority label of each of four groups of lines, and how many of ten lines of a group have it.
+_GROUPS = "CASE l_linenumber % 4 WHEN 0 THEN 8 WHEN 1 THEN 2 WHEN 2 THEN 9 ELSE 1 END"
+_DRAWN = f"CASE WHEN {hash_sql('l_orderkey', 'l_partkey')} % 10 < {_GROUPS} THEN 1 ELSE 0 END"
+_GROUPED = with_views("li", extra=f"""grouped AS (
+  SELECT y, m, {_DRAWN} AS won, CASE WHEN l_linenumber % 2 = 0 THEN 1 ELSE 0 END AS pred FROM li)""")
+INDICATORS = ["g0", "g1", "g2", "g3"]
+
+
+def grouped(x):
+    """Lines with disjoint indicators of four groups, whose labels have rates far from one half."""
+    number = F.col("l_linenumber") % 4
+    rate = F.when(number == 0, 8).when(number == 1, 2).when(number == 2, 9).otherwise(1)
+    won = (key_hash(F.col("l_orderkey"), F.col("l_partkey")) % 10 < rate).cast("int")
+    return x.li.select("y", "m", won.alias("won"), *(F.when(number == i, 1.0).otherwise(0.0).alias(g) for i, g in enumerate(INDICATORS)))
+
+
+def _scores_sql(where: str, by: str = "") -> str:
+    """Recall, precision and F1 of the groups' majority labels."""
+    tp, actual, predicted = "sum(won * pred)", "sum(won)", "sum(pred)"
+    return f"""SELECT {by}{tp} / CAST({actual} AS DOUBLE) AS recall, {tp} / CAST({predicted} AS DOUBLE) AS "precision",
+  2 * {tp} / CAST({actual} + {predicted} AS DOUBLE) AS f1 FROM grouped WHERE {where}"""
+
+
+@query("logreg_baseline_groups", _GROUPED + f"SELECT {q6('recall')} AS recall, {q6('precision')} AS \"precision\", {q6('f1')} AS f1 FROM ({_scores_sql('m > 9')})")
+def _(x):
+    """Without regularisation a model of disjoint indicators gives each group its own rate, so it predicts the majority."""
+    found = mo.logreg_baseline(grouped(x), INDICATORS, "won", "m")[1]
+    return found.select(*(r6(c).alias(c) for c in ("recall", "precision", "f1")))
+
+
+_CV = _scores_sql(f"m > 9 AND y IN ({', '.join(map(str, YEARS))})", "y, ") + " GROUP BY y"
+
+
+@query("blocked_cv_logreg_groups", _GROUPED + f"SELECT '0.0' AS \"regParam\", {q6('avg(recall)')} AS mean_recall, {q6('avg(f1)')} AS mean_f1 FROM ({_CV})")
+def _(x):
+    found = mo.blocked_cv_logreg(grouped(x), INDICATORS, "won", "y", "m", YEARS, TEST_YEAR, grid=({"regParam": 0.0},)).grid
+    return found.select("regParam", *(r6(c).alias(c) for c in ("mean_recall", "mean_f1")))
+
+
+@query("blocked_cv_mlp_groups", _GROUPED + f"SELECT {q6('avg(recall)')} AS mean_recall, {q6('avg(f1)')} AS mean_f1 FROM ({_CV})")
+def _(x):
+    """A network separates four disjoint indicators as well."""
+    grid = ({"hidden_layers": [6, 2], "maxIter": 100, "stepSize": 0.03},)
+    found = mo.blocked_cv_mlp(grouped(x), INDICATORS, "won", "y", "m", YEARS, TEST_YEAR, grid=grid).grid
+    return found.select(*(r6(c).alias(c) for c in ("mean_recall", "mean_f1")))
+
+
+_TWO = "SELECT 'even' AS feature, CAST(1 AS DOUBLE) AS importance FROM {0} HAVING count(*) > 0 UNION ALL SELECT 'same', CAST(0 AS DOUBLE) FROM {0} HAVING count(*) > 0"
+
+
+def two_features(x):
+    """A label that one feature decides, and a feature that never changes."""
+    even = (F.col("l_linenumber") % 2).cast("double")
+    return x.lineitem.select(even.cast("int").alias("won"), even.alias("even"), F.lit(3.0).alias("same"))
+
+
+@query("gbt_importance_decided", _TWO.format("lineitem"))
+def _(x):
+    return mo.gbt_importance(two_features(x), ["even", "same"], "won").withColumn("importance", r6("importance"))
+
+
+@query("rf_feature_selection_decided", _TWO.format("lineitem"))
+def _(x):
+    return mo.rf_feature_selection(two_features(x), "won")[1].withColumn("importance", r6("importance"))
+
+
+@query(
+    "process_and_select_decided",
+    "SELECT 'kind_freq' AS feature, CAST(1 AS DOUBLE) AS importance FROM events HAVING count(*) > 0 UNION ALL SELECT 'same', CAST(0 AS DOUBLE) FROM events HAVING count(*) > 0",
+)
+def _(x):
+    """The frequency of a text decides the label; the table's other column is constant."""
+    kind = F.when(F.col("event_id") % 3 == 0, "rare").otherwise("usual")
+    rows = x.events.select(kind.alias("kind"), F.lit(1.5).alias("same"), (F.col("event_id") % 3 == 0).cast("int").alias("won"))
+    return mo.process_and_select(rows, "won", one_hot_limit=1)[1].withColumn("importance", r6("importance"))
+
+
+@query("hash_categoricals_total", f"SELECT {KEYS}, CAST(3 AS DOUBLE) AS total FROM lineitem")
+def _(x):
+    """Each of the three texts of a row adds one to some bucket."""
+    texts = x.lineitem.withColumn("supplier", F.col("l_suppkey").cast("string"))
+    hashed = pr.hash_categoricals(["l_returnflag", "l_linestatus", "supplier"], buckets=1_000).transform(texts)
+    return hashed.select(*LINE_KEYS, F.aggregate(vector_to_array("categorical_features"), F.lit(0.0), lambda a, b: a + b).alias("total"))
+
+
+@query(
+    "tfidf_encode_words",
+    f"""WITH n AS (SELECT count(*) AS rows FROM documents), c AS (SELECT lang, count(*) AS held FROM documents GROUP BY lang)
+SELECT doc_id, {q6("ln((rows + 1) / CAST(held + 1 AS DOUBLE))")} AS weight FROM documents JOIN c USING (lang), n""",
+)
+def _(x):
+    """Texts of one word: the only weight is the inverse document frequency of that word."""
+    encoded = pr.tfidf_encode(x.documents.select("doc_id", "lang"), "lang", features=1 << 12)
+    total = F.aggregate(vector_to_array("lang_tfidf"), F.lit(0.0), lambda a, b: a + b)
+    return encoded.select("doc_id", r6(total).alias("weight"))
