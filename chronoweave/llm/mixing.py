@@ -2,10 +2,14 @@
 
 A native job.  Each source's documents stand in a shuffled order and form one stream of words, which
 is read in blocks of equal size, from the start again at its end.  Slot ``i`` of the mix lies at the
-point ``frac(i * golden ratio)``; the source whose share of the cumulative targets covers the point
-owns the slot, and the slot's rank among the source's slots is the block it takes.  Running numbers
-are taken inside small cells and carried over by a table of cell sizes, so neither a source with a
-third of all rows nor its slots ever meet in one task.
+point ``i * golden ratio`` modulo one; the source whose share of the cumulative targets covers the point
+owns the slot, and the slot's rank among the source's slots is the block it takes.  The slots so decide
+what is taken: a source gives the words of the slots it owns, which is its target to within a few blocks, as the
+points of this sequence fall into every interval almost in proportion.
+
+Points are integers modulo 2^31, so every engine finds the same ones.  Running numbers are taken inside small
+cells and carried over by a table of cell sizes, so neither a source with a third of all rows nor its slots
+ever meet in one task.
 """
 
 from __future__ import annotations
@@ -27,12 +31,16 @@ WEIGHTS = (3, 1, 2)
 BUDGET = (3, 2)
 REPEATS = 2
 BLOCK_WORDS = 2_048
-#: Hash cells of a source's shuffled order, and slots of a cell of the schedule.
-ORDER_CELLS = 1_024
+#: Fewest slots of a mix, for which blocks of a small corpus are shorter.
+LEAST_SLOTS = 1 << 16
+#: Documents of a hash cell of a source's shuffled order, and slots of a cell of the schedule.
+ORDER_CELL = 1_000
 SLOT_CELL = 4_096
-#: Cells of the unit interval for the lookup of a point's source.
+#: Points are numbers below GRID; the golden ratio's fraction of it is the step from slot to slot.
+GRID = 1 << 31
+GOLDEN = round((math.sqrt(5) - 1) / 2 * GRID) | 1
+#: Cells of the grid for the lookup of a point's source.
 POINT_CELLS = 4_096
-GOLDEN = (math.sqrt(5) - 1) / 2
 
 
 def word_count(text: Column) -> Column:
@@ -71,36 +79,26 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     return table.withColumn("target", target).withColumn("take", take)
 
 
-def schedule(table: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Slots of the mix: (sid, rank, slot); every source gets slots for all the words it owes.
+def schedule(table: DataFrame, block_words: int, step: int = GOLDEN) -> DataFrame:
+    """Slots of the mix: (sid, rank, slot), as many as the words owed fill.
 
-    ``table`` has sid, take (words owed).  Points past the last owed block of a source are passed over.
+    ``table`` has sid and take (words owed).  A slot's point is ``slot * step`` modulo ``GRID``.
     """
-    need = F.ceil(F.col("take") / F.lit(block_words)).cast("long")
-    owed = table.filter("take > 0").withColumn("need", need)
-    total = owed.agg(F.sum("need").alias("n"), F.min("need").alias("least"), F.count("*").alias("sources")).first()
-    slots, least = total["n"] or 0, total["least"] or 1
-    # A source's slots fall short of its share by a few at most; so much longer a schedule makes up for it.
-    longer = math.ceil(slots * (1 + 4 * math.log2(slots + 2) / least)) if slots else 0
-    # The search for a source ends at its need; slots beyond twice the mix are placed at its end instead.
-    longer = min(longer, 2 * slots)
-    shares = running_before(
-        owed.withColumn("one", F.floor(F.col("sid") / 1_000)), [], "one", ["sid"], F.col("need"), "low"
-    ).select("sid", "need", "low", (F.col("low") + F.col("need")).alias("high"))
-    cell = lambda c: F.floor(c * POINT_CELLS / F.lit(max(slots, 1)))
-    lookup = shares.withColumn("cell", F.explode(F.sequence(cell(F.col("low")), cell(F.col("high") - 1) + 1)))
+    owed = table.filter("take > 0")
+    total = owed.agg(F.sum("take").alias("words"), F.count("*").alias("sources")).first()
+    words, slots = total["words"] or 1, -(-(total["words"] or 0) // block_words)
+    shares = running_before(owed.withColumn("group", F.floor(F.col("sid") / 1_000)), [], "group", ["sid"], F.col("take"), "before")
+    bound = lambda c: F.floor(c / F.lit(words) * GRID).cast("long")
+    shares = shares.select("sid", bound(F.col("before")).alias("low"), bound(F.col("before") + F.col("take")).alias("high")).filter("low < high")
+    width = GRID // POINT_CELLS
+    cell = lambda c: F.floor(c / width)
+    lookup = shares.withColumn("cell", F.explode(F.sequence(cell(F.col("low")), cell(F.col("high") - 1))))
     lookup = F.broadcast(lookup) if total["sources"] <= BROADCAST_ROWS else lookup
-    spark = table.sparkSession
-    point = F.col("slot") * F.lit(GOLDEN)
-    at = (point - F.floor(point)) * F.lit(slots)
-    points = spark.range(longer).withColumnRenamed("id", "slot").withColumn("at", at).withColumn("cell", cell(F.col("at")))
-    owned = points.join(lookup, "cell").filter("at >= low AND at < high").select("sid", "need", "slot")
+    point = (F.col("slot") % GRID) * F.lit(step) % GRID
+    points = table.sparkSession.range(slots).withColumnRenamed("id", "slot").withColumn("point", point).withColumn("cell", cell(F.col("point")))
+    owned = points.join(lookup, "cell").filter("point >= low AND point < high").select("sid", "slot")
     owned = owned.withColumn("slots", F.floor(F.col("slot") / SLOT_CELL))
-    ranked = running_before(owned, ["sid"], "slots", ["slot"], F.lit(1), "rank").filter("rank < need")
-    ranked = ranked.select("sid", "rank", "slot")
-    every = shares.select("sid", F.explode(F.sequence(F.lit(0), F.col("need") - 1)).alias("rank"))
-    late = F.lit(longer) + F.col("rank")
-    return every.join(ranked, ["sid", "rank"], "left").withColumn("slot", F.coalesce("slot", late))
+    return running_before(owned, ["sid"], "slots", ["slot"], F.lit(1), "rank").select("sid", "rank", "slot")
 
 
 def mix(
@@ -109,14 +107,17 @@ def mix(
     text: str = "text",
     source: str = "source",
     weights: tuple[int, ...] = WEIGHTS,
-    block_words: int = BLOCK_WORDS,
+    block_words: int | None = None,
     keep: tuple[str, ...] = (),
+    step: int = GOLDEN,
 ) -> tuple[DataFrame, DataFrame]:
     """Place every document's words in the mix; returns (documents, pieces).
 
-    Documents: doc_id, ``keep``, size, source_size, target, taken.  Pieces: did (the document's place
-    in its source), sid, rank and slot (the block), words.  Documents without words take part with
-    nothing taken; repeated rows are documents of their own; an empty table gives two empty tables.
+    Documents: doc_id, ``keep``, size, source_size, target, taken, first_slot (null where nothing is taken).
+    Pieces: sid and at (the document's place in its source), rank and slot (the block), words.  A block
+    has ``BLOCK_WORDS`` words, fewer if the mix would have less than ``LEAST_SLOTS`` slots.  Documents
+    without words take part with nothing taken; repeated rows are documents of their own; a null source is
+    a source, the last one; an empty table gives two empty tables.
     """
     rows = docs.select(
         F.struct(F.col(doc_id).alias("doc_id"), *keep).alias("row"),
@@ -125,18 +126,27 @@ def mix(
         F.md5(F.concat_ws("|", F.col(doc_id).cast("string"))).alias("draw"),
     )
     rows = write_scratch(rows, "mix-sizes").df
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("docs"))
+    sizes = write_scratch(rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("docs")), "mix-sources").df
     table = positions(targets(sizes.select("source", "size"), weights), [F.col("source").isNull(), "source"], "sid")
+    counted = sizes.select(F.col("source").alias("_source"), "docs")
+    table = table.join(counted, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     table = write_scratch(table, "mix-targets").df
-    sources = table.count()
-    side = table.select(F.col("source").alias("_source"), "sid", F.col("size").alias("source_size"), "target", "take")
-    side = F.broadcast(side) if sources <= BROADCAST_ROWS else side
+    total = table.agg(F.sum("take").alias("words"), F.count("*").alias("sources")).first()
+    block_words = block_words or max(1, min(BLOCK_WORDS, (total["words"] or 0) // LEAST_SLOTS))
+    slots = write_scratch(schedule(table, block_words, step), "mix-slots").df
+    owned = slots.groupBy("sid").agg(F.count(F.lit(1)).alias("slots"))
+    take = F.least(F.coalesce("slots", F.lit(0)) * block_words, REPEATS * F.col("size"))
+    side = table.join(owned, "sid", "left").select(
+        F.col("source").alias("_source"), "sid", F.col("size").alias("source_size"), "target", take.alias("take"), "docs"
+    )
+    side = F.broadcast(side) if total["sources"] <= BROADCAST_ROWS else side
     placed = rows.join(side, rows["source"].eqNullSafe(side["_source"])).drop("_source", "source")
-    placed = placed.withColumn("cell", (F.conv(F.substring("draw", 1, 8), 16, 10).cast("long") % ORDER_CELLS).cast("int"))
+    cells = F.ceil(F.col("docs") / ORDER_CELL)
+    placed = placed.withColumn("cell", F.conv(F.substring("draw", 1, 8), 16, 10).cast("long") % cells).drop("docs")
     placed = running_before(placed, ["sid"], "cell", ["draw", "size"], F.col("size"), "at")
     # Rows that tie in this order have the same id and size, so a second evaluation gives the same places.
     placed = placed.drop("cell") if keep else write_scratch(placed.drop("cell"), "mix-order").df
-    # Each pass over the stream covers the document once; only what lies below the words owed counts.
+    # Each pass over the stream covers the document once; only what the source's slots reach counts.
     passes = F.explode(F.sequence(F.lit(0), F.lit(REPEATS - 1))).alias("epoch")
     low = F.col("at") + F.col("epoch") * F.col("source_size")
     high = F.least(low + F.col("size"), F.col("take"))
@@ -151,13 +161,13 @@ def mix(
     pieces = spans.withColumn("rank", F.explode(ranks)).withColumn(
         "words", F.least("high", (F.col("rank") + 1) * block) - F.greatest("low", F.col("rank") * block)
     )
-    pieces = pieces.join(schedule(table, block_words), ["sid", "rank"]).select("sid", "at", "rank", "slot", "words")
-    taken = pieces.groupBy("sid", "at").agg(F.sum("words").alias("taken"))
+    pieces = pieces.join(slots, ["sid", "rank"]).select("sid", "at", "rank", "slot", "words")
+    taken = pieces.groupBy("sid", "at").agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"))
     # A document with words is the only one of its source at its place.
     full = placed.filter("size > 0").join(taken, ["sid", "at"], "left")
-    none = placed.filter("size = 0").withColumn("taken", F.lit(None).cast("long"))
+    none = placed.filter("size = 0").withColumns({c: F.lit(None).cast("long") for c in ("taken", "first_slot")})
     out = full.unionByName(none).select(
-        "row.*", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
+        "row.*", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_slot"
     )
     return out, pieces
 

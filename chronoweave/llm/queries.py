@@ -115,17 +115,44 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
           ELSE (weight * (SELECT share FROM l)) / (2 * (SELECT rest FROM l)) END AS target
       FROM o
     ),
+    -- Cumulative words owed, the slots they fill, and the point of each slot.
+    w AS MATERIALIZED (
+      SELECT source, source_size, target, least(CAST(round(target) AS BIGINT), 2 * source_size) AS owed,
+        row_number() OVER (ORDER BY source NULLS LAST) AS sid
+      FROM t
+    ),
+    b AS MATERIALIZED (
+      SELECT CAST(sum(owed) AS BIGINT) AS words, greatest(1, least(2048, CAST(sum(owed) AS BIGINT) // 65536)) AS block FROM w
+    ),
+    g AS MATERIALIZED (
+      SELECT sid, CAST(floor((up - owed) / CAST(words AS DOUBLE) * 2147483648) AS BIGINT) AS low,
+        CAST(floor(up / CAST(words AS DOUBLE) * 2147483648) AS BIGINT) AS high
+      FROM (SELECT sid, owed, CAST(sum(owed) OVER (ORDER BY sid) AS BIGINT) AS up FROM w), b
+    ),
+    k AS MATERIALIZED (
+      SELECT sid, slot, row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS rank
+      FROM (SELECT slot, slot * {golden} % 2147483648 AS point FROM (SELECT unnest(range((words + block - 1) // block)) AS slot FROM b))
+      JOIN g ON point >= low AND point < high
+    ),
+    a AS MATERIALIZED (
+      SELECT w.sid AS sid, source, source_size, target, block, least(coalesce(n, 0) * block, 2 * source_size) AS take
+      FROM w LEFT JOIN (SELECT sid, count(*) AS n FROM k GROUP BY sid) AS o ON w.sid = o.sid CROSS JOIN b
+    ),
     c AS (
-      SELECT d.doc_id AS doc_id, size, source_size, target, least(CAST(round(target) AS BIGINT), 2 * source_size) AS take,
-        CAST(sum(size) OVER (PARTITION BY d.source ORDER BY CAST('0x' || substr(draw, 1, 8) AS BIGINT) % 1024, draw, size
+      SELECT doc_id, a.sid AS sid, size, source_size, target, take, block,
+        CAST(sum(size) OVER (PARTITION BY a.sid ORDER BY CAST('0x' || substr(draw, 1, 8) AS BIGINT) % cells, draw, size
           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) - size AS pos
-      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
-    )
-    SELECT doc_id, size, source_size, target,
-      CASE WHEN size = 0 THEN CAST(0 AS BIGINT)
+      FROM (SELECT *, CAST(ceil(count(*) OVER (PARTITION BY source) / CAST(1000 AS DOUBLE)) AS BIGINT) AS cells FROM d) AS d
+      JOIN a ON d.source IS NOT DISTINCT FROM a.source
+    ),
+    z AS (
+      SELECT *, CASE WHEN size = 0 THEN CAST(0 AS BIGINT)
         ELSE size * (take // source_size) + greatest(0, least(pos + size, take % source_size) - pos) END AS taken
-    FROM c
-    """,
+      FROM c
+    )
+    SELECT doc_id, size, source_size, target, taken, CASE WHEN taken > 0 THEN slot END AS first_slot
+    FROM z LEFT JOIN k ON z.sid = k.sid AND pos // block = rank
+    """.format(golden=mixing.GOLDEN),
 )
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that the mix takes."""

@@ -100,21 +100,39 @@ def test_decontamination(spark, texts, set_rows):
 
 def test_mixing(spark, texts):
     docs = frame(spark, texts, ["s1", "s2", None, "s0"])
-    found, pieces = mixing.mix(docs, block_words=64)
+    found, pieces = mixing.mix(docs, block_words=8)
     rows = found.collect()
     assert len(rows) == len(texts)
-    taken, target, size = Counter(), {}, Counter()
+    taken, size = Counter(), Counter()
     for r in rows:
-        assert 0 <= r["taken"] <= 2 * r["size"]
+        assert 0 <= r["taken"] <= 2 * r["size"] and (r["first_slot"] is None) == (r["taken"] == 0)
         key = (r["source_size"], r["target"])
         taken[key] += r["taken"]
         size[key] += r["size"]
     for (source_size, goal), words in taken.items():
-        assert size[source_size, goal] == source_size and abs(words - goal) <= 1
+        assert size[source_size, goal] == source_size and abs(words - goal) <= 4 * 8
     assert abs(sum(g for _, g in taken) - 1.5 * sum(size.values())) < 1
-    assert sorted(map(tuple, rows), key=repr) == sorted(map(tuple, mixing.mix(docs, block_words=64)[0].collect()), key=repr)
+    assert sorted(map(tuple, rows), key=repr) == sorted(map(tuple, mixing.mix(docs, block_words=8)[0].collect()), key=repr)
     assert pieces.groupBy("sid", "rank").agg({"slot": "max"}).count() == pieces.select("slot", "sid").distinct().count()
     assert mixing.mix(docs.limit(0))[0].count() == 0
+    # The points decide: with another step the slots and what is taken are others.
+    other = mixing.mix(docs, block_words=8, step=12_345_677)[0].collect()
+    assert sorted(map(tuple, rows), key=repr) != sorted(map(tuple, other), key=repr)
+
+
+def test_slots_of_the_mix(spark):
+    """Slots against the points one by one."""
+    owed = [3_000, 0, 1_000, 2_500, 17]
+    table = spark.createDataFrame([(i + 1, w) for i, w in enumerate(owed)], "sid long, take long")
+    found = sorted(map(tuple, mixing.schedule(table, 4).select("slot", "sid", "rank").collect()))
+    total, bounds, ranks, wanted = sum(owed), np.cumsum([0, *owed]), Counter(), []
+    for slot in range(-(-total // 4)):
+        point = slot * mixing.GOLDEN % mixing.GRID
+        sid = next(i for i in range(5) if int(bounds[i] / total * mixing.GRID) <= point < int(bounds[i + 1] / total * mixing.GRID)) + 1
+        wanted.append((slot, sid, ranks[sid]))
+        ranks[sid] += 1
+    assert found == wanted
+    assert all(abs(4 * ranks[i + 1] - w) <= 16 for i, w in enumerate(owed))
 
 
 @pytest.mark.parametrize("shard_keys", [1_000_000, 3])
