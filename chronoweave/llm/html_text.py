@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import numpy as np
@@ -29,7 +30,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 SILENT = frozenset(
     "script style noscript template head title iframe object svg canvas select option textarea button datalist".split()
 )
-FURNITURE = frozenset("nav footer aside form menu dialog search".split())
+FURNITURE = frozenset("nav footer menu dialog search".split())
+#: Tags that are furniture only where they hold little of the page's text, as names and hidden elements are.
+MINOR = frozenset("aside form".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Tags whose end is implied by the next tag of the same kind, and what bounds the search for them.
 IMPLIED = {
@@ -70,18 +73,34 @@ def _named(attributes: list[tuple[str, str | None]]) -> bool:
     return False
 
 
+@dataclass(frozen=True)
+class Open:
+    """An open element and what holds for the text directly in it."""
+
+    tag: str
+    container: int = 0
+    furniture: bool = False
+    minor: int = -1  # innermost element that is furniture only if it is small
+    in_article: bool = False
+    in_main: bool = False  # in an article or main
+    header: int = -1  # container around a header that stands in no article or main
+
+
 class Blocks(HTMLParser):
-    """Folds parser events into blocks: [text, tags, container, furniture, innermost element with a furniture name]."""
+    """Folds parser events into blocks; every event takes constant time, whatever the depth."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, int, bool, int]] = [("", 0, False, -1)]  # tag, container, furniture, named element
+        self.stack = [Open("")]
+        # Places in the stack of each open tag, and of the elements that bound the search for an implied end.
+        self.places: dict[str, list[int]] = {}
+        self.bounds: list[int] = []
         self.silent = 0
         self.containers: list[tuple[int, str]] = [(-1, "")]
-        # Elements with a furniture name: the one around each, and whether it stands in an article.
-        self.named: list[tuple[int, bool]] = []
+        # Elements that may be furniture: the one around each, and whether it stands in an article.
+        self.minor: list[tuple[int, bool]] = []
         self.holders: set[int] = set()  # those that are or hold article or main
-        self.blocks: list[tuple[str, int, int, bool, int]] = []
+        self.blocks: list[tuple[str, int, Open]] = []
         self.text: list[str] = []
         self.tags = 0
 
@@ -89,8 +108,7 @@ class Blocks(HTMLParser):
         text = _SPACE.sub(" ", "".join(self.text)).strip()
         self.text.clear()
         if text:
-            _, container, furniture, named = self.stack[-1]
-            self.blocks.append((text, self.tags, container, furniture, named))
+            self.blocks.append((text, self.tags, self.stack[-1]))
             self.tags = 0
 
     def handle_starttag(self, tag: str, attributes: list[tuple[str, str | None]]) -> None:
@@ -98,62 +116,59 @@ class Blocks(HTMLParser):
         if tag in BLOCKS:
             self._flush()
             if tag in IMPLIED:
-                self._imply(tag)
+                self._close(max((self._last(t) for t in IMPLIED[tag]), default=0), self._bound())
         if tag == "br":
             self.text.append(" ")
         if tag in VOID:
             return
-        _, container, furniture, named = self.stack[-1]
-        inside = any(self.containers[c][1] in ("article", "main") for c in self._above(container))
-        own = tag in FURNITURE or tag in SILENT or (tag not in ("html", "body") and _hidden(attributes))
-        if tag not in ("html", "body") and _named(attributes):
-            self.named.append((named, any(self.containers[c][1] == "article" for c in self._above(container))))
-            named = len(self.named) - 1
-        if tag in ("article", "main"):
-            self.holders.update(self._names(named))
-        # A header inside the article holds its title; its other lines are no text of the article.
-        if tag == "header" and not inside:
-            own = True
+        above = self.stack[-1]
+        container, minor, page = above.container, above.minor, tag in ("html", "body")
+        if not page and (tag in MINOR or _hidden(attributes) or _named(attributes)):
+            self.minor.append((minor, above.in_article))
+            minor = len(self.minor) - 1
+        marked = tag in ("article", "main")
+        around = minor
+        while marked and around >= 0 and around not in self.holders:
+            self.holders.add(around)
+            around = self.minor[around][0]
+        # A header inside the article holds its title; whether another one does depends on the region found.
+        header = above.header
+        if tag == "header" and not above.in_main and header < 0:
+            header = container
         if tag in BLOCKS and tag not in IMPLIED and tag not in HEADINGS:
             self.containers.append((container, tag))
             container = len(self.containers) - 1
         self.silent += tag in SILENT
-        self.stack.append((tag, container, furniture or own, named))
-
-    def _above(self, container: int) -> Iterator[int]:
-        while container >= 0:
-            yield container
-            container = self.containers[container][0]
-
-    def _names(self, named: int) -> Iterator[int]:
-        while named >= 0:
-            yield named
-            named = self.named[named][0]
-
-    def _imply(self, tag: str) -> None:
-        for at in range(len(self.stack) - 1, 0, -1):
-            open_tag = self.stack[at][0]
-            if open_tag in IMPLIED[tag]:
-                self._close(at)
-                return
-            if open_tag in BOUNDS:
-                return
-
-    def _close(self, at: int) -> None:
-        self.silent -= sum(t in SILENT for t, _, _, _ in self.stack[at:])
-        del self.stack[at:]
+        own = above.furniture or tag in FURNITURE or tag in SILENT
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag in BOUNDS:
+            self.bounds.append(len(self.stack))
+        self.stack.append(Open(tag, container, own, minor, above.in_article or tag == "article", above.in_main or marked, header))
+
+    def _last(self, tag: str) -> int:
+        """Place of the innermost open element of a tag; zero if there is none."""
+        places = self.places.get(tag)
+        return places[-1] if places else 0
+
+    def _bound(self) -> int:
+        return self.bounds[-1] if self.bounds else 0
+
+    def _close(self, at: int, bound: int = 0) -> None:
+        """Close the element at a place and all inside it, unless it lies outside of ``bound``."""
+        if at and at >= bound:
+            for element in self.stack[at:]:
+                self.places[element.tag].pop()
+                self.silent -= element.tag in SILENT
+            del self.stack[at:]
+            while self.bounds and self.bounds[-1] >= at:
+                self.bounds.pop()
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
         if tag in BLOCKS:
             self._flush()
-        for at in range(len(self.stack) - 1, 0, -1):
-            if self.stack[at][0] == tag:
-                self._close(at)
-                return
-            # An end tag without a start closes no container around it.
-            if tag not in BLOCKS and self.stack[at][0] in BOUNDS:
-                return
+        # An end tag of an inline element closes no container around it.
+        self._close(self._last(tag), 0 if tag in BLOCKS else self._bound())
 
     def handle_startendtag(self, tag: str, attributes: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attributes)
@@ -186,20 +201,43 @@ def _clusters(ratios: np.ndarray, furniture: np.ndarray) -> np.ndarray:
     return (smooth >= min(THRESHOLD * ratios.std(), smooth[~furniture].max())) & ~furniture
 
 
+def _held(parents: list[int], own: dict[int, float]) -> list[float]:
+    """Sum of each node's own value and those of all nodes inside it; parents come before their children."""
+    sums = [own.get(n, 0.0) for n in range(len(parents))]
+    for n in range(len(parents) - 1, 0, -1):
+        if parents[n] >= 0:
+            sums[parents[n]] += sums[n]
+    return sums
+
+
+def _below(parents: list[int], chosen: set[int]) -> list[bool]:
+    """Whether each node is chosen or inside a chosen one."""
+    inside: list[bool] = []
+    for n, parent in enumerate(parents):
+        inside.append(n in chosen or (parent >= 0 and inside[parent]))
+    return inside
+
+
+def _text_by(places: list[int], sizes: np.ndarray, content: np.ndarray) -> dict[int, float]:
+    found: dict[int, float] = {}
+    for at in np.flatnonzero(content).tolist():
+        found[places[at]] = found.get(places[at], 0.0) + sizes[at]
+    return found
+
+
 def _ruled_out(parser: Blocks, sizes: np.ndarray, content: np.ndarray) -> np.ndarray:
-    """Blocks inside an element whose name rules it out.
+    """Blocks inside an element that a name, a tag such as form or a hidden state rules out.
 
-    A name decides small blocks only: it does not count on an element that is or holds article or main,
+    These decide small blocks only: they do not count on an element that is or holds article or main,
     unless that stands in an article itself, nor on one with most of the text of the clusters, which are
-    those of the page without regard to names.
+    those of the page without regard to them.
     """
-    held = [0.0] * len(parser.named)
-    for at in np.flatnonzero(content):
-        for n in parser._names(parser.blocks[at][4]):
-            held[n] += sizes[at]
+    places = [b[2].minor for b in parser.blocks]
+    held = _held([around for around, _ in parser.minor], _text_by(places, sizes, content))
     half = sizes[content].sum() / 2
-    out = [held[n] <= half and (n not in parser.holders or nested) for n, (_, nested) in enumerate(parser.named)]
-    return np.array([any(out[n] for n in parser._names(b[4])) for b in parser.blocks])
+    out = {n for n, (_, nested) in enumerate(parser.minor) if held[n] <= half and (n not in parser.holders or nested)}
+    inside = _below([around for around, _ in parser.minor], out)
+    return np.array([n >= 0 and inside[n] for n in places])
 
 
 def main_text(html: str | None) -> str:
@@ -215,32 +253,36 @@ def main_text(html: str | None) -> str:
     blocks = parser.blocks
     if not blocks:
         return ""
-    furniture = np.array([b[3] for b in blocks])
+    in_header = np.array([b[2].header >= 0 for b in blocks])
+    furniture = np.array([b[2].furniture for b in blocks])
     sizes = np.array([len(b[0]) for b in blocks], dtype=np.float64)
-    tags = np.maximum(1, [b[1] for b in blocks])
-    if parser.named:
-        furniture |= _ruled_out(parser, sizes, _clusters(sizes / tags, furniture))
-    content = _clusters(sizes / tags, furniture)
+    ratios = sizes / np.maximum(1, [b[1] for b in blocks])
+    if parser.minor:
+        furniture |= _ruled_out(parser, sizes, _clusters(ratios, furniture | in_header))
+    content = _clusters(ratios, furniture | in_header)
     if not content.any():
         return ""
     # Text of the clusters by container, each container holding that of the containers inside it.
-    held: dict[int, float] = {}
-    for at in np.flatnonzero(content):
-        for c in parser._above(blocks[at][2]):
-            held[c] = held.get(c, 0.0) + sizes[at]
-    total = sizes[content].sum()
-    named = [c for c in held if parser.containers[c][1] in ("article", "main")]
-    outer = [c for c in named if not any(parser.containers[a][1] in ("article", "main") for a in list(parser._above(c))[1:])]
-    if outer and sum(held[c] for c in outer) > 0:
+    parents = [around for around, _ in parser.containers]
+    held = _held(parents, _text_by([b[2].container for b in blocks], sizes, content))
+    marked = {c for c, (_, tag) in enumerate(parser.containers) if tag in ("article", "main")}
+    nested = _below(parents, marked)
+    outer = {c for c in marked if held[c] > 0 and not (parents[c] >= 0 and nested[parents[c]])}
+    if outer:
         # Marked articles that hold clusters; a feed of several articles is read in page order.
-        regions = set(outer)
+        regions = outer
     else:
-        # The innermost container that holds all clusters.
-        regions = {max((c for c in held if held[c] >= total), key=lambda c: (len(list(parser._above(c))), -c))}
+        # The innermost container that holds all clusters: of those, which lie in each other, the last one opened.
+        whole = sizes[content].sum()
+        regions = {max(c for c, text in enumerate(held) if text >= whole)}
+    inside = _below(parents, regions)
+    # A header belongs to the page, unless it stands in a content region that is not the page itself.
+    own = {c for c in regions if parser.containers[c][1] not in ("", "html", "body")}
+    titled = _below(parents, own)
     lines = [
-        blocks[at][0]
-        for at in range(len(blocks))
-        if not furniture[at] and any(c in regions for c in parser._above(blocks[at][2]))
+        text
+        for at, (text, _, element) in enumerate(blocks)
+        if not furniture[at] and inside[element.container] and (element.header < 0 or titled[element.header])
     ]
     return "\n".join(lines)
 

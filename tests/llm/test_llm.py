@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -389,6 +390,68 @@ def test_html_region_holds_all_clusters():
     assert html_text.main_text(page) == "\n".join(x.strip() for x in (long, long, short))
 
 
+@pytest.mark.parametrize(
+    ("before", "after"),
+    [("<form action='/'>", "</form>"), ("<div aria-hidden='true'>", "</div>"), ("<form><div hidden>", "</div></form>"), ("<aside>", "</aside>")],
+)
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_html_wrappers_with_the_whole_text(before, after, tag):
+    lines = [f"line {n} " + "some words of the article " * 12 for n in range(6)]
+    inner = "".join(f"<p>{line}</p>" for line in lines)
+    page = f"<body>{before}<{tag}>{inner}</{tag}><form><label>Search this site</label></form>{after}</body>"
+    assert html_text.main_text(page) == "\n".join(line.strip() for line in lines)
+
+
+def test_html_title_in_a_header():
+    text = "some words of the article " * 12
+    page = f"<body><header><h1>The site</h1></header><div id=c><header><h1>Title</h1></header><p>{text}<p>{text}</div></body>"
+    assert html_text.main_text(page) == "\n".join(["Title", text.strip(), text.strip()])
+    plain = f"<body><header><h1>The site</h1></header><p>{text}<p>{text}</body>"
+    assert html_text.main_text(plain) == "\n".join([text.strip(), text.strip()])
+
+
+@pytest.mark.parametrize("unit", ["<div>", "<article>", "<div class='sidebar'>", "<i>", "<b><div><i></b>", "<li><ul>", "<td></section>", "<form>"])
+def test_html_time_is_linear_in_depth(unit):
+    def seconds(n):
+        began = time.perf_counter()
+        html_text.main_text(unit * n + "some text of the page " * 20)
+        return time.perf_counter() - began
+
+    seconds(1_000)
+    assert seconds(60_000) < 40 * max(seconds(6_000), 0.02)
+
+
+def test_html_pages_of_known_parts():
+    """Pages put together at random: the text must be the article's parts and nothing else."""
+    rng = np.random.default_rng(11)
+    words = lambda low, high: " ".join(f"w{n}" for n in rng.integers(0, 999, rng.integers(low, high)))
+    furniture = [
+        lambda: f"<nav><ul><li><a href='/'>{words(1, 3)}</a><li>{words(1, 3)}</ul></nav>",
+        lambda: f"<aside><h3>{words(1, 3)}</h3><p>{words(3, 12)}</p></aside>",
+        lambda: f"<div class='cookie-notice'>{words(5, 20)}</div>",
+        lambda: f"<form><label>{words(2, 5)}</label><input><button>{words(1, 2)}</button></form>",
+        lambda: f"<script>var x = '{words(5, 50)}';</script><style>p {{}}</style>",
+        lambda: f"<div id='ad-{rng.integers(9)}'><p>{words(4, 12)}</p></div>",
+        lambda: f"<section class='comments'><p>{words(5, 25)}</p></section>",
+        lambda: f"<footer>&copy; {words(3, 9)}</footer>",
+    ]
+    for _ in range(300):
+        blocks, html = [], ""
+        for _ in range(rng.integers(3, 9)):
+            text = words(20, 90)
+            kind = rng.integers(3)
+            if kind == 0:
+                title = words(2, 6)
+                blocks.append(title)
+                html += f"<h2>{title}</h2>"
+            blocks.append(text + " & more")
+            html += f"<p>{text.replace(' ', '  ', 1)} &amp; <b>more</b>" + ("</p>" if kind else "")
+        tag = ["article", "main", "div"][rng.integers(3)]
+        page = "".join(f() for f in rng.choice(furniture, 3)) + f"<{tag}>{html}</{tag}>" + "".join(f() for f in rng.choice(furniture, 3))
+        page = f"<html><head><title>{words(1, 4)}</title></head><body><header><h2>{words(1, 4)}</h2></header>{page}</body></html>"
+        assert html_text.main_text(page) == "\n".join(blocks)
+
+
 def test_html_rows(spark):
     html = [None, "", "plain words only", "<nav>menu</nav>", "<p>" + "word " * 50_000, "<article><p>a<p>b", "<!-- x"]
     rows = spark.createDataFrame([(i, None, h, "x") for i, h in enumerate(html)] + [(0, None, None, "x")], "page_id long, url string, html string, text string")
