@@ -32,6 +32,8 @@ TOKEN_CHARACTERS = 10
 KINDS = ("assign", "access", "hex", "owner")
 #: Owners from which on a value counts as a copied example.
 EXAMPLE_OWNERS = 3
+#: Repositories from which on it does, even if they are all of one owner.
+EXAMPLE_REPOS = 100
 
 
 def _matches(text: Column, pattern: str, build) -> Column:
@@ -85,7 +87,7 @@ def _random(token: Column) -> Column:
         value.rlike("[0-9]")
         & value.rlike("[A-Za-z]")
         & ~value.rlike(f"{ACCESS}|{HEX}")
-        & (F.size(F.array_distinct(F.split(F.substring(value, 1, 256), ""))) >= TOKEN_CHARACTERS)
+        & (F.size(F.array_distinct(F.split(value, ""))) >= TOKEN_CHARACTERS)
     )
 
 
@@ -129,11 +131,12 @@ def ownership(candidates: DataFrame) -> DataFrame:
 def find_secrets(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", owner: str = "source", repo: str | None = None
 ) -> DataFrame:
-    """One row per document: doc_id, spans (array of start, kind, end), n_example, n_live.
+    """One row per document: doc_id, base and spans (arrays of start, kind, end), n_example, n_live, n_repos.
 
-    ``spans`` holds every base span and the tokens that a single owner holds.  ``n_example`` and
-    ``n_live`` count spans whose value ``EXAMPLE_OWNERS`` owners or more, or only one, hold.  ``repo``
-    defaults to the document itself.  Null and empty texts have no spans; repeated rows keep their
+    A value is an example if ``EXAMPLE_OWNERS`` owners or ``EXAMPLE_REPOS`` repositories hold it, and live if a single owner and
+    fewer repositories do.  ``base`` holds every base span; ``spans`` adds the live tokens.  ``n_example`` and
+    ``n_live`` count spans with such values, ``n_repos`` is the most repositories that hold one of the
+    document's values.  ``repo`` defaults to the document itself.  Null and empty texts have no spans; repeated rows keep their
     own row; other columns are not read.
     """
     value = F.coalesce(F.col(text).cast("string"), F.lit(""))
@@ -167,24 +170,26 @@ def find_secrets(
     # A verdict belongs to the text, so copies of a text share one.
     spans = found.select("key", F.explode("spans").alias("s")).select("key", "s.*").distinct()
     judged = spans.join(counts, "hash")
+    example = (F.col("owners") >= EXAMPLE_OWNERS) | (F.col("repos") >= EXAMPLE_REPOS)
+    live = (F.col("owners") == 1) & ~example
     per_text = judged.groupBy("key").agg(
-        F.collect_list(F.when((F.col("kind") == 3) & (F.col("owners") == 1), F.struct("start", "kind", "end"))).alias(
-            "added"
-        ),
-        F.count_if((F.col("owners") >= EXAMPLE_OWNERS) & (F.col("kind") < 3)).alias("n_example"),
-        F.count_if(F.col("owners") == 1).alias("n_live"),
+        F.collect_list(F.when((F.col("kind") == 3) & live, F.struct("start", "kind", "end"))).alias("added"),
+        F.count_if(example & (F.col("kind") < 3)).alias("n_example"),
+        F.count_if(live).alias("n_live"),
+        F.max("repos").alias("n_repos"),
     )
     base = F.transform(
         F.filter("spans", lambda s: s["kind"] < 3), lambda s: F.struct(s["start"], s["kind"], s["end"])
     )
-    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    with_base = rows.select("doc_id", "key", base.cast("array<struct<start:int,kind:int,end:int>>").alias("base"))
-    return with_base.join(per_text, "key", "left").select(
-        "doc_id",
-        F.array_sort("base").alias("base"),
-        F.array_sort(F.concat("base", F.coalesce("added", none))).alias("spans"),
-        F.coalesce("n_example", F.lit(0)).alias("n_example"),
-        F.coalesce("n_live", F.lit(0)).alias("n_live"),
+    kind = "array<struct<start:int,kind:int,end:int>>"
+    none = F.array().cast(kind)
+    with_base = lambda df: df.select("doc_id", "key", base.cast(kind).alias("base"))
+    # Only rows with spans need a verdict; the others, empty texts among them, would meet under few keys.
+    asked = with_base(found).join(per_text, "key").select("doc_id", "base", "added", "n_example", "n_live", "n_repos")
+    zero = [F.lit(0).cast("long").alias(c) for c in ("n_example", "n_live", "n_repos")]
+    rest = with_base(rows.filter(F.size("spans") == 0)).select("doc_id", "base", none.alias("added"), *zero)
+    return asked.unionByName(rest).select(
+        "doc_id", F.array_sort("base").alias("base"), F.array_sort(F.concat("base", "added")).alias("spans"), "n_example", "n_live", "n_repos"
     )
 
 
@@ -208,4 +213,5 @@ def digest(found: DataFrame) -> DataFrame:
         written(F.col("spans")).alias("spans"),
         F.col("n_example").cast("long").alias("n_example"),
         F.col("n_live").cast("long").alias("n_live"),
+        F.col("n_repos").cast("long").alias("n_repos"),
     )

@@ -60,8 +60,9 @@ def test_secrets(spark, texts):
         spans += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 18]
         spans += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 16]
         base = ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans))
-        wanted[i, hashlib.sha256(base.encode()).hexdigest()] += 1
-    assert Counter((r["doc_id"], r["base_sha256"]) for r in found) == wanted
+        kinds = Counter(k for _, k, _ in spans)
+        wanted[i, kinds[0], kinds[1], kinds[2], hashlib.sha256(base.encode()).hexdigest()] += 1
+    assert Counter((r["doc_id"], r["n_assign"], r["n_access"], r["n_hex"], r["base_sha256"]) for r in found) == wanted
     assert [r["spans"] for r in found if r["doc_id"] == 15] == ["owner:6:26"]
     assert secrets.find_secrets(frame(spark, [])).count() == 0
 
@@ -72,6 +73,17 @@ def test_widely_held_tokens_are_no_live_ones(spark):
     assert {r["spans"] for r in secrets.digest(secrets.find_secrets(rows)).collect()} == {""}
 
 
+def test_repositories_and_owners_tell_examples_from_live_values(spark):
+    """A token of many documents of one owner is an example; one of a few documents, or a long one with a monotonous start, is live."""
+    many, few, long = "Zb3dEf6hIj9kLm2nOp5q", "Yb3dEf6hIj9kLm2nOp5q", "z" * 300 + "Xb3dEf6hIj9kLm2nOp5q"
+    texts = [f"see {many} {n}" for n in range(secrets.EXAMPLE_REPOS)] + [f"see {few}", f"or {few}", f"see {long}", f"password={'k1' * 8}", ""]
+    found = {r["doc_id"]: r for r in secrets.digest(secrets.find_secrets(frame(spark, list(enumerate(texts)), "a"))).collect()}
+    n = secrets.EXAMPLE_REPOS
+    assert {found[i]["spans"] for i in range(n)} == {""} and {found[i]["n_repos"] for i in range(n)} == {n} and found[0]["n_live"] == 0
+    assert found[n]["spans"] == "owner:4:24" and found[n + 1]["spans"] == "owner:3:23" and found[n]["n_repos"] == 2
+    assert found[n + 2]["spans"] == "owner:4:324" and found[n + 3]["n_live"] == 1 and found[n + 4]["n_repos"] == 0
+
+
 def _window_words(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
