@@ -2,7 +2,8 @@
 
 A native job.  Level 0 encodes the listed keys; level 1 encodes those other keys of the corpus that
 level 0 takes for listed; level 2 the listed keys that level 1 takes for them; and so on until a level
-makes no mistake.  Over the corpus's complete key universe the first level that denies a key decides,
+makes no mistake.  Level 0 has bits in proportion to the logarithm of universe over list, so that about as many
+keys as are listed slip through it: every level is bounded by the list, however large the universe.  Over the corpus's complete key universe the first level that denies a key decides,
 so the answer is exact.  Filters are arrays of 64-bit words inside the plan: no join is needed.
 
 A list too long for one such filter is cut into shards by key hash and answered per distinct key,
@@ -20,69 +21,79 @@ from pyspark.sql import functions as F
 from chronoweave.llm.common import UPPER
 from chronoweave.scratch import write_scratch
 
-#: Keys one cascade may list; its first level then has at most two megabytes.
+#: Keys one cascade may list; its first level then has at most eight megabytes, in a universe of 2 ^ 40 keys.
 SHARD_KEYS = 1_000_000
+#: Least bits and hashes of a key in any level.
 BITS_PER_KEY = 12
 HASHES = 4
 
 
 @dataclass(frozen=True)
 class Cascade:
-    """Bloom filters by level; each is a list of 64-bit words."""
+    """Bloom filters by level; each is a number of hashes and a list of 64-bit words."""
 
-    levels: tuple[tuple[int, ...], ...]
+    levels: tuple[tuple[int, tuple[int, ...]], ...]
 
     def member(self, key: Column) -> Column:
         """Whether a key of the universe is listed."""
         answer = F.lit(len(self.levels) % 2 == 1)
         for level in range(len(self.levels) - 1, -1, -1):
-            held = _held(key, level, self.levels[level])
+            held = _held(key, level, *self.levels[level])
             answer = F.when(held, answer).otherwise(F.lit(level % 2 == 1))
         return answer
 
 
-def _bits(key: Column, level: int, size: int) -> list[Column]:
-    """Bit places of a key: ``HASHES`` independent hashes that differ by level."""
-    return [F.pmod(F.xxhash64(F.lit(level), F.lit(h), key), F.lit(size)) for h in range(HASHES)]
+def _bits(key: Column, level: int, size: int, hashes: int) -> list[Column]:
+    """Bit places of a key: independent hashes that differ by level."""
+    return [F.pmod(F.xxhash64(F.lit(level), F.lit(h), key), F.lit(size)) for h in range(hashes)]
 
 
-def _held(key: Column, level: int, words: tuple[int, ...]) -> Column:
+def _held(key: Column, level: int, hashes: int, words: tuple[int, ...]) -> Column:
     stored = F.array(*map(F.lit, words)) if len(words) < 64 else F.from_json(
         F.lit("[" + ",".join(map(str, words)) + "]"), "array<bigint>"
     )
     held = F.lit(True)
-    for bit in _bits(key, level, 64 * len(words)):
+    for bit in _bits(key, level, 64 * len(words), hashes):
         word = F.get(stored, F.floor(bit / 64).cast("int"))
         held = held & (F.getbit(word, (bit % 64).cast("int")) == 1)
     return held
 
 
-def _build_level(keys: DataFrame, count: int, level: int) -> tuple[int, ...]:
-    """Words of the filter of ``keys``, put together from partial words of every partition."""
-    words = max(1, math.ceil(count * BITS_PER_KEY / 64))
-    bits = keys.select(F.explode(F.array(*_bits(F.col("key"), level, 64 * words))).alias("bit"))
+def level_shape(keys: int, others: int) -> tuple[int, int]:
+    """Bits and hashes a key of a filter of ``keys`` keys that should take about as many of the others for its own."""
+    doubt = math.log2(max(others / max(keys, 1), 1))
+    bits = max(BITS_PER_KEY, math.ceil(doubt / math.log(2)) + 1)
+    return bits, max(HASHES, round(bits * math.log(2)) if bits > BITS_PER_KEY else HASHES)
+
+
+def _build_level(keys: DataFrame, count: int, level: int, shape: tuple[int, int]) -> tuple[int, tuple[int, ...]]:
+    """Hashes and words of the filter of ``keys``, put together from partial words of every partition."""
+    bits_per_key, hashes = shape
+    words = max(1, math.ceil(count * bits_per_key / 64))
+    bits = keys.select(F.explode(F.array(*_bits(F.col("key"), level, 64 * words, hashes))).alias("bit"))
     one = F.expr("shiftleft(1L, cast(bit % 64 AS int))")
+    # At most a word for every few keys of a shard comes to the driver, which puts them into the plan.
     rows = bits.groupBy(F.floor(F.col("bit") / 64).alias("word")).agg(F.bit_or(one).alias("bits")).collect()
     filled = [0] * words
     for r in rows:
         filled[r["word"]] = r["bits"]
-    return tuple(filled)
+    return hashes, tuple(filled)
 
 
 def build_cascade(universe: DataFrame) -> Cascade:
     """Cascade of a written table (key, listed) of distinct keys; at most ``SHARD_KEYS`` keys are listed."""
-    levels: list[tuple[int, ...]] = []
+    levels: list[tuple[int, tuple[int, ...]]] = []
     pending = universe
     while True:
         level = len(levels)
         inside, outside = F.col("listed") == (level % 2 == 0), F.col("listed") == (level % 2 == 1)
         keys = pending.filter(inside).select("key")
-        count = keys.count()
-        if not count:
+        sizes = pending.agg(F.count_if(inside).alias("keys"), F.count_if(outside).alias("others")).first()
+        if not sizes["keys"]:
             break
-        levels.append(_build_level(keys, count, level))
+        levels.append(_build_level(keys, sizes["keys"], level, level_shape(sizes["keys"], sizes["others"])))
         # What stays in doubt: the keys just written, and others that the level mistakes for them.
-        mistaken = outside & _held(F.col("key"), level, levels[-1])
+        mistaken = outside & _held(F.col("key"), level, *levels[-1])
         pending = pending.filter(inside | mistaken)
     return Cascade(tuple(levels))
 
@@ -144,9 +155,8 @@ def judge(
     rule_list = F.array(*map(F.lit, sorted(named)))
     ruled = write_scratch(universe.select("key", F.array_contains(rule_list, F.col("key")).alias("listed")), "url-rules").df
     is_rule = build_cascade(ruled)
-    blocks = build_cascade(
-        spark.createDataFrame([(k, v == "block") for k, v in sorted(named.items())], "key string, listed boolean")
-    )
+    verdicts = [F.struct(F.lit(k).alias("key"), F.lit(v == "block").alias("listed")) for k, v in sorted(named.items())]
+    blocks = build_cascade(spark.range(1).select(F.inline(F.array(*verdicts))))
     rule = F.get(F.filter("keys", is_rule.member), F.lit(0))
     judged = rows.withColumn("rule", rule).withColumn(
         "verdict", F.when(F.col("rule").isNotNull(), F.when(blocks.member(F.col("rule")), "block").otherwise("allow"))

@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from chronoweave.llm import (
@@ -148,6 +149,15 @@ def test_slots_of_the_mix(spark):
     assert all(abs(4 * ranks[i + 1] - w) <= 16 for i, w in enumerate(owed))
 
 
+def test_filter_levels_follow_the_list(spark):
+    """A short list in a large universe: no level holds more than a few times the list, and membership is exact."""
+    universe = spark.range(60_000).select(F.concat(F.lit("key"), F.col("id")).alias("key"), (F.col("id") % 6_000 == 7).alias("listed"))
+    cascade = url_filter.build_cascade(universe)
+    assert all(len(words) * 64 <= 64 + 3 * 10 * 20 for _, words in cascade.levels)
+    assert universe.filter(cascade.member(F.col("key")) != F.col("listed")).count() == 0
+    assert url_filter.level_shape(5, 10**10)[0] < 50 and url_filter.level_shape(0, 0) == (12, 4)
+
+
 @pytest.mark.parametrize("shard_keys", [1_000_000, 3])
 def test_url_filter(spark, shard_keys):
     urls = [None, "", "no scheme", "http://", "https://A.Example.ORG/en/12?x", "http://example.org/es/", "http://x.com/de/1"]
