@@ -123,12 +123,15 @@ def find_contamination(
             F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
         )
     )
-    return rows.join(per_text, "key", "left").select(
-        "row.*",
-        "n_words",
-        F.coalesce("spans", F.array().cast("array<struct<start:int,n:int>>")).alias("spans"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
-    )
+    def listed_hits(of: DataFrame) -> DataFrame:
+        none = {"spans": F.array().cast("array<struct<start:int,n:int>>"), "items": F.array().cast("array<string>")}
+        return of.select("row.*", "n_words", *((F.coalesce(c, empty) if c in of.columns else empty).alias(c) for c, empty in none.items()))
+
+    if count > set_rows:
+        return listed_hits(rows.join(per_text, "key", "left"))
+    # Rows without a hit, nearly all, go nowhere.
+    some = F.size("hits") > 0
+    return listed_hits(rows.filter(some).join(per_text, "key", "left")).unionByName(listed_hits(rows.filter(~some)))
 
 
 def words_hit(spans: Column) -> Column:
