@@ -6,19 +6,26 @@ own components, into slices of the score; rows are then selected from the most s
 downward until the best ``k`` are fixed, and rows that tie at the boundary go by their id.  Scores are
 read off the slices, so they are exact.
 
-Query groups meet every block in an equi-join on the block, with groups and blocks of bounded size.
+Vectors with components too long for 64-bit slices stand in blocks of their own as they are; they, and
+queries with such components, are scored with integers of any length.
+
+Blocks are dealt to tasks once, or a few times where there are fewer blocks than tasks; query groups of bounded size
+stream past them, so what moves is the queries and the best rows of each query and block.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Iterator
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from chronoweave.llm.common import parts_for
 from chronoweave.scratch import write_scratch
 
 SCALE = 256
@@ -26,22 +33,39 @@ K = 5
 EVERY = 50
 BLOCK_ROWS = 16_384
 GROUP_QUERIES = 64
-#: Components beyond this, after scaling, could leave the 38 digits in which scores are compared.
+#: Vectors with components beyond this, after scaling, are scored without slices, in blocks of so many rows.
 LARGEST = 1 << 57
+LONG_ROWS = 1_024
 #: Vectors with components beyond this have blocks of their own, so that their bits widen no other block.
 NARROW = 1 << 15
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def quantised(rows: DataFrame, vec_id: str, vector: str) -> DataFrame:
-    """(vec_id, v, dim) of the vectors that take part: an id, all components finite and within ``LARGEST``."""
+    """(vec_id, v, raw, dim) of the vectors that take part: an id, all components finite.
+
+    ``v`` holds the scaled integers; a vector with one beyond ``LARGEST`` has its components in ``raw`` instead.
+    """
+    finite = F.forall(F.col(vector), lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False)) & ~F.isnan(x.cast("double")))
+    fits = F.forall(F.col(vector), lambda x: F.abs(x.cast("double")) <= LARGEST / SCALE)
     scaled = F.transform(F.col(vector), lambda x: F.floor(F.lit(float(SCALE)) * x.cast("double")))
-    sound = F.forall(
-        F.col(vector), lambda x: F.coalesce(F.abs(x.cast("double")) <= LARGEST / SCALE, F.lit(False)) & ~F.isnan(x.cast("double"))
+    taking = rows.filter(F.col(vector).isNotNull() & F.col(vec_id).isNotNull()).filter(finite)
+    return taking.select(
+        F.col(vec_id).cast("long").alias("vec_id"),
+        F.when(fits, scaled).alias("v"),
+        F.when(~fits, F.transform(F.col(vector), lambda x: x.cast("double"))).alias("raw"),
+        F.size(vector).alias("dim"),
     )
-    taking = F.col(vector).isNotNull() & F.col(vec_id).isNotNull()
-    sound_rows = rows.filter(taking).filter(sound).select(F.col(vec_id).cast("long").alias("vec_id"), scaled.alias("v"))
-    return sound_rows.withColumn("dim", F.size("v"))
+
+
+def _build_long(table: pa.Table) -> pa.Table:
+    """A block of vectors with long components, in order of id."""
+    order = np.argsort(table.column("vec_id").to_numpy(), kind="stable")
+    ids = table.column("vec_id").to_numpy()[order]
+    raw = table.column("raw").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)[order]
+    row = {"dim": raw.shape[1], "block": table.column("block")[0].as_py(), "low": 0, "bits": 0}
+    row |= {"ids": ids.astype("<i8").tobytes(), "slices": raw.astype("<f8").tobytes()}
+    return pa.table({k: [v] for k, v in row.items()}, schema=_BLOCK)
 
 
 def _build(table: pa.Table) -> pa.Table:
@@ -166,18 +190,68 @@ def best_of_block(
     return out
 
 
+def _integers(raw) -> list[int]:
+    """Components of a vector, scaled and rounded down, as integers of any length."""
+    return [int(x) * SCALE if abs(x) >= 1 << 53 else math.floor(x * SCALE) for x in raw]
+
+
+def _rows_of(block: dict) -> list[list[int]]:
+    """All vectors of a block as integers."""
+    if not block["bits"]:
+        return [_integers(row) for row in np.frombuffer(block["slices"], "<f8").reshape(-1, block["dim"]).tolist()]
+    slices = np.frombuffer(block["slices"], "<u8").reshape(block["dim"], block["bits"], -1)
+    planes = np.unpackbits(slices.view(np.uint8), axis=2, bitorder="little")[:, :, : len(block["ids"]) // 8].astype(np.int64)
+    values = (planes << np.arange(block["bits"])[None, :, None]).sum(axis=1) + block["low"]
+    return values.T.tolist()
+
+
+def _best_exactly(ids: list[int], rows: list[list[int]], query_id: int, query: list[int], k: int) -> list[tuple[int, int]]:
+    """(id, score) of a query's best ``k`` rows, ties by id."""
+    scored = ((sum(map(mul, query, row)), i) for i, row in zip(ids, rows, strict=True) if i != query_id)
+    return [(i, score) for score, i in heapq.nsmallest(k, scored, key=lambda s: (-s[0], s[1]))]
+
+
+def _sort_key(score: int) -> bytes:
+    """Bytes that sort as the scores do, whatever their length."""
+    size = (abs(score).bit_length() + 7) // 8
+    key = b"\x80" + size.to_bytes(2, "big") + abs(score).to_bytes(size, "big")
+    return key if score >= 0 else bytes(255 - b for b in key)
+
+
 def _search(k: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block: dict = {}
         for batch in batches:
-            for r in batch.to_pylist():
+            for at in range(batch.num_rows):
+                r = batch.slice(at, 1).to_pylist()[0]
+                # A block comes before the query groups that it answers.
+                if r["queries"] is None:
+                    block = r
+                    continue
+                r = block | {"queries": r["queries"]}
                 ids = np.frombuffer(r["ids"], "<i8")
-                slices = np.frombuffer(r["slices"], "<u8").reshape(r["dim"], r["bits"], -1)
-                query_ids = np.array([q["vec_id"] for q in r["queries"]], np.int64)
-                queries = np.array([q["v"] for q in r["queries"]], np.int64).reshape(len(query_ids), r["dim"])
-                at, found, score = best_of_block(ids, slices, r["low"], query_ids, queries, k)
-                keys = [r["queries"][i]["query"] for i in at]
-                columns = [pa.array(keys, pa.string()), pa.array(query_ids[at]), pa.array(found, pa.int64()), pa.array(score, pa.decimal128(38, 0))]
-                yield pa.RecordBatch.from_arrays(columns, names=["query", "query_id", "vec_id", "score"])
+                plain = [q for q in r["queries"] if q["v"] is not None and r["bits"]]
+                found: list[tuple[dict, int, int]] = []
+                if plain:
+                    slices = np.frombuffer(r["slices"], "<u8").reshape(r["dim"], r["bits"], -1)
+                    query_ids = np.array([q["vec_id"] for q in plain], np.int64)
+                    queries = np.array([q["v"] for q in plain], np.int64).reshape(len(query_ids), r["dim"])
+                    for i, row, score in zip(*best_of_block(ids, slices, r["low"], query_ids, queries, k), strict=True):
+                        found.append((plain[i], row, score))
+                if len(plain) < len(r["queries"]):
+                    rows = _rows_of(r)
+                    for q in r["queries"]:
+                        if q["v"] is None or not r["bits"]:
+                            query = _integers(q["raw"]) if q["v"] is None else q["v"]
+                            found += ((q, row, score) for row, score in _best_exactly(ids.tolist(), rows, q["vec_id"], query, k))
+                columns = [
+                    pa.array([q["query"] for q, _, _ in found], pa.string()),
+                    pa.array([q["vec_id"] for q, _, _ in found], pa.int64()),
+                    pa.array([row for _, row, _ in found], pa.int64()),
+                    pa.array([max(-(1 << 63), min((1 << 63) - 1, score)) for _, _, score in found], pa.int64()),
+                    pa.array([_sort_key(score) for _, _, score in found], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["query", "query_id", "vec_id", "score", "sort_key"])
 
     return search
 
@@ -185,12 +259,17 @@ def _search(k: int):
 def build_index(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Bit-sliced index of every vector that takes part, one row per block, written to shared storage."""
     sound = write_scratch(quantised(rows, vec_id, vector), "topk-rows").df
-    blocks = max(1, math.ceil(sound.count() / block_rows))
+    sizes = sound.agg(F.count("v").alias("plain"), F.count("raw").alias("long")).first()
+    shape = "dim int, block long, low long, bits int, ids binary, slices binary"
+    blocks = max(1, math.ceil(sizes["plain"] / block_rows))
     at = F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks))
     block = F.when(F.forall("v", lambda x: F.abs(x) <= NARROW), at).otherwise(-1 - at).alias("block")
-    built = sound.select("vec_id", "v", "dim", block).groupBy("dim", "block").applyInArrow(
-        _build, "dim int, block long, low long, bits int, ids binary, slices binary"
-    )
+    built = sound.filter("v IS NOT NULL").select("vec_id", "v", "dim", block).groupBy("dim", "block").applyInArrow(_build, shape)
+    if sizes["long"]:
+        # Numbers of these blocks lie beyond those of all others.
+        own = (F.lit(blocks) + F.pmod(F.xxhash64("vec_id", "raw"), F.lit(math.ceil(sizes["long"] / LONG_ROWS)))).alias("block")
+        rest = sound.filter("raw IS NOT NULL").select("vec_id", "raw", "dim", own).groupBy("dim", "block").applyInArrow(_build_long, shape)
+        built = built.unionByName(rest)
     return write_scratch(built, "topk-index").df
 
 
@@ -204,20 +283,23 @@ def search(
     once; repeated candidates count each.  Fewer candidates than ``k`` give fewer rows.  Ranks follow the
     exact score; one beyond a long is returned as the nearest long.
     """
-    queries = quantised(rows, vec_id, vector).distinct().withColumn("query", F.md5(F.to_json(F.struct("vec_id", "v"))))
+    queries = quantised(rows, vec_id, vector).distinct().withColumn("query", F.md5(F.to_json(F.struct("vec_id", "v", "raw"))))
     queries = write_scratch(queries, "topk-queries").df
     groups = max(1, math.ceil(queries.count() / group))
     gathered = queries.groupBy("dim", F.pmod(F.xxhash64("query"), F.lit(groups)).alias("group")).agg(
-        F.collect_list(F.struct("query", "vec_id", "v")).alias("queries")
+        F.collect_list(F.struct("query", "vec_id", "v", "raw")).alias("queries")
     )
-    # The stated queries go to every block, in groups; each pair of a block and a group is one piece of work.
+    # The stated queries go to every block, in groups; with few blocks each stands in several stripes that share the groups.
     targets = index.groupBy("dim").agg(F.collect_set("block").alias("blocks"))
-    sent = gathered.join(targets, "dim").withColumn("block", F.explode("blocks")).drop("blocks", "group")
-    pairs = index.join(sent, ["dim", "block"]).repartition(
-        max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), groups), F.xxhash64("block", F.col("queries")[0]["query"])
-    )
-    found = pairs.mapInArrow(_search(k), "query string, query_id long, vec_id long, score decimal(38,0)")
-    order = Window.partitionBy("query", "query_id").orderBy(F.desc("score"), "vec_id")
+    parts = parts_for(rows)
+    stripes = max(1, math.ceil(parts / max(1, index.count())))
+    held = index.withColumn("stripe", F.explode(F.sequence(F.lit(0), F.lit(stripes - 1))))
+    sent = gathered.join(targets, "dim").withColumn("stripe", F.pmod("group", F.lit(stripes)).cast("int"))
+    sent = sent.withColumn("block", F.explode("blocks")).drop("blocks", "group")
+    met = held.unionByName(sent, allowMissingColumns=True)
+    place = ["dim", "block", "stripe"]
+    pairs = met.repartition(parts, *place).sortWithinPartitions(*place, F.col("queries").isNotNull())
+    found = pairs.mapInArrow(_search(k), "query string, query_id long, vec_id long, score long, sort_key binary")
+    order = Window.partitionBy("query", "query_id").orderBy(F.desc("sort_key"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    least, most = (F.lit(end).cast("decimal(38,0)") for end in (-(1 << 63), (1 << 63) - 1))
-    return ranked.select("query_id", "rank", "vec_id", F.greatest(least, F.least(most, "score")).cast("long").alias("score"))
+    return ranked.select("query_id", "rank", "vec_id", "score")

@@ -5,6 +5,7 @@ import re
 import time
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -351,16 +352,16 @@ def test_top_k(spark):
 
 
 def test_top_k_of_long_components(spark):
-    vectors = {0: [0.5, -1.25], 1: [3e14, -2e12], 2: [-4e14, 1e3], 3: [1e9, 0.1], 50: [-1e7, 4e5], 100: [5e14, -5e14], 101: [-0.01, 7.0]}
+    vectors = {4: [2.0**50, 2.0**50], 5: [1e300, -1.0], 6: [-1e308, 1.7e308], 150: [2.0**60, 3.5], 0: [0.5, -1.25], 1: [3e14, -2e12], 2: [-4e14, 1e3], 3: [1e9, 0.1], 50: [-1e7, 4e5], 100: [5e14, -5e14], 101: [-0.01, 7.0]}
     table = spark.createDataFrame([(i, v) for i, v in vectors.items()], "vec_id long, embedding array<double>")
     found = topk.search(topk.build_index(table, block_rows=2), table.filter("vec_id % 50 = 0")).collect()
-    q = {i: [int(np.floor(256 * x)) for x in v] for i, v in vectors.items()}
+    q = {i: [(Fraction(x) * 256).__floor__() for x in v] for i, v in vectors.items()}
     wanted = set()
-    for i in (0, 50, 100):
+    for i in (0, 50, 100, 150):
         best = sorted((-sum(a * b for a, b in zip(q[i], q[j], strict=True)), j) for j in q if j != i)[:5]
         wanted |= {(i, n, j, max(-(2**63), min(2**63 - 1, -s))) for n, (s, j) in enumerate(best, 1)}
     assert {tuple(r) for r in found} == wanted
-    assert len(found) == 15
+    assert len(found) == 20
 
 
 def test_quality(spark, data_dir):
