@@ -8,12 +8,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
+#: Folders written inside each open scope, innermost last.
+_SCOPES: list[list[str]] = []
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by the session; a temporary one only when running in local mode."""
@@ -52,5 +57,32 @@ def write_scratch(df: DataFrame, label: str) -> ScratchTable:
     """Write ``df`` once and return a frame that reads the written rows."""
     spark = df.sparkSession
     path = f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.parquet(path)
     return ScratchTable(spark.read.schema(df.schema).parquet(path), path)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[Callable[[ScratchTable], ScratchTable]]:
+    """Remove the tables written inside when the block ends, but those handed to the yielded function.
+
+    For results that are written before the block ends: a frame still to be evaluated needs its tables.
+    """
+    paths: list[str] = []
+    kept: set[str] = set()
+
+    def keep(table: ScratchTable) -> ScratchTable:
+        kept.add(table.path)
+        return table
+
+    _SCOPES.append(paths)
+    try:
+        yield keep
+    finally:
+        _SCOPES.remove(paths)
+        for path in paths:
+            if path in kept:
+                continue
+            fs, at = hadoop_path(spark, path)
+            fs.delete(at, True)

@@ -8,6 +8,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 from bindings.tables import LINE_KEYS, NUMERICS, Tables
+from chronoweave import scratch
 from chronoweave.functions import scalars as s
 from chronoweave.operators import clean, dictionary, enrich, metrics, models, prep, profile
 from chronoweave.skew import small_side
@@ -315,3 +316,13 @@ def test_clustered_sink_prunes_row_groups(spark, tmp_path):
     spans = [(g.column(0).statistics.min, g.column(0).statistics.max) for g in groups]
     assert len(spans) >= 8 and sum(low <= 500 and high >= 400 for low, high in spans) <= 2
     assert spark.read.parquet(path).filter("at BETWEEN 400 AND 500").count() == 101
+
+
+def test_scratch_scope_removes_what_is_not_kept(spark):
+    with scratch.scratch_scope(spark) as keep:
+        first = scratch.write_scratch(spark.range(5), "first")
+        second = keep(scratch.write_scratch(first.df.filter("id > 1"), "second"))
+    fs, path = scratch.hadoop_path(spark, first.path)
+    assert not fs.exists(path) and second.df.count() == 3
+    outside = scratch.write_scratch(spark.range(2), "outside")
+    assert outside.df.count() == 2
