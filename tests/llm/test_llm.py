@@ -483,17 +483,78 @@ def test_html_rows(spark):
     assert len(found) == 8 and by_id == {0: "", 1: "", 2: "plain words only", 3: "", 4: ("word " * 50_000).strip(), 5: "a\nb", 6: ""}
 
 
-def test_pipeline_stages(spark, data_dir):
-    docs = queries.table(spark, data_dir, "documents")
-    columns, kept = docs.columns, docs
-    ids = []
-    for _, stage in corpus_pipeline.STAGES[:4]:
-        kept = spark.createDataFrame(stage(spark, kept, data_dir).collect(), docs.schema)
-        assert kept.columns == columns
-        ids.append(Counter(r["doc_id"] for r in kept.select("doc_id").collect()))
-    assert set(ids[1]) <= set(ids[0]) and set(ids[2]) <= set(ids[1]) and set(ids[3]) <= set(ids[2])
-    assert max(ids[1].values()) == 1 and max(ids[3].values()) <= 2
-    assert corpus_pipeline.run(spark, data_dir).count() == sum(ids[3].values())
+def _mixed_words(docs):
+    """Words that a mix takes of each of some (doc_id, text, source), one by one."""
+    size = lambda t: len((t or "").encode().split())
+    sources = sorted({d[2] for d in docs})
+    held = {s: sum(size(t) for _, t, o in docs if o == s) for s in sources}
+    weight = {s: mixing.WEIGHTS[i % 3] for i, s in enumerate(sources)}
+    capped, target = set(), {}
+    while True:
+        left = Fraction(3, 2) * sum(held.values()) - sum(2 * held[s] for s in capped)
+        rest = sum(weight[s] for s in sources if s not in capped)
+        target = {s: Fraction(2 * held[s]) if s in capped else left * weight[s] / rest for s in sources}
+        more = {s for s in sources if target[s] > 2 * held[s]}
+        if not more:
+            break
+        capped |= more
+    owed = {s: min(round(float(target[s])), 2 * held[s]) for s in sources}
+    total = sum(owed.values())
+    block = max(1, min(mixing.BLOCK_WORDS, total // mixing.LEAST_SLOTS))
+    ends = np.cumsum([0, *owed.values()])
+    bounds = [int(e / total * mixing.GRID) for e in ends.tolist()]
+    points = np.arange(-(-total // block)) * mixing.GOLDEN % mixing.GRID
+    slots = {s: int(((points >= bounds[i]) & (points < bounds[i + 1])).sum()) for i, s in enumerate(sources)}
+    taken = {}
+    for s in sources:
+        take, at = min(slots[s] * block, 2 * held[s]), 0
+        mine = [(hashlib.md5(str(i).encode()).hexdigest(), size(t), i) for i, t, o in docs if o == s]
+        cells = -(-len(mine) // mixing.ORDER_CELL)
+        for _, n, i in sorted(mine, key=lambda m: (int(m[0][:8], 16) % cells, m[0], m[1])):
+            taken[i] = sum(max(0, min(low + n, take) - low) for low in (at, at + held[s]))
+            at += n
+    return taken
+
+
+def test_pipeline_against_plain_python(spark, data_dir):
+    """Every stage after the classifier's scores, and the token files, by brute force."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    docs, labels = queries.table(spark, data_dir, "documents"), queries.table(spark, data_dir, "labels")
+    good = {r["doc_id"] for r in quality.digest(quality.score_documents(docs, labels)).filter("predicted = 1").collect()}
+    rows = sorted((r["doc_id"], r["text"], r["source"]) for r in docs.collect() if r["doc_id"] in good)
+    sets = [set(near_copies.shingles((t or "").encode()).tolist()) for _, t, _ in rows]
+    first = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 5 * len(a & sets[j]) >= 4 * len(a | sets[j]) and first[i] != first[j]:
+                low, high = sorted((first[i], first[j]))
+                first = [low if f == high else f for f in first]
+    rows = [r for i, r in enumerate(rows) if first[i] == i]
+    grams = set()
+    for r in queries.table(spark, data_dir, "benchmark").collect():
+        words = _window_words(r["text"])
+        n = min(10, len(words))
+        grams |= {tuple(words[k : k + n]) for k in range(len(words) - n + 1)} if n else set()
+    sizes = {len(g) for g in grams}
+
+    def clean(text):
+        words = _window_words(text)
+        return not any(tuple(words[k : k + n]) in grams for n in sizes for k in range(len(words) - n + 1))
+
+    rows = [r for r in rows if clean(r[1])]
+    taken = _mixed_words(rows)
+    encoder, start, wanted = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), 0, []
+    for i, text, _ in rows:
+        size = len((text or "").encode().split())
+        ids = [*encoder.encode(text or "", add_special_tokens=False).ids, 2]
+        # Halves are rounded up.
+        for _ in range(int(Fraction(taken[i], size) + Fraction(1, 2)) if size else 0):
+            wanted.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+            start += len(ids)
+    found = corpus_pipeline.run(spark, data_dir).select("doc_id", "start", "n_tokens", "ids_crc32").collect()
+    assert sorted(map(tuple, found)) == sorted(wanted) and wanted
 
 
 def test_stages_keep_columns_of_any_name(spark, data_dir):
