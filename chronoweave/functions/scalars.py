@@ -16,6 +16,11 @@ BANDS = ((6, "1.Early Morning"), (12, "2.Morning"), (18, "3.Afternoon"))
 LAST_BAND = "4. Night"
 
 
+def named(column: str) -> Column:
+    """Column of exactly this name, dots and backticks in it included."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def hhmm_to_timestamp(day: Column, clock: Column) -> Column:
     """Date plus an HHMM integer (2400 is midnight of the next day); null for an impossible clock."""
     midnight = clock == 2400

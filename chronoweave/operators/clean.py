@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, NumericType, StringType
 
-from chronoweave.functions.scalars import key_hash
+from chronoweave.functions.scalars import key_hash, named
 from chronoweave.ordering import exact_quantiles
 
 
@@ -22,7 +22,7 @@ def typed_projection(df: DataFrame, columns: dict[str, tuple[str, str]]) -> Data
 def require_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Keep rows whose keys are all present; an empty string counts as absent."""
     text = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
-    tests = [F.col(c).isNotNull() & (F.col(c) != "") if c in text else F.col(c).isNotNull() for c in columns]
+    tests = [named(c).isNotNull() & (named(c) != "") if c in text else named(c).isNotNull() for c in columns]
     return df.filter(reduce(and_, tests))
 
 
@@ -32,9 +32,9 @@ def dedup_rows(df: DataFrame) -> DataFrame:
 
 def dedup_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """First row per key in ``order``; copies merge before the shuffle, so a hot key costs one row per task."""
-    rest = [c for c in df.columns if c not in keys]
-    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_row")
-    return df.groupBy(*keys).agg(first).select(*keys, "_row.*").select(*df.columns)
+    rest = [named(c) for c in df.columns if c not in keys]
+    first = F.min_by(F.struct(*rest), F.struct(*map(named, order))).alias("_row")
+    return df.groupBy(*map(named, keys)).agg(first).select(*map(named, keys), "_row.*").select(*map(named, df.columns))
 
 
 def drop_missing_required(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -49,7 +49,7 @@ def null_safe_filter(df: DataFrame, column: str, value) -> DataFrame:
 
 def null_counts(df: DataFrame) -> tuple[int, dict[str, int]]:
     """Row count and nulls per column from one aggregate."""
-    row = df.agg(F.count(F.lit(1)).alias("_rows"), *(F.count_if(F.col(c).isNull()).alias(c) for c in df.columns)).first()
+    row = df.agg(F.count(F.lit(1)).alias("_rows"), *(F.count_if(named(c).isNull()).alias(c) for c in df.columns)).first()
     counts = row.asDict()
     return counts.pop("_rows"), counts
 
@@ -63,7 +63,7 @@ def drop_sparse_columns(df: DataFrame, share: float = 0.5) -> DataFrame:
 def project_available(df: DataFrame, wanted: Sequence[str]) -> tuple[DataFrame, list[str]]:
     """Select the wanted columns that exist; also return the names that do not."""
     present = [c for c in wanted if c in df.columns]
-    return df.select(*present), [c for c in wanted if c not in df.columns]
+    return df.select(*map(named, present)), [c for c in wanted if c not in df.columns]
 
 
 def fill_constant(df: DataFrame, values: dict[str, object]) -> DataFrame:
@@ -73,15 +73,15 @@ def fill_constant(df: DataFrame, values: dict[str, object]) -> DataFrame:
 def fill_median(df: DataFrame, columns: Sequence[str], exact: bool = False, accuracy: int = 10_000) -> DataFrame:
     """Replace nulls by the column median: one approximate aggregate, or exact ranks on request."""
     if exact:
-        long = df.select(*(F.col(c).cast("double").alias(c) for c in columns))
-        long = long.unpivot([], list(columns), "feature", "value")
+        long = df.select(*(named(c).cast("double").alias(c) for c in columns))
+        long = long.unpivot([], [named(c) for c in columns], "feature", "value")
         found = exact_quantiles(long, ["feature"], "value", {"median": 0.5}).collect()  # one row per column
         medians = {r["feature"]: r["median"] for r in found}
     else:
-        medians = df.agg(*(F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(c) for c in columns))
+        medians = df.agg(*(F.percentile_approx(named(c).cast("double"), 0.5, accuracy).alias(c) for c in columns))
         medians = medians.first().asDict()
     return df.withColumns(
-        {c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) for c in columns if medians.get(c) is not None}
+        {c: F.coalesce(named(c).cast("double"), F.lit(medians[c])) for c in columns if medians.get(c) is not None}
     )
 
 

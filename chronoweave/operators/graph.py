@@ -20,6 +20,8 @@ from chronoweave.skew import small_side
 
 #: Links of one vertex kept together; a vertex with more is cut into parts.
 MAX_LINKS = 1_000_000
+#: Plain steps that stand for squares of a large transition table, at most.
+MOST_STEPS = 4_096
 #: Pairs of a source and a vertex that one batch of sources may reach.
 BATCH_PAIRS = 50_000_000
 
@@ -255,13 +257,16 @@ def markov_steady_state(
     """State distribution after repeated transitions, stopping early once no state moves by ``atol``.
 
     ``doubling`` squares the transition table each step, so ``k`` steps give ``x T^(2^k)``.  Squares
-    fill up, so beyond ``max_states`` states the same distribution comes from as many plain steps.
+    fill up, so beyond ``max_states`` states the same distribution comes from as many plain steps; more
+    than ``MOST_STEPS`` of them are refused, as they would not end.
     """
     if not doubling:
         return _walk(edges, steps, start, atol, max_links)[0]
     nodes = write_scratch(graph_nodes(edges), "states").df
     size = nodes.count()
     if size > max_states:
+        if 2**steps > MOST_STEPS:
+            raise ValueError(f"{size} states allow 2^{steps} plain steps only up to {MOST_STEPS}; use doubling=False with atol")
         return _walk(edges, 2**steps, start, None, max_links)[0]
     table = write_scratch(transition_matrix(edges), "power").df
     for _ in range(steps):

@@ -10,6 +10,7 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chronoweave.functions.scalars import named
 from chronoweave.ordering import cumulative_counts, exact_quantiles
 from chronoweave.scratch import write_scratch
 from chronoweave.skew import TASK_ROWS, small_side
@@ -65,7 +66,7 @@ def monthly_positive_mean(df: DataFrame, month: str, label: str) -> DataFrame:
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once."""
-    return df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
+    return df.groupBy(*map(named, keys)).agg(F.count("*").alias("n")).filter("n > 1")
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
@@ -76,8 +77,8 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 def null_profile(df: DataFrame) -> DataFrame:
     """Nulls and their percentage per column, from one aggregate."""
     rows = F.count(F.lit(1)).alias("_rows")
-    wide = df.agg(rows, *(F.count_if(F.col(c).isNull()).alias(c) for c in df.columns))
-    long = wide.unpivot(["_rows"], df.columns, "feature", "nulls")
+    wide = df.agg(rows, *(F.count_if(named(c).isNull()).alias(c) for c in df.columns))
+    long = wide.unpivot(["_rows"], [named(c) for c in df.columns], "feature", "nulls")
     return long.select("feature", "nulls", F.round(F.try_divide(F.col("nulls") * 100, "_rows"), 2).alias("percent"))
 
 
@@ -87,7 +88,7 @@ def _stat_long(df: DataFrame, columns: Sequence[str], stats: dict) -> DataFrame:
     wide = df.agg(*packed)
     entries = F.array(
         *(
-            F.struct(F.lit(c).alias("feature"), *(F.col(f"`{c}`.`{name}`").alias(name) for name in stats))
+            F.struct(F.lit(c).alias("feature"), *(named(c)[name].alias(name) for name in stats))
             for c in columns
         )
     )
@@ -98,10 +99,10 @@ def numeric_profile(
     df: DataFrame, columns: Sequence[str], exact: bool = False, accuracy: int = 10_000, task_rows: int = TASK_ROWS
 ) -> DataFrame:
     """Nulls, mean, standard deviation, minimum, maximum and median per numeric column."""
-    cast = {c: F.col(c).cast("double") for c in columns}
+    cast = {c: named(c).cast("double") for c in columns}
     stats = {
         "rows": lambda c: F.count(F.lit(1)),
-        "nulls": lambda c: F.count_if(F.col(c).isNull()),
+        "nulls": lambda c: F.count_if(named(c).isNull()),
         "mean": lambda c: F.avg(cast[c]),
         "stddev": lambda c: F.stddev_samp(cast[c]),
         "min": lambda c: F.min(cast[c]),
@@ -110,7 +111,7 @@ def numeric_profile(
     if not exact:
         stats["median"] = lambda c: F.percentile_approx(cast[c], 0.5, accuracy)
         return _stat_long(df, columns, stats)
-    long = df.select(*(cast[c].alias(c) for c in columns)).unpivot([], list(columns), "feature", "value")
+    long = df.select(*(cast[c].alias(c) for c in columns)).unpivot([], [named(c) for c in columns], "feature", "value")
     medians = exact_quantiles(long, ["feature"], "value", {"median": 0.5}, task_rows).select("feature", "median")
     return _stat_long(df, columns, stats).join(F.broadcast(medians), "feature", "left")  # one row per column
 

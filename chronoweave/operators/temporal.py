@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from chronoweave.ordering import latest_known, previous_row
-from chronoweave.skew import FRAME_WORK, TASK_ROWS, timeline_shape, with_loose_rows
+from chronoweave.skew import FRAME_WORK, TASK_ROWS, may_crowd, timeline_shape, with_loose_rows
 
 HOUR = 3600
 DAY = 24 * HOUR
@@ -59,8 +59,12 @@ def frame_totals(
     rows = probes if source is None else source
     # Frames over all history grow row by row; only bounded ones are summed afresh.
     width = max((1 - f.start for f in frames.values() if f.start is not None), default=None)
-    shape = timeline_shape(rows, entity, epoch, width_s=width)
-    asked = shape if source is None else timeline_shape(probes, entity, epoch, width_s=width)
+    shape = timeline_shape(rows, entity, epoch)
+    asked = shape if source is None else timeline_shape(probes, entity, epoch)
+    if width and may_crowd(shape, asked):
+        # Rows per stretch hardly merge before their shuffle, so they are counted only where timelines are long.
+        shape = timeline_shape(rows, entity, epoch, width_s=width)
+        asked = shape if source is None else timeline_shape(probes, entity, epoch, width_s=width)
     between = asked.largest * shape.peak * 2  # probes times the source rows a frame can hold
     if shape.fits(task_rows) and asked.fits(task_rows) and between <= FRAME_WORK:
 

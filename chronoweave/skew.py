@@ -63,6 +63,11 @@ def timeline_shape(df: DataFrame, *keys: str, width_s: int | None = None) -> Sha
     return Shape(largest, loose, row["peak"] or 0, int(row["work"] or 0)) if width_s else Shape(largest, loose)
 
 
+def may_crowd(*shapes: Shape) -> bool:
+    """Whether frames could be too much work for a task if each held its whole timeline."""
+    return 2 * max(s.largest for s in shapes) ** 2 > FRAME_WORK
+
+
 def with_loose_rows(df: DataFrame, keys: Sequence[str], shape: Shape, feature) -> DataFrame:
     """Apply ``feature`` to rows with complete keys and add the loose rows with null features.
 

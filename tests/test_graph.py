@@ -136,3 +136,8 @@ def test_matrix_holds_every_cell(spark):
     ids = sorted({end for pair in pairs for end in pair})
     for row in g.adjacency_matrix(edges, ids).collect():
         assert {(row["id"], i) for i in ids if row[i]} == {p for p in pairs if p[0] == row["id"]}
+
+
+def test_doubling_of_large_chains_ends(spark):
+    with pytest.raises(ValueError, match="plain steps"):
+        g.markov_steady_state(_letters(spark, CLOSED), 30, "A", doubling=True, max_states=4)

@@ -326,3 +326,16 @@ def test_scratch_scope_removes_what_is_not_kept(spark):
     assert not fs.exists(path) and second.df.count() == 3
     outside = scratch.write_scratch(spark.range(2), "outside")
     assert outside.df.count() == 2
+
+
+def test_names_with_dots_and_backticks(spark):
+    df = spark.createDataFrame([(1, 2.0, "x"), (1, 4.0, "y"), (1, 4.0, "y"), (2, None, None)], "`a.b` int, `c``d` double, `e.f` string")
+    assert {r["feature"]: r["nulls"] for r in profile.null_profile(df).collect()} == {"a.b": 0, "c`d": 1, "e.f": 1}
+    assert clean.drop_sparse_columns(df, 0.2).columns == ["a.b"]
+    assert clean.require_not_null(df, ["e.f", "a.b"]).count() == 3
+    assert sorted(tuple(r) for r in clean.dedup_keys(df, ["a.b"], ["c`d", "e.f"]).collect()) == [(1, 2.0, "x"), (2, None, None)]
+    assert [tuple(r) for r in profile.duplicate_rows(df).collect()] == [(1, 4.0, "y", 2)]
+    for exact in (False, True):
+        found = {r["feature"]: r["median"] for r in profile.numeric_profile(df, ["a.b", "c`d"], exact=exact).collect()}
+        assert found == {"a.b": 1.0, "c`d": 4.0}
+        assert clean.fill_median(df, ["c`d"], exact=exact).filter("`c``d` = 4").count() == 3

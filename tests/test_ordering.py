@@ -127,3 +127,15 @@ def test_quantiles_of_missed_brackets(events, same_rows):
         ordering.exact_quantiles(small, [], "value", {"q": 0.25}), ordering._ranked_quantiles(small, [], "value", {"q": 0.25}, 10**9)
     )
     assert ordering.exact_quantiles(events.limit(0), ["event_type"], "value", {"q": 0.5}).count() == 0
+
+
+def test_stretches_are_counted_for_long_timelines_only(events, same_rows, monkeypatch):
+    widths, measure = [], skew.timeline_shape
+    monkeypatch.setattr(t, "timeline_shape", lambda *a, width_s=None: widths.append(width_s) or measure(*a, width_s=width_s))
+    plain = CASES["trailing_count"](events, 10**9)
+    assert widths and not any(widths)
+    # Timelines so long that frames could be too much work, though their stretches show that they are not.
+    largest = events.groupBy("user_id").count().agg(F.max("count")).first()[0]
+    monkeypatch.setattr(skew, "FRAME_WORK", 2 * largest**2 - 1)
+    same_rows(plain, CASES["trailing_count"](events, 10**9))
+    assert any(widths)
