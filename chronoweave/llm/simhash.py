@@ -172,7 +172,12 @@ def _hub_links(long_lists: DataFrame) -> DataFrame:
 
 
 def fingerprint_links(nodes: DataFrame, distance: int = DISTANCE, list_rows: int = LIST_ROWS) -> DataFrame:
-    """Links (u, v) that join distinct fingerprints as ``distance`` or fewer differing bits would."""
+    """Links (u, v) that join distinct fingerprints as ``distance`` or fewer differing bits would.
+
+    Lists longer than ``list_rows`` go over points one bit away, which is exact for a distance of 2 only.  Under
+    any other distance every list compares all its pairs: the links are whole, but the work grows with
+    the square of the longest list.
+    """
     if distance != 2:
         list_rows = 1 << 62
     index = _index(nodes, distance)

@@ -32,12 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from chronoweave.llm.token_files import _byte_letters
-
-#: The pattern that the machine of pieces stands for is the one of this pre-tokenizer.
-PRE_TOKENIZER = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
-#: Parts of a tokenizer that must be absent or off.
-UNUSED = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges")
+from chronoweave.llm.token_files import _byte_letters, plain_byte_level
 
 RESET, SPACE, WHITE, LETTER, NUMBER, OTHER, QUOTE, ENDING, BEFORE_E, BEFORE_E2, ELL, E = range(12)
 UNKNOWN = 255
@@ -252,17 +247,12 @@ class Counter:
 
         tokenizer = Tokenizer.from_file(path)
         plan = json.loads(tokenizer.to_str())
-        model, before = plan["model"], plan["pre_tokenizer"] or {}
-        if (
-            model["type"] != "BPE"
-            or any(model.get(part) for part in UNUSED)
-            or any(before.get(k) != v for k, v in PRE_TOKENIZER.items())
-            or plan["normalizer"]
-            or any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in plan["added_tokens"])
-        ):
+        if not plain_byte_level(plan):
             raise ValueError(f"{path} is no plain byte-level BPE tokenizer")
         added = sorted((t["content"].encode() for t in plan["added_tokens"]), key=len, reverse=True)
         self.added = re.compile(b"|".join(map(re.escape, added))) if added else None
+        # A text may be cut before white space unless an added token holds some.
+        self.cut = None if any(re.search(rb"\s", a) for a in added) else CUT
         self.pieces_of, self.block_bytes = tokenizer.pre_tokenizer.pre_tokenize_str, block_bytes
         self.machine = TokenMachine(tokenizer.model, tokenizer.get_vocab(with_added_tokens=False), most_transitions, slot_bits)
         self.kinds = np.full(0x110000, UNKNOWN, np.uint8)
@@ -302,13 +292,11 @@ class Counter:
         data, ends = np.frombuffer(joined, np.uint8), np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
         found = np.zeros(len(texts), np.int64)
         at, kinds = self._characters(data)
-        first = 0
-        for match in self.added.finditer(joined) if self.added else ():
-            # Added tokens lie inside one text each; a match over the seam of two texts is none.
-            text = int(np.searchsorted(ends, match.start(), side="right"))
-            if match.end() <= ends[text]:
+        # Added tokens lie inside one text each, so texts are searched one by one where any may hold one.
+        for text, low in enumerate((ends - [len(t) for t in texts]).tolist() if self.added and self.added.search(joined) else ()):
+            for match in self.added.finditer(texts[text]):
                 found[text] += 1
-                kinds[np.searchsorted(at, match.start()) : np.searchsorted(at, match.end())] = RESET
+                kinds[np.searchsorted(at, low + match.start()) : np.searchsorted(at, low + match.end())] = RESET
         # One reset follows every text.
         texts_of = np.searchsorted(ends, at, side="right")
         size = len(at) + len(texts)
@@ -337,8 +325,8 @@ class Counter:
             low = 0
             while low < len(text):
                 high = len(text)
-                if high - low > self.block_bytes:
-                    cut = CUT.search(text, low + self.block_bytes)
+                if self.cut and high - low > self.block_bytes:
+                    cut = self.cut.search(text, low + self.block_bytes)
                     high = cut.end() if cut else high
                 block.append(text[low:high])
                 owners.append(row)

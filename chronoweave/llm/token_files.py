@@ -6,12 +6,14 @@ document.  Rows also hold their file's number and the tokens before them in it;
 file, which a reader sums from one column, every document's global offset follows without a window
 over the corpus.
 
-A byte-level tokenizer of this kind never merges over a single space between two other characters, so
-a text is cut there and each distinct piece is encoded once per task.
+A byte-level tokenizer with the usual pre-tokenizer never merges over a single space between two other
+characters, so a text is cut there and each distinct piece is encoded once per task.  Under any other
+tokenizer every text is encoded whole.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -46,6 +48,10 @@ ORC_OPTIONS = {
     "compression": "zstd",
 }
 
+#: The pre-tokenizer whose pieces end at single spaces, and parts of a model that must be absent or off for them.
+PRE_TOKENIZER = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+UNUSED = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges")
+
 #: A space that has white space beside it, or stands at an end, does not always begin a token.
 _RARE_SPACE = re.compile(r"[^\S \n]")
 _ASCII_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
@@ -73,6 +79,18 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + n) for n, b in enumerate(others)}
 
 
+def plain_byte_level(plan: dict) -> bool:
+    """Whether a tokenizer's file describes byte-level BPE with the usual pre-tokenizer and nothing else."""
+    model, before = plan["model"], plan["pre_tokenizer"] or {}
+    return (
+        model["type"] == "BPE"
+        and not any(model.get(part) for part in UNUSED)
+        and all(before.get(k) == v for k, v in PRE_TOKENIZER.items())
+        and not plan["normalizer"]
+        and not any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in plan["added_tokens"])
+    )
+
+
 class Memory:
     """Two generations of remembered pieces: the older one goes when the younger one is full."""
 
@@ -86,13 +104,19 @@ class Memory:
 
 
 class Encoder:
-    """Token ids of texts, with a memory of pieces already encoded."""
+    """Token ids of texts, with a memory of pieces already encoded.
+
+    Truncation and padding that the file may ask for are off: ids are those of whole texts.
+    """
 
     def __init__(self, path: str, pieces: int = MEMORY_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.by_piece = plain_byte_level(json.loads(self.tokenizer.to_str()))
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         # Texts that contain a special token's string are encoded whole.
@@ -150,7 +174,7 @@ class Encoder:
 
     def ids(self, text: str) -> bytes:
         """Ids of a text and the end id, as little-endian 32-bit integers."""
-        if not text or any(s in text for s in self.special):
+        if not text or not self.by_piece or any(s in text for s in self.special):
             return self._encode(text) + END.to_bytes(4, "little")
         pieces = _PLAIN_SPACE.split(text) if _odd_spaces(text) else text.split(" ")
         out = list(map(self.words.young.get, pieces))

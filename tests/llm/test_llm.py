@@ -333,6 +333,34 @@ def test_token_ids_of_many_lines():
         assert np.frombuffer(encoder.ids(text), "<i4").tolist() == wanted
 
 
+def test_token_ids_of_other_tokenizers():
+    """A tokenizer whose pieces do not end at single spaces gets whole texts."""
+    import public_tokenizers
+
+    encoder = token_files.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    assert not encoder.by_piece and token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json")).by_piece
+    for text in ("Two words, and More.", "a  b\nc", "中文 x", " lead", "the the the"):
+        wanted = [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, token_files.END]
+        assert np.frombuffer(encoder.ids(text), "<i4").tolist() == wanted
+
+
+def test_token_lookups_skip_row_groups(spark, tmp_path):
+    """Row indexes leave one group of rows for an id that is there, Bloom filters none for one that is not."""
+    import public_tokenizers
+
+    docs = frame(spark, [(2 * i, f"text {i}") for i in range(5_000)])
+    at = token_files.write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), str(tmp_path / "ids"), parts=1)
+
+    def read(doc_id: int) -> tuple[int, int]:
+        found = token_files.lookup(spark, at, [doc_id])
+        rows = found._jdf.queryExecution().executedPlan()
+        count = len(rows.executeCollect())
+        return count, rows.collectLeaves().head().metrics().apply("numOutputRows").value()
+
+    assert read(4_242) == (1, 1_000)
+    assert read(4_243) == (0, 0)
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(5)
     vectors = [(i, rng.integers(-3, 4, 4) / 8) for i in range(300)] + [(7, np.ones(4)), (50, np.ones(4))]
@@ -376,6 +404,36 @@ def test_quality(spark, data_dir):
     assert quality.score_documents(docs.limit(0), labels).count() == 0
 
 
+def test_quality_trees_node_by_node():
+    """Scores of the flattened trees against a walk from node to node, values on a cut and beyond all cuts among them."""
+    rng = np.random.default_rng(11)
+    x = np.round(rng.normal(size=(600, 5)), 1)
+    y = (x[:, 0] * x[:, 1] + x[:, 2] > 0.3).astype(float)
+    trees = quality.fit(x, y)
+    probes = np.vstack([x, np.full((1, 5), np.inf), np.full((1, 5), -np.inf)])
+    for row, score in zip(probes, trees.score(probes), strict=True):
+        margin = trees.prior
+        for feature, cut, leaf in zip(trees.feature, trees.cut, trees.leaf, strict=True):
+            node = 1
+            while node < len(cut):
+                node = 2 * node + 1 if row[feature[node]] > cut[node] else 2 * node
+            margin += leaf[node - len(cut)]
+        assert abs(score - 1 / (1 + np.exp(-margin))) < 1e-12
+    assert ((trees.score(x) >= 0.5) == (y > 0)).mean() > 0.9
+
+
+def test_quality_learns_outside_the_held_out_third(spark, data_dir):
+    docs, labels = (queries.table(spark, data_dir, t) for t in ("documents", "labels"))
+    turned = labels.withColumn("quality", F.when(quality.training_rows(held_out=True), 1 - F.col("quality")).otherwise(F.col("quality")))
+    found = {r["doc_id"]: r for r in quality.digest(quality.score_documents(docs, labels)).collect()}
+    again = {r["doc_id"]: r for r in quality.digest(quality.score_documents(docs, turned)).collect()}
+    assert found == again and len({r["score"] for r in found.values()}) > 2
+    assert {i for i, r in found.items() if r["held_out"]} == {i for i in found if zlib.crc32(str(i).encode()) % 3 == 1}
+    # Other columns are no inputs.
+    other = docs.withColumns({"lang": F.lit("zz"), "source": F.lit("zz"), "n_chars": F.lit(0).cast("long")})
+    assert {r["doc_id"]: r for r in quality.digest(quality.score_documents(other, labels)).collect()} == found
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body>
 <header><h2>Site name that is rather long</h2></header><nav><ul><li><a href="/">Home</a></li></ul></nav>
 <div class="cookie-notice">We use cookies, and this is a long sentence about them, dear reader.</div>

@@ -1,5 +1,6 @@
 """Token counts of the compiled transducers against the tokenizers library."""
 
+import json
 import random
 
 import numpy as np
@@ -59,6 +60,23 @@ def test_prefix_scan_of_state_maps():
     assert states.tolist() == wanted
 
 
+def test_added_tokens_over_seams_and_cuts(tmp_path):
+    """Added tokens that begin where a match over two texts would end, and ones with white space inside."""
+    from tokenizers import Tokenizer
+
+    plan = json.loads(open(PATH).read())
+    first = max(t["id"] for t in plan["added_tokens"] + [{"id": max(plan["model"]["vocab"].values())}]) + 1
+    flags = dict.fromkeys(("single_word", "lstrip", "rstrip", "normalized"), False) | {"special": True}
+    plan["added_tokens"] += [{"id": first + i, "content": c} | flags for i, c in enumerate(("aXa", "q! z", "aXaX"))]
+    path = tmp_path / "more.json"
+    path.write_text(json.dumps(plan))
+    library = Tokenizer.from_file(str(path))
+    texts = ["one aX", "aXa two", "", "aX", "aXaXa", "q!", " z q! z", "word q! z " * 40]
+    wanted = [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    for settings in ({}, {"block_bytes": 16}):
+        assert token_counts.Counter(str(path), **settings).counts([t.encode() for t in texts]).tolist() == wanted
+
+
 def test_other_tokenizers_are_refused():
     with pytest.raises(ValueError):
         token_counts.Counter(public_tokenizers.path("word_bpe_49k.json"))
