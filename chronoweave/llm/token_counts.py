@@ -21,7 +21,6 @@ walk in step; a machine that has grown too large starts anew between blocks.
 
 from __future__ import annotations
 
-import json
 import os
 import re
 from collections.abc import Iterator
@@ -246,10 +245,9 @@ class Counter:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        plan = json.loads(tokenizer.to_str())
-        if not plain_byte_level(plan):
+        if not plain_byte_level(tokenizer):
             raise ValueError(f"{path} is no plain byte-level BPE tokenizer")
-        added = sorted((t["content"].encode() for t in plan["added_tokens"]), key=len, reverse=True)
+        added = sorted((t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
         self.added = re.compile(b"|".join(map(re.escape, added))) if added else None
         # A text may be cut before white space unless an added token holds some.
         self.cut = None if any(re.search(rb"\s", a) for a in added) else CUT

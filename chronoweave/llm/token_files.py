@@ -79,15 +79,21 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + n) for n, b in enumerate(others)}
 
 
-def plain_byte_level(plan: dict) -> bool:
-    """Whether a tokenizer's file describes byte-level BPE with the usual pre-tokenizer and nothing else."""
-    model, before = plan["model"], plan["pre_tokenizer"] or {}
+def plain_byte_level(tokenizer) -> bool:
+    """Whether a tokenizer is byte-level BPE with the usual pre-tokenizer and nothing else.
+
+    Its parts are asked one by one: the whole of it as text takes more memory than the tokenizer itself.
+    """
+    from tokenizers.models import BPE
+
+    model, before = tokenizer.model, tokenizer.pre_tokenizer
+    plan = json.loads(before.__getstate__()) if before is not None else {}
     return (
-        model["type"] == "BPE"
-        and not any(model.get(part) for part in UNUSED)
-        and all(before.get(k) == v for k, v in PRE_TOKENIZER.items())
-        and not plan["normalizer"]
-        and not any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in plan["added_tokens"])
+        isinstance(model, BPE)
+        and not any(getattr(model, part) for part in UNUSED)
+        and all(plan.get(k) == v for k, v in PRE_TOKENIZER.items())
+        and tokenizer.normalizer is None
+        and not any(t.single_word or t.lstrip or t.rstrip for t in tokenizer.get_added_tokens_decoder().values())
     )
 
 
@@ -116,7 +122,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.by_piece = plain_byte_level(json.loads(self.tokenizer.to_str()))
+        self.by_piece = plain_byte_level(self.tokenizer)
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         # Texts that contain a special token's string are encoded whole.
