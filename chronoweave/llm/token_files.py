@@ -38,7 +38,7 @@ MARKS = frozenset(".,;:!?")
 #: Longest piece that is remembered, in characters.
 PIECE_LENGTH = 64
 #: Tokens of a batch handed on at once.
-BATCH_TOKENS = 2_000_000
+BATCH_TOKENS = 500_000
 
 ORC_OPTIONS = {
     "orc.bloom.filter.columns": "doc_id",
