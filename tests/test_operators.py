@@ -1,6 +1,7 @@
 """Edge cases: nulls, clocks, stores, balancing, metrics."""
 
 import datetime as dt
+import threading
 
 import pyarrow.parquet as pq
 import pytest
@@ -339,3 +340,31 @@ def test_names_with_dots_and_backticks(spark):
         found = {r["feature"]: r["median"] for r in profile.numeric_profile(df, ["a.b", "c`d"], exact=exact).collect()}
         assert found == {"a.b": 1.0, "c`d": 4.0}
         assert clean.fill_median(df, ["c`d"], exact=exact).filter("`c``d` = 4").count() == 3
+
+
+class _Stub:
+    """Stands for an estimator and its model; fitting notes whether the thread's properties stay its own."""
+
+    def __init__(self, spark, number, meet, seen):
+        self.spark, self.number, self.meet, self.seen = spark, number, meet, seen
+
+    def fit(self, df):
+        if self.number is not None:
+            self.spark.sparkContext.setLocalProperty("chronoweave.test", str(self.number))
+            self.meet.wait(60)
+            self.seen.append(self.spark.sparkContext.getLocalProperty("chronoweave.test") == str(self.number))
+        return self
+
+    def transform(self, df):
+        return df.withColumn("prediction", F.col("label"))
+
+
+def test_parallel_fits_keep_their_own_properties(spark):
+    """A query number set by one fit must not be cleared by another one."""
+    rows = spark.createDataFrame([(y, m, float(m % 2), m % 2) for y in (1, 2, 3) for m in range(1, 13)], "y int, m int, x double, won int")
+    meet, seen, numbers = threading.Barrier(2), [], iter((1, 2, None))
+    found = models.blocked_search(
+        rows, ["x"], "won", "y", "m", [1, 2], 3, ({"a": 1},), lambda *_: _Stub(spark, next(numbers), meet, seen), parallelism=2
+    )
+    assert seen == [True, True]
+    assert found.test.first()["f1"] == 1.0
