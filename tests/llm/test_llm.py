@@ -663,3 +663,20 @@ def test_near_copies_against_all_pairs(spark, size, changed, base):
     wanted = {find(v) for v in range(len(made))}
     assert wanted <= kept and len(kept - wanted) <= 0.1 * (len(made) - len(wanted))
     assert {r["doc_id"] for r in near_copies.one_of_each(docs, exact=True).select("doc_id").collect()} == wanted
+
+
+def test_simhash_proposes_near_copies(spark):
+    """Near copies within two bits are linked by their SimHash alone; a link still needs the similarity."""
+    base = [f"w{n}" for n in range(2_000)]
+    texts = [" ".join(base), " ".join([*base[:-1], "other"]), " ".join(f"v{n}" for n in range(2_000)), "", None]
+    bits = [simhash.fingerprint(t.encode()) for t in texts[:2]]
+    assert (bits[0] ^ bits[1]).bit_count() <= simhash.DISTANCE
+    docs = frame(spark, list(enumerate(texts)))
+    rows = near_copies._read(docs, F.col("doc_id"), "text", with_keys=True)
+    without_keys = rows.withColumn("hashes", F.array().cast("array<bigint>"))
+    links = near_copies.node_roots(docs, without_keys).collect()
+    node = {r["row"]: r["node"] for r in rows.collect()}
+    assert [tuple(r) for r in links] == [(max(node[0], node[1]), min(node[0], node[1]))]
+    # Equal fingerprints, but sets of five-word shingles that are far apart.
+    far = rows.withColumns({"fp": F.lit(0).cast("long"), "hashes": F.array().cast("array<bigint>")})
+    assert {tuple(r) for r in near_copies.node_roots(docs, far).collect()} <= {tuple(r) for r in links}
