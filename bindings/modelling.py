@@ -490,7 +490,7 @@ def _(x):
     """Each of the three texts of a row adds one to some bucket."""
     texts = x.lineitem.withColumn("supplier", F.col("l_suppkey").cast("string"))
     hashed = pr.hash_categoricals(["l_returnflag", "l_linestatus", "supplier"], buckets=1_000).transform(texts)
-    return hashed.select(*LINE_KEYS, F.aggregate(vector_to_array("categorical_features"), F.lit(0.0), lambda a, b: a + b).alias("total"))
+    return hashed.select(*LINE_KEYS, pr.vector_total("categorical_features").alias("total"))
 
 
 @query(
@@ -501,5 +501,4 @@ SELECT doc_id, {q6("ln((rows + 1) / CAST(held + 1 AS DOUBLE))")} AS weight FROM
 def _(x):
     """Texts of one word: the only weight is the inverse document frequency of that word."""
     encoded = pr.tfidf_encode(x.documents.select("doc_id", "lang"), "lang", features=1 << 12)
-    total = F.aggregate(vector_to_array("lang_tfidf"), F.lit(0.0), lambda a, b: a + b)
-    return encoded.select("doc_id", r6(total).alias("weight"))
+    return encoded.select("doc_id", r6(pr.vector_total("lang_tfidf")).alias("weight"))

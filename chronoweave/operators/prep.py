@@ -145,6 +145,11 @@ def array_features(df: DataFrame, vector: str, out: str = "features_array") -> D
     return df.withColumn(out, vector_to_array(vector))
 
 
+def vector_total(vector: str) -> Column:
+    """Sum of a vector's entries; only those it stores are visited, so a sparse vector stays sparse."""
+    return F.aggregate(F.unwrap_udt(vector)["values"], F.lit(0.0), lambda a, b: a + b)
+
+
 def _vectors(df: DataFrame, sizes: dict[str, int]) -> DataFrame:
     """Turn numbers ``{column}_ohe`` into one-hot vectors of the given widths; null becomes the zero vector."""
     # The width stands in the column's metadata, so the encoder looks at no row; the last class is left out.

@@ -6,6 +6,7 @@ import threading
 import pyarrow.parquet as pq
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from bindings.tables import LINE_KEYS, NUMERICS, Tables
@@ -368,3 +369,9 @@ def test_parallel_fits_keep_their_own_properties(spark):
     )
     assert seen == [True, True]
     assert found.test.first()["f1"] == 1.0
+
+
+def test_total_of_a_sparse_vector_visits_stored_entries(spark):
+    made = [(0, Vectors.sparse(1_000, {3: 1.0, 900: 2.5})), (1, Vectors.dense(1.0, 0.0, 4.0)), (2, Vectors.sparse(5, {}))]
+    found = spark.createDataFrame(made, ["k", "v"]).select("k", prep.vector_total("v").alias("t"))
+    assert {r["k"]: r["t"] for r in found.collect()} == {0: 3.5, 1: 5.0, 2: 0.0}
