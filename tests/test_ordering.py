@@ -139,3 +139,18 @@ def test_stretches_are_counted_for_long_timelines_only(events, same_rows, monkey
     monkeypatch.setattr(skew, "FRAME_WORK", 2 * largest**2 - 1)
     same_rows(plain, CASES["trailing_count"](events, 10**9))
     assert any(widths)
+
+
+@pytest.mark.parametrize("heavy", [1_000, 3])
+def test_ranks_come_back_without_an_exchange_of_all_cells(spark, same_rows, monkeypatch, heavy):
+    """A frequent value, zeros of both signs and nulls; looked up from a broadcast side, or with light values in an exchange."""
+    values = [(0.0 if i % 2 else -0.0, float(i % 7), float(i * i % 53)) if i % 3 else (5.0, None if i % 9 == 0 else 2.5, float(i)) for i in range(300)]
+    rows = spark.createDataFrame(values, "a double, b double, c double")
+    plain = rows.toPandas().dropna().rank().corr()
+    monkeypatch.setattr(profile, "HEAVY", heavy)
+    for broadcast_rows in (10**6, 0):
+        found = profile.spearman_matrix(rows, ["a", "b", "c"], broadcast_rows=broadcast_rows)
+        assert {(r["a"], r["b"]): round(r["corr"], 9) for r in found.collect()} == {
+            (x, y): round(plain.loc[x, y], 9) for x in "abc" for y in "abc"
+        }
+    assert "unpivot" not in str(found._jdf.queryExecution().analyzed()).lower()
