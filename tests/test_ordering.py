@@ -154,3 +154,11 @@ def test_ranks_come_back_without_an_exchange_of_all_cells(spark, same_rows, monk
             (x, y): round(plain.loc[x, y], 9) for x in "abc" for y in "abc"
         }
     assert "unpivot" not in str(found._jdf.queryExecution().analyzed()).lower()
+
+
+def test_positions_exchange_rows_once(events):
+    """Ranges are numbered where they were sorted: no second exchange brings a range together."""
+    numbered = ordering.positions(events, ["sec", "event_id"], task_rows=HOT)
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" in plan and f"hashpartitioning({ordering.CHUNK}" not in plan.split("BroadcastExchange")[0]
+    assert sorted(r["position"] for r in numbered.select("position").collect()) == list(range(1, events.count() + 1))
