@@ -35,6 +35,8 @@ from chronoweave.scratch import write_scratch
 
 #: Further steps of a place that lands beyond the last row; on a large table one in many needs a single one.
 WALK_STEPS = 16
+#: Rows of a part in which moved values meet their rows.
+PART_ROWS = 500_000
 
 #: The grids the published results were found with.
 LOGREG_GRID = (
@@ -243,15 +245,23 @@ def permuted_variants(df: DataFrame, features: Sequence[str], label: str, order:
     of all features happen in one exchange, and every row is kept.
     """
     held = [f"b{i}" for i in range(len(features))]
-    numbered = positions(df.select(*(F.col(c).cast("double").alias(h) for c, h in zip(features, held)), F.col(label).cast("double").alias("y"), *order), order, "at")
+    doubles = dict(zip([*features, label], [*held, "y"]))
+    # A column that a double holds exactly is ordered by its copy, so it travels once.
+    exact = {c for c, kind in df.dtypes if kind in ("double", "float", "int", "smallint", "tinyint")}
+    ordered = [doubles[c] if isinstance(c, str) and c in doubles and c in exact else c for c in order]
+    carried = [c for c, o in zip(order, ordered) if o is c]
+    numbered = positions(df.select(*(F.col(c).cast("double").alias(h) for c, h in doubles.items()), *carried), ordered, "at")
     numbered = write_scratch(numbered.select(*held, "y", (F.col("at") - 1).alias("at")), "numbered").df
     rows = numbered.count()
-    own = F.struct(F.col("at").alias("to"), F.lit(-1).alias("which"), F.lit(None).cast("double").alias("v"), *held, "y")
-    blank = [F.lit(None).cast("double").alias(h) for h in (*held, "y")]
-    moves = [F.struct(permuted_place(F.col("at"), rows, seed + i).alias("to"), F.lit(i).alias("which"), F.col(h).alias("v"), *blank) for i, h in enumerate(held)]
-    sent = numbered.select(F.inline(F.array(own, *moves)))
+    own = F.struct(F.col("at").alias("to"), F.lit(-1).alias("which"), *held, "y")
+    only = lambda i: [(F.col(h) if h == f"b{i}" else F.lit(None).cast("double")).alias(h) for h in (*held, "y")]
+    moves = [F.struct(permuted_place(F.col("at"), rows, seed + i).alias("to"), F.lit(i).alias("which"), *only(i)) for i in range(len(held))]
+    # Nothing merges before rows meet, so they are exchanged as they are, into parts that fit a task.
+    parts = max(1, math.ceil(rows * (1 + len(held)) / PART_ROWS))
+    sent = numbered.select(F.inline(F.array(own, *moves))).repartition(parts, "to")
+    sender = lambda i, h: F.max(F.when(F.col("which") == i, F.col(h)))
     arrived = sent.groupBy("to").agg(
-        *(F.max(h).alias(h) for h in (*held, "y")), *(F.max(F.when(F.col("which") == i, F.col("v"))).alias(f"m{i}") for i in range(len(held)))
+        *(sender(-1, h).alias(h) for h in (*held, "y")), *(sender(i, h).alias(f"m{i}") for i, h in enumerate(held))
     )
     variant = lambda k: F.struct(
         F.lit("" if k is None else features[k]).alias("variant"),

@@ -375,3 +375,15 @@ def test_total_of_a_sparse_vector_visits_stored_entries(spark):
     made = [(0, Vectors.sparse(1_000, {3: 1.0, 900: 2.5})), (1, Vectors.dense(1.0, 0.0, 4.0)), (2, Vectors.sparse(5, {}))]
     found = spark.createDataFrame(made, ["k", "v"]).select("k", prep.vector_total("v").alias("t"))
     assert {r["k"]: r["t"] for r in found.collect()} == {0: 3.5, 1: 5.0, 2: 0.0}
+
+
+def test_permuted_rows_carry_a_column_once(spark, monkeypatch):
+    """Features and label that are part of the order travel as their own copies only; long values keep their exact order."""
+    seen = []
+    real = models.positions
+    monkeypatch.setattr(models, "positions", lambda df, order, out: seen.append((df.columns, list(order))) or real(df, order, out))
+    rows = spark.createDataFrame([(i, float(-i % 5), 2**60 + i, i % 2) for i in range(40)], "k long, x double, z long, won int")
+    found = models.permuted_variants(rows, ["x", "z"], "won", ["k", "x", "z", "won"])
+    assert seen == [(["b0", "b1", "y", "k", "z"], ["k", "b0", "z", "y"])]
+    own = sorted((r["x"], r["z"], r["won"]) for r in found.filter("variant = ''").collect())
+    assert own == sorted((float(-i % 5), float(2**60 + i), float(i % 2)) for i in range(40))
