@@ -387,3 +387,13 @@ def test_permuted_rows_carry_a_column_once(spark, monkeypatch):
     assert seen == [(["b0", "b1", "y", "k", "z"], ["k", "b0", "z", "y"])]
     own = sorted((r["x"], r["z"], r["won"]) for r in found.filter("variant = ''").collect())
     assert own == sorted((float(-i % 5), float(2**60 + i), float(i % 2)) for i in range(40))
+
+
+def test_permuted_rows_do_not_depend_on_task_sizes(spark, same_rows, monkeypatch):
+    rows = spark.createDataFrame([(i, float(i % 5), float(i % 3), i % 2) for i in range(60)], "k long, x double, z double, won int")
+    plain = models.permuted_variants(rows, ["x", "z"], "won", ["k"])
+    monkeypatch.setattr(models, "TASK_ROWS", 7)
+    monkeypatch.setattr(models, "PART_ROWS", 11)
+    small = models.permuted_variants(rows, ["x", "z"], "won", ["k"])
+    assert small._jdf.queryExecution().analyzed().toString().count("RepartitionByExpression") == 2
+    same_rows(plain, small)
