@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -128,9 +129,11 @@ class Encoder:
         # Texts that contain a special token's string are encoded whole.
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words, self.starts, self.rest = Memory(pieces), Memory(pieces // 8), Memory(pieces // 8)
+        self.marks = {mark: self._encode(mark) for mark in MARKS}
 
     def _encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<i4").tobytes()
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}i", *ids)
 
     def _word(self, word: str, memory: Memory, lead: str) -> bytes:
         """Ids of letters after ``lead`` (a space or nothing), which are one unit of the tokenizer."""
@@ -139,7 +142,8 @@ class Encoder:
             ids = memory.old.get(word)
             if ids is None:
                 unit = (lead + word).encode().decode("latin-1").translate(self.letters)
-                ids = np.array([t.id for t in self.model.tokenize(unit)], dtype="<i4").tobytes()
+                tokens = [t.id for t in self.model.tokenize(unit)]
+                ids = struct.pack(f"<{len(tokens)}i", *tokens)
             if len(word) <= PIECE_LENGTH:
                 memory.put(word, ids)
         return ids
@@ -166,7 +170,7 @@ class Encoder:
             return self._word(line, memory, lead)
         # Letters before one mark at the end are a unit of their own.
         if line[:-1].isalpha() and line[-1] in MARKS:
-            return self._word(line[:-1], memory, lead) + self._other(line[-1])
+            return self._word(line[:-1], memory, lead) + self.marks[line[-1]]
         return self._other(lead + line)
 
     def _other(self, text: str) -> bytes:
@@ -186,10 +190,13 @@ class Encoder:
         out = list(map(self.words.young.get, pieces))
         out[0] = self._piece(pieces[0], "")
         if None in out:
-            piece = self._piece
+            known, marks, other = self.words.young.get, self.marks.get, self._piece
             for at, ids in enumerate(out):
                 if ids is None:
-                    out[at] = piece(pieces[at])
+                    piece = pieces[at]
+                    # Only letters are remembered as words, so a known word before a mark needs no other look.
+                    word, mark = known(piece[:-1]), marks(piece[-1:])
+                    out[at] = other(piece) if word is None or mark is None else word + mark
         out.append(END.to_bytes(4, "little"))
         return b"".join(out)
 

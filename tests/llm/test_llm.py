@@ -680,3 +680,16 @@ def test_simhash_proposes_near_copies(spark):
     # Equal fingerprints, but sets of five-word shingles that are far apart.
     far = rows.withColumns({"fp": F.lit(0).cast("long"), "hashes": F.array().cast("array<bigint>")})
     assert {tuple(r) for r in near_copies.node_roots(docs, far).collect()} <= {tuple(r) for r in links}
+
+
+def test_known_words_before_marks_are_looked_up_at_once(monkeypatch):
+    import public_tokenizers
+
+    encoder = token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    text = "one two three two. three, two! three; x2. two.. déjà déjà: two"
+    whole = lambda t: [*encoder.tokenizer.encode(t, add_special_tokens=False).ids, token_files.END]
+    assert np.frombuffer(encoder.ids(text), "<i4").tolist() == whole(text)
+    seen, real = [], encoder._piece
+    monkeypatch.setattr(encoder, "_piece", lambda piece, lead=" ": seen.append(piece) or real(piece, lead))
+    assert np.frombuffer(encoder.ids(text), "<i4").tolist() == whole(text)
+    assert seen == ["one", "x2.", "two.."]
