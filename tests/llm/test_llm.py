@@ -665,6 +665,65 @@ def test_near_copies_against_all_pairs(spark, size, changed, base):
     assert {r["doc_id"] for r in near_copies.one_of_each(docs, exact=True).select("doc_id").collect()} == wanted
 
 
+def _linked_groups(sets):
+    """Smallest index that each set reaches over Jaccard 0.8 or more."""
+    root = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if root[i] != root[j] and 5 * len(a & sets[j]) >= 4 * len(a | sets[j]):
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    return root
+
+
+@pytest.mark.parametrize(("size", "changed"), [(120, 4), (60, 3)])
+def test_no_pair_of_a_crowded_list_is_left_out(spark, size, changed):
+    """Copies that link only here and there, without a base: one row of every group stays, none too many."""
+    made = _near_groups(3, size, 300, changed, 7, False)
+    kept = {r["doc_id"] for r in near_copies.one_of_each(frame(spark, list(enumerate(made)))).select("doc_id").collect()}
+    root = _linked_groups([set(near_copies.shingles(t.encode()).tolist()) for t in made])
+    assert kept == set(root) and len(kept) < len(made)
+
+
+@pytest.mark.parametrize("rows", [1_024, 8, 3])
+def test_cells_compare_every_open_text_with_its_whole_list(spark, rows):
+    """Every pair of different groups once a list, however the list is dealt; bitmaps of two widths."""
+    rng = np.random.default_rng(rows)
+    core = rng.integers(0, 2**62, 60)
+    lists, sets = [], {}
+    for key, (n, n_closed) in enumerate([(2, 1), (9, 1), (30, 11), (40, 39), (25, 2)]):
+        first = len(sets)
+        for i in range(n):
+            node = first + i
+            sets[node] = np.concatenate([core, rng.integers(0, 2**62, int(rng.integers(0, 8)))])
+            # Nodes 0 and 1 of the open ones are in one group, the closed ones in the hub's.
+            root = first if i < n_closed else first + min(i, n_closed + 1) if i < n_closed + 2 and n > 20 else node
+            lists.append((key, (node, len(sets[node]), root), i >= n_closed, n, n - n_closed))
+    assert len({len(near_copies.sketch(x.view(np.uint64))) for x in sets.values()}) == 2
+    listed = spark.createDataFrame(lists, "key long, one struct<node: long, size: int, root: long>, open boolean, n long, n_open long")
+    held = spark.createDataFrame([(n, x.tolist()) for n, x in sets.items()], "node long, hashes array<long>")
+    wanted = [
+        (max(a[1][0], b[1][0]), min(a[1][0], b[1][0])) for i, a in enumerate(lists) for b in lists[:i] if a[0] == b[0] and a[1][2] != b[1][2]
+    ]
+    assert sorted(map(tuple, near_copies._all_pairs(listed, held, rows).collect())) == sorted(wanted)
+
+
+def test_bitmaps_rule_out_no_link():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    for shared, own in [(0, 1), (1, 0), (9, 2), (62, 8), (300, 36), (1_000, 100), (20_000, 2_300), (300, 60)]:
+        core = rng.integers(0, 1 << 63, shared).astype(np.uint64)
+        sets = [np.unique(np.r_[core, rng.integers(0, 1 << 63, own + k % 3).astype(np.uint64)]) for k in range(12)]
+        may = near_copies._may_link(np.array([len(x) for x in sets]), pa.array([near_copies.sketch(x) for x in sets], pa.binary()))
+        a, b = np.triu_indices(12, 1)
+        links = [5 * len(np.intersect1d(sets[x], sets[y])) >= 4 * len(np.union1d(sets[x], sets[y])) for x, y in zip(a, b)]
+        found = may(a, b)
+        assert found[np.array(links)].all()
+        if (shared, own) == (300, 60):
+            assert not any(links) and not found.any()
+
+
 def test_simhash_proposes_near_copies(spark):
     """Near copies within two bits are linked by their SimHash alone; a link still needs the similarity."""
     base = [f"w{n}" for n in range(2_000)]
