@@ -167,13 +167,12 @@ def score_documents(
     ids are passed over.  Null and empty texts score like a text without words.  Repeated rows keep
     their own row.
     """
-    def counted(columns: tuple[str, ...]) -> DataFrame:
+    def read(columns: tuple[str, ...], mapped, out: StructField) -> DataFrame:
         carried = F.struct(F.col(doc_id).alias("doc_id"), *columns).alias("doc")
-        read = docs.select(carried, F.col(text).cast("string").alias("text"))
-        schema = StructType([read.schema["doc"], StructField("x", ArrayType(DoubleType()))])
-        return read.mapInArrow(_statistics, schema)
+        texts = docs.select(carried, F.col(text).cast("string").alias("text"))
+        return texts.mapInArrow(mapped, StructType([texts.schema["doc"], out]))
 
-    rows = write_scratch(counted(()), "quality-statistics").df
+    rows = write_scratch(read((), _statistics, StructField("x", ArrayType(DoubleType()))), "quality-statistics").df
     known = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("y")).dropna()
     known = known.groupBy("doc_id").agg(F.max("y").alias("y")).filter(training_rows())
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
@@ -187,8 +186,18 @@ def score_documents(
     def scored(values):
         return pd.Series(model.score(np.array(values.to_list(), dtype=np.float64).reshape(-1, WIDTH)))
 
-    # Kept columns may hold texts, which are cheaper to read again than to write here.
-    out = (counted(keep) if keep else rows).select("doc.*", scored("x").alias("score"))
+    def counted_and_scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = [statistics(t.as_py()) for t in batch.column(1).cast(pa.binary())]
+            score = model.score(np.array(x, dtype=np.float64).reshape(-1, WIDTH))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64())], names=["doc", "score"])
+
+    # Kept columns may hold texts, which are cheaper to read again than to write here.  One function counts and scores
+    # them: with one for each, a task has two Python workers, whose memory the executor keeps in later stages.
+    if keep:
+        out = read(keep, counted_and_scored, StructField("score", DoubleType())).select("doc.*", "score")
+    else:
+        out = rows.select("doc.*", scored("x").alias("score"))
     return out.withColumn("held_out", training_rows(held_out=True)).withColumn(
         "predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0)
     )

@@ -615,6 +615,16 @@ def test_pipeline_against_plain_python(spark, data_dir):
     assert sorted(map(tuple, found)) == sorted(wanted) and wanted
 
 
+def test_kept_columns_are_scored_in_one_python_worker(spark, data_dir):
+    """Counting and scoring in two functions gives a task two workers, which the executor keeps."""
+    docs, labels = queries.table(spark, data_dir, "documents"), queries.table(spark, data_dir, "labels")
+    kept = quality.score_documents(docs, labels, keep=("source",))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "EvalPython" not in plan
+    plain = quality.digest(quality.score_documents(docs, labels)).collect()
+    assert sorted(map(tuple, quality.digest(kept).collect())) == sorted(map(tuple, plain)) and plain
+
+
 def test_stages_keep_columns_of_any_name(spark, data_dir):
     names = "size taken score held_out predicted spans items n_words _id _text _row _n _doc row key root id digest at".split()
     docs = queries.table(spark, data_dir, "documents").filter("source IN ('src0', 'src1', 'src2')")
