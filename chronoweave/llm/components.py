@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from chronoweave.scratch import write_scratch
 
-#: Links to a file of a round's table, so that few links do not end in as many files as there are partitions.
-FILE_LINKS = 4_096
-
 
 def _stars(edges: DataFrame) -> DataFrame:
     """One large and one small star step; edges point from the larger node to the smaller one."""
@@ -34,5 +31,5 @@ def components(links: DataFrame) -> DataFrame:
         if (row["n"], row["h"]) == state or not row["n"]:
             return table.df
         state, old = (row["n"], row["h"]), table
-        table = write_scratch(_stars(old.df).coalesce(-(-row["n"] // FILE_LINKS)), "links")
+        table = write_scratch(_stars(old.df), "links", row["n"])
         old.discard()

@@ -734,6 +734,16 @@ def test_bitmaps_rule_out_no_link():
             assert not any(links) and not found.any()
 
 
+def test_few_links_are_written_to_few_files(spark):
+    """A round's table has a file for 4 096 links, not one a partition; the components are the same."""
+    from chronoweave.llm.components import components
+
+    links = spark.range(1, 40, numPartitions=8).select(F.col("id").alias("u"), (F.col("id") - 1).alias("v")).repartition(8)
+    found = components(links)
+    assert {tuple(r) for r in found.collect()} == {(i, 0) for i in range(1, 40)}
+    assert len(found.inputFiles()) == 1
+
+
 def test_simhash_proposes_near_copies(spark):
     """Near copies within two bits are linked by their SimHash alone; a link still needs the similarity."""
     base = [f"w{n}" for n in range(2_000)]
